@@ -19,7 +19,7 @@ def half_up(value: Column, digits: int = 6) -> Column:
 
 def ticks(price: Column, tick_scale: int) -> Column:
     """Price as a whole number of ticks of size ``10 ** -tick_scale``."""
-    return F.round(price * F.lit(float(10**tick_scale)), 0).cast("bigint")
+    return F.rint(price * F.lit(float(10**tick_scale))).cast("bigint")
 
 
 def coerce_double(value: Column, default: float | None = None) -> Column:

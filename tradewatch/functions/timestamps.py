@@ -13,7 +13,7 @@ EPOCH_BOUNDS = (("s", 1e11), ("ms", 1e14), ("us", 1e17))
 _MICROS_PER = {"s": 1e6, "ms": 1e3, "us": 1.0, "ns": 1e-3}
 _OLDEST_PLAUSIBLE_MICROS = 1_104_537_600_000_000.0  # 2005-01-01T00:00:00Z
 
-_ID_RANGE = 10**19
+_ID_RANGE = "1" + "0" * 19
 
 
 def order_key(event_time: Column, trade_id: Column) -> Column:

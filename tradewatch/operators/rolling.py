@@ -118,7 +118,7 @@ def _block_measures(df: DataFrame, groups: list[str], config: RollingConfig) ->
             sliding_sum(counted, config.window),
             sliding_m2(price, config.window),
             sliding_sum(quantity, config.window),
-            sliding_sum(price * quantity, config.vwap_window),
+            sliding_sum(counted * quantity, config.vwap_window),
             sliding_sum(quantity, config.vwap_window),
             sliding_sum(quantity, config.spike_window),
             sliding_sum(quantity, config.pressure_window),
@@ -159,7 +159,7 @@ def _frame_measures(df: DataFrame, groups: list[str], config: RollingConfig) ->
         "sum_price": F.sum(counted).over(last(w)),
         "m2_price": F.var_pop(price).over(last(w)),
         "sum_qty": F.sum(quantity).over(last(w)),
-        "vwap_value": F.sum(price * quantity).over(last(v)),
+        "vwap_value": F.sum(counted * quantity).over(last(v)),
         "vwap_qty": F.sum(quantity).over(last(v)),
         "spike_qty": F.sum(quantity).over(last(s)),
         "pressure_qty": F.sum(quantity).over(last(b)),
@@ -201,7 +201,8 @@ def _finished(df: DataFrame, config: RollingConfig) -> DataFrame:
     staged = staged.withColumns({
         "z_score": ratio(price - F.col("rolling_mean"), F.col("rolling_std"), 0.0),
         # Without enough trades, or without volume, the rolling mean stands in for the VWAP.
-        "vwap": F.when(ready & traded, F.col("vwap_value") / F.col("vwap_qty")).otherwise(F.col("rolling_mean")),
+        "vwap": F.when(ready & traded, F.col("vwap_value") / (F.col("vwap_qty") * F.lit(_unit(config))))
+        .otherwise(F.col("rolling_mean")),
     })
     deviation = F.when(ready & traded & (F.col("vwap") != 0), (price - F.col("vwap")) / F.col("vwap") * 100)
     return staged.withColumn("vwap_deviation", F.coalesce(deviation, F.lit(0.0))).drop(

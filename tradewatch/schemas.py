@@ -18,17 +18,11 @@ TRADE = T.StructType([
     T.StructField("injected", T.BooleanType()),
 ])
 
-# The exchange's combined-stream message; price and quantity are numeric strings.
+# The exchange's combined-stream message. ``data`` has keys s (symbol), T (trade time in ms), p (price),
+# q (quantity), t (trade id), m (buyer is maker); T and t differ only in case, so it is read as a map.
 ENVELOPE = T.StructType([
     T.StructField("stream", T.StringType()),
-    T.StructField("data", T.StructType([
-        T.StructField("s", T.StringType()),
-        T.StructField("T", T.LongType()),
-        T.StructField("p", T.StringType()),
-        T.StructField("q", T.StringType()),
-        T.StructField("t", T.LongType()),
-        T.StructField("m", T.BooleanType()),
-    ])),
+    T.StructField("data", T.MapType(T.StringType(), T.StringType())),
 ])
 
 THRESHOLD_DDL = (

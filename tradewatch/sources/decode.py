@@ -61,14 +61,14 @@ def parse_envelopes(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     record = raw.select(F.from_json(F.col(value).cast("string"), ENVELOPE).alias("e"))
     data = F.col("e.data")
-    millis = F.coalesce(data["T"], F.lit(0))
+    millis = F.coalesce(data["T"].try_cast("bigint"), F.lit(0))
     return record.where((F.col("e.stream") != "") & data.isNotNull()).select(
         normalize_symbol(data["s"]).alias("symbol"),
         F.timestamp_millis(millis).alias("timestamp"),
         coerce_double(data["p"], 0.0).alias("price"),
         coerce_double(data["q"], 0.0).alias("quantity"),
-        F.coalesce(data["t"], F.lit(0)).alias("trade_id"),
-        F.coalesce(data["m"], F.lit(False)).alias("is_buyer_maker"),
+        F.coalesce(data["t"].try_cast("bigint"), F.lit(0)).alias("trade_id"),
+        F.coalesce(data["m"].try_cast("boolean"), F.lit(False)).alias("is_buyer_maker"),
         F.lit(False).alias("injected"),
         F.timestamp_millis(millis).alias("event_time"),
     )
