@@ -66,13 +66,7 @@ def rolling_features(
     preceding ``window - 1`` trades, so the largest task is set by ``block_rows``, not by the
     busiest symbol. One shuffle by (symbol, block) either way.
     """
-    source = with_event_time(trades)
-    injected = F.col("injected") if "injected" in source.columns else F.lit(False)
-    prepared = source.select(
-        "symbol", "trade_id", "event_time", "price", "quantity",
-        F.coalesce(F.col("is_buyer_maker").cast("int"), F.lit(0)).alias("is_buyer_maker"),
-        F.coalesce(injected.cast("int"), F.lit(0)).alias("injected"),
-    )
+    prepared = rolling_input(trades)
     blocked, groups = _blocked(prepared, config.window - 1, config.block_rows)
     if method == "blocked":
         measured = _block_measures(blocked, groups, config)
@@ -80,7 +74,20 @@ def rolling_features(
         measured = _frame_measures(blocked, groups, config)
     else:
         raise ValueError(f"unknown method {method!r}")
-    return _finished(measured, config)
+    return features_from_measures(measured, config)
+
+
+def rolling_input(trades: DataFrame) -> DataFrame:
+    """The columns the rolling model needs. A trade without a time has no place in the order."""
+    source = with_event_time(trades)
+    injected = F.col("injected") if "injected" in source.columns else F.lit(False)
+    return source.where(F.col("event_time").isNotNull()).select(
+        "symbol", "trade_id", "event_time",
+        F.coalesce(F.col("price").cast("double"), F.lit(0.0)).alias("price"),
+        F.coalesce(F.col("quantity").cast("double"), F.lit(0.0)).alias("quantity"),
+        F.coalesce(F.col("is_buyer_maker").cast("int"), F.lit(0)).alias("is_buyer_maker"),
+        F.coalesce(injected.cast("int"), F.lit(0)).alias("injected"),
+    )
 
 
 _CARRIED = "symbol string, trade_id bigint, event_time timestamp, price double, quantity double, is_buyer_maker int, injected int"
@@ -91,50 +98,53 @@ _MEASURES = (
 )
 
 
+MEASURED_DDL = f"{_CARRIED}, {_MEASURES}"
+
+
 def _unit(config: RollingConfig) -> float:
     return 1.0 if config.tick_scale is None else float(10**config.tick_scale)
 
 
+def _names(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(", ")]
+
+
+def measure_rows(micros, price, quantity, is_buyer_maker, config: RollingConfig) -> dict[str, tuple]:
+    """Frame sums and lags of one ordered run of trades: name -> (values, mask of missing ones)."""
+    unit, back = _unit(config), config.velocity_window - 1
+    bought = np.where(is_buyer_maker == 0, quantity, 0.0)
+    counted = np.rint(price * unit) if unit != 1.0 else price
+    return {
+        "n_before": (np.arange(len(price)), None),
+        "prev_price": shifted(price, 1), "prev_us": shifted(micros, 1),
+        "old_price": shifted(price, back), "old_us": shifted(micros, back),
+        "sum_price": (sliding_sum(counted, config.window), None),
+        "m2_price": (sliding_m2(price, config.window), None),
+        "sum_qty": (sliding_sum(quantity, config.window), None),
+        "vwap_value": (sliding_sum(counted * quantity, config.vwap_window), None),
+        "vwap_qty": (sliding_sum(quantity, config.vwap_window), None),
+        "spike_qty": (sliding_sum(quantity, config.spike_window), None),
+        "pressure_qty": (sliding_sum(quantity, config.pressure_window), None),
+        "buy_qty": (sliding_sum(bought, config.pressure_window), None),
+    }
+
+
 def _block_measures(df: DataFrame, groups: list[str], config: RollingConfig) -> DataFrame:
     """Frame sums by grouped map: one group is one block of at most ``block_rows`` plus its halo."""
-    unit = _unit(config)
-    back = config.velocity_window - 1
-    carried = [field.split()[0] for field in _CARRIED.split(", ")]
+    carried = _names(_CARRIED)
 
     def measure(block: pa.Table) -> pa.Table:
         block = block.sort_by([("event_time", "ascending"), ("trade_id", "ascending")])
-        micros = block["event_time"].cast(pa.int64()).to_numpy()
-        price, quantity = block["price"].to_numpy(), block["quantity"].to_numpy()
-        bought = np.where(block["is_buyer_maker"].to_numpy() == 0, quantity, 0.0)
-        counted = np.rint(price * unit) if unit != 1.0 else price
-        previous, first = shifted(price, 1)
-        previous_us, _ = shifted(micros, 1)
-        old, young = shifted(price, back)
-        old_us, _ = shifted(micros, back)
-        measures = [
-            np.arange(len(price)),
-            pa.array(previous, mask=first), pa.array(previous_us, mask=first),
-            pa.array(old, mask=young), pa.array(old_us, mask=young),
-            sliding_sum(counted, config.window),
-            sliding_m2(price, config.window),
-            sliding_sum(quantity, config.window),
-            sliding_sum(counted * quantity, config.vwap_window),
-            sliding_sum(quantity, config.vwap_window),
-            sliding_sum(quantity, config.spike_window),
-            sliding_sum(quantity, config.pressure_window),
-            sliding_sum(bought, config.pressure_window),
-        ]
-        names = [field.split()[0] for field in _MEASURES.split(", ")]
+        measures = measure_rows(
+            block["event_time"].cast(pa.int64()).to_numpy(),
+            block["price"].to_numpy(), block["quantity"].to_numpy(), block["is_buyer_maker"].to_numpy(), config,
+        )
         out = block.select(carried)
-        for name, values in zip(names, measures):
-            out = out.append_column(name, values if isinstance(values, pa.Array) else pa.array(values))
+        for name, (values, missing) in measures.items():
+            out = out.append_column(name, pa.array(values, mask=missing))
         return out.filter(pc.invert(block["_halo"]))
 
-    numeric = df.withColumns({
-        "price": F.coalesce(F.col("price").cast("double"), F.lit(0.0)),
-        "quantity": F.coalesce(F.col("quantity").cast("double"), F.lit(0.0)),
-    })
-    return numeric.groupBy(*groups).applyInArrow(measure, f"{_CARRIED}, {_MEASURES}")
+    return df.groupBy(*groups).applyInArrow(measure, MEASURED_DDL)
 
 
 def _frame_measures(df: DataFrame, groups: list[str], config: RollingConfig) -> DataFrame:
@@ -168,7 +178,7 @@ def _frame_measures(df: DataFrame, groups: list[str], config: RollingConfig) ->
     return measured.withColumn("m2_price", F.col("m2_price") * n).where(~F.col("_halo")).drop("_halo", *groups[1:])
 
 
-def _finished(df: DataFrame, config: RollingConfig) -> DataFrame:
+def features_from_measures(df: DataFrame, config: RollingConfig) -> DataFrame:
     """Features from the measures, with the defaults that apply before there is enough history."""
     price, quantity = F.col("price"), F.col("quantity")
     rows = F.col("n_before") + 1
@@ -206,7 +216,7 @@ def _finished(df: DataFrame, config: RollingConfig) -> DataFrame:
     })
     deviation = F.when(ready & traded & (F.col("vwap") != 0), (price - F.col("vwap")) / F.col("vwap") * 100)
     return staged.withColumn("vwap_deviation", F.coalesce(deviation, F.lit(0.0))).drop(
-        *[field.split()[0] for field in _MEASURES.split(", ")]
+        *_names(_MEASURES)
     )
 
 

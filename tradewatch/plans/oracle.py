@@ -168,10 +168,9 @@ keyed AS (
   SELECT *, sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key
   FROM payloads)"""
 
-COOLDOWN = f"""{ROLLED},
-numbered AS (
+FOLD = """numbered AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, anomaly_type ORDER BY event_time, trade_id) AS k
-  FROM (SELECT trade_id, symbol, event_time, anomaly_type, price, z_score, price_change_pct, volume_spike FROM labelled)),
+  FROM ({source})),
 fold AS (
   SELECT *, event_time AS passed_at, TRUE AS passes FROM numbered WHERE k = 1
   UNION ALL
@@ -179,6 +178,9 @@ fold AS (
          n.event_time >= f.passed_at + INTERVAL 21600 SECOND
   FROM fold f JOIN numbered n ON n.symbol = f.symbol AND n.anomaly_type = f.anomaly_type AND n.k = f.k + 1)"""
 
+LABELS = "SELECT trade_id, symbol, event_time, anomaly_type, price, z_score, price_change_pct, volume_spike FROM labelled"
+COOLDOWN = f"{ROLLED}, {FOLD.format(source=LABELS)}"
+
 DECIDED = """decided AS (
   SELECT symbol, greatest((trade_id * 37) % 1000 - 20, 0)::DOUBLE AS e2e_ms FROM trades)"""
 
@@ -237,6 +239,8 @@ CONFUSION_COLUMNS = (
     f"{share('2 * tp', '2 * tp + fp + fn')} AS f1"
 )
 
+CLOSED = "window_end <= (SELECT max(event_time) FROM trades) - INTERVAL 30 SECOND"
+
 ORACLE: dict[str, str] = {
     "parse_trades_json": f"""WITH {TRADES} SELECT symbol, make_timestamp(epoch_us(event_time) // 1000 * 1000) AS timestamp,
         {r('price')} AS price, {r('quantity')} AS quantity, trade_id,
@@ -446,4 +450,35 @@ ORACLE: dict[str, str] = {
     "injection_eval": f"""WITH {TRADES}, {BIG_SPIKES}, {rolling('injected_trades', '1e4')},
         judged AS (SELECT injected AS truth, is_z AS predicted FROM modelled WHERE history_length >= 50),
         {confusion('judged')} SELECT {CONFUSION_COLUMNS} FROM counted""",
+    "stream_window_features": f"""WITH {WINDOWED} SELECT symbol, {r('first_price')} AS first_price,
+        {r('last_price')} AS last_price, {r('avg_price')} AS avg_price, {r('std_price')} AS std_price,
+        {r('window_volume')} AS window_volume, {r('avg_quantity')} AS avg_quantity, {r('max_quantity')} AS max_quantity,
+        trade_count, injected_count, min_event_time, max_event_time, {r('price_change_pct')} AS price_change_pct,
+        {r('volume_spike')} AS volume_spike, {r('z_score')} AS z_score, time_range_sec,
+        {r('time_gap_sec')} AS mean_interarrival_sec, {r('time_gap_sec')} AS time_gap_sec,
+        max_event_time AS latest_event_time, window_start, window_end, hour FROM limited WHERE {CLOSED}""",
+    "stream_trades_sink": f"""WITH {WINDOWED} SELECT symbol, max_event_time AS timestamp, {r('last_price')} AS price,
+        {r('window_volume')} AS window_volume, {r('z_score')} AS z_score, {r('price_change_pct')} AS price_change_pct,
+        {r('volume_spike')} AS volume_spike, hour, window_start, window_end, trade_count FROM feats WHERE {CLOSED}""",
+    "stream_anomalies_sink": f"""WITH {WINDOWED} SELECT {ANOMALY_COLUMNS}, {r('time_gap_sec')} AS time_gap_sec,
+        anomaly_type, {r('anomaly_score')} AS anomaly_score, hour, window_start, window_end,
+        {r('if_anomaly_score')} AS if_anomaly_score FROM scored WHERE is_anomaly AND {CLOSED}""",
+    "stream_fanout": f"""WITH {WINDOWED} SELECT 'trades' AS "table", symbol, window_start, {r('last_price')} AS price,
+        {r('z_score')} AS z_score FROM scored WHERE {CLOSED}
+        UNION ALL SELECT 'anomalies', symbol, window_start, {r('last_price')}, {r('z_score')} FROM scored
+        WHERE is_anomaly AND {CLOSED}""",
+    "stream_rolling_features": f"""WITH {ROLLED} SELECT trade_id, symbol, history_length, {r('rolling_mean')} AS rolling_mean,
+        {r('rolling_std')} AS rolling_std, {r('z_score')} AS z_score, {r('vwap')} AS vwap,
+        {r('price_velocity')} AS price_velocity, {r('volume_spike')} AS volume_spike, {r('buy_pressure')} AS buy_pressure,
+        {r('price_change_pct')} AS price_change_pct, {r('time_gap_sec')} AS time_gap_sec FROM rolled""",
+    "stream_cooldown": f"""WITH RECURSIVE {TRADES}, found AS (
+          SELECT trade_id, symbol, event_time, CASE WHEN price > 60 THEN 'price' WHEN quantity > 90 THEN 'volume' END AS anomaly_type
+          FROM trades),
+        {FOLD.format(source='SELECT * FROM found WHERE anomaly_type IS NOT NULL')}
+        SELECT trade_id, symbol, event_time, anomaly_type FROM fold WHERE passes""",
+    "stream_outbox": f"""WITH {WINDOWED}, payloads AS (
+          SELECT symbol, {iso('max_event_time')} AS timestamp, anomaly_type, anomaly_score FROM scored
+          WHERE is_anomaly AND {CLOSED})
+        SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,
+        symbol, timestamp, anomaly_type, 'dispatcher' AS source FROM payloads""",
 }

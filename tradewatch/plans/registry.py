@@ -6,6 +6,7 @@ into a comparable form: doubles to six decimals, times without zone, integers as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,11 @@ from tradewatch.operators import alerts, detection, evaluation, marts, metrics,
 from tradewatch.operators.cooldown import thin
 from tradewatch.plans.flows import windowed_detections
 from tradewatch.sources import decode, kafka, scan
-from tradewatch.sources.events import load_event_trades
+from tradewatch.session import shared_folder
+from tradewatch.sinks.tables import append_stream, checkpoint_path
+from tradewatch.sources.events import load_event_trades, trades_from_events
+from tradewatch.streaming import fanout, stateful, windows
+from tradewatch.streaming.windows import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -386,7 +391,9 @@ def alert_keys(spark, folder):
 
 @query
 def alert_dedup(spark, folder):
-    keyed = alerts.with_alert_key(windowed_payloads(spark, folder))
+    """Every payload is dispatched twice, as after a restart; one of each remains."""
+    payloads = windowed_payloads(spark, folder)
+    keyed = alerts.with_alert_key(payloads.unionByName(payloads))
     return alerts.deduplicate(keyed, ["price", "z_score", "price_change_pct", "volume_spike"]).select(
         "alert_key", "symbol", "timestamp", "anomaly_type"
     )
@@ -628,3 +635,90 @@ def injection_eval(spark, folder):
         (F.col("injected") == 1).alias("truth"), (F.abs("z_score") > ROLLING.z_threshold).alias("predicted")
     )
     return evaluation.confusion_matrix(scored)
+
+
+# ---- streams ---------------------------------------------------------------------------------
+
+def _run(spark: SparkSession, start) -> str:
+    """Run a stream over everything available; ``start`` gets a fresh folder below the shared one."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    start(folder).awaitTermination()
+    return folder
+
+
+ONCE = {"availableNow": True}
+
+
+def trade_stream(spark: SparkSession, folder: str) -> DataFrame:
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    return trades_from_events(file_stream(spark, folder, schema, "events.parquet"))
+
+
+def stream_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    folder = _run(spark, lambda path: append_stream(
+        df, f"{path}/table", checkpoint_path(path, name), f"{name}-{uuid.uuid4().hex[:6]}", ONCE
+    ).start())
+    return spark.read.schema(df.schema).parquet(f"{folder}/table")
+
+
+def detection_stream(spark: SparkSession, folder: str) -> DataFrame:
+    features = windows.stream_window_features(trade_stream(spark, folder), WINDOWS)
+    return detection.detect_windows(features, LIMITS, DEFAULT_LIMITS, stub_model)
+
+
+@query
+def stream_window_features(spark, folder):
+    return stream_to_table(spark, windows.stream_window_features(trade_stream(spark, folder), WINDOWS), "features")
+
+
+@query
+def stream_trades_sink(spark, folder):
+    return stream_to_table(spark, windowed.trades_output(detection_stream(spark, folder)), "trades")
+
+
+@query
+def stream_anomalies_sink(spark, folder):
+    return stream_to_table(spark, windowed.anomalies_output(detection_stream(spark, folder)), "anomalies")
+
+
+@query
+def stream_fanout(spark, folder):
+    """Both tables written by one query, read back together."""
+    path = _run(spark, lambda path: fanout.fanout_stream(
+        detection_stream(spark, folder), path, checkpoint_path(path, "fanout"), ONCE
+    ).start())
+    columns = ["symbol", "window_start", "price", "z_score"]
+    trades_table = spark.read.parquet(f"{path}/trades").select(F.lit("trades").alias("table"), *columns)
+    anomalies_table = spark.read.parquet(f"{path}/anomalies").select(F.lit("anomalies").alias("table"), *columns)
+    return trades_table.unionByName(anomalies_table)
+
+
+@query
+def stream_rolling_features(spark, folder):
+    features = stateful.stream_rolling_features(trade_stream(spark, folder), ROLLING)
+    return stream_to_table(spark, features, "rolling").select(
+        "trade_id", "symbol", "history_length", "rolling_mean", "rolling_std", "z_score", "vwap", "price_velocity",
+        "volume_spike", "buy_pressure", "price_change_pct", "time_gap_sec",
+    )
+
+
+@query
+def stream_cooldown(spark, folder):
+    """Large and expensive trades as detections, thinned by the stateful cooldown."""
+    kind = F.when(F.col("price") > 60, "price").when(F.col("quantity") > 90, "volume")
+    found = trade_stream(spark, folder).select("trade_id", "symbol", "event_time", kind.alias("anomaly_type")).where(
+        F.col("anomaly_type").isNotNull()
+    )
+    return stream_to_table(spark, stateful.stream_cooldown(found, COOLDOWN_SECONDS), "cooldown")
+
+
+@query
+def stream_outbox(spark, folder):
+    """Anomalies table of one stream read by the alert stream; every row reaches the outbox once."""
+    found = windowed.anomalies_output(detection_stream(spark, folder))
+    source = _run(spark, lambda path: append_stream(
+        found, f"{path}/table", checkpoint_path(path, "source"), f"source-{uuid.uuid4().hex[:6]}", ONCE
+    ).start())
+    anomalies = file_stream(spark, f"{source}/table", found.schema)
+    path = _run(spark, lambda path: fanout.outbox_stream(anomalies, path, checkpoint_path(path, "outbox"), ONCE).start())
+    return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
