@@ -450,6 +450,12 @@ ORACLE: dict[str, str] = {
     "injection_eval": f"""WITH {TRADES}, {BIG_SPIKES}, {rolling('injected_trades', '1e4')},
         judged AS (SELECT injected AS truth, is_z AS predicted FROM modelled WHERE history_length >= 50),
         {confusion('judged')} SELECT {CONFUSION_COLUMNS} FROM counted""",
+    "model_fallback": f"""WITH {TRADES}, {SPELLED}, cleaned AS (
+          SELECT spelling, replace(trim(upper(spelling)), '-', '/') AS s FROM spelled), named AS (
+          SELECT spelling, coalesce(CASE WHEN contains(s, '/') OR length(s) <= 3 THEN s
+          ELSE regexp_replace(s, '^(.+)(USDT|USD|USDC|BTC|ETH|BNB)$', '\\1/\\2') END, '') AS n FROM cleaned)
+        SELECT spelling AS symbol, CASE WHEN n = 'BTC/USDT' THEN n WHEN n = 'ETH/USDT' THEN 'ETHUSDT' ELSE '_default_' END
+        AS model_key, count(*) AS trades FROM named GROUP BY 1, 2""",
     "stream_window_features": f"""WITH {WINDOWED} SELECT symbol, {r('first_price')} AS first_price,
         {r('last_price')} AS last_price, {r('avg_price')} AS avg_price, {r('std_price')} AS std_price,
         {r('window_volume')} AS window_volume, {r('avg_quantity')} AS avg_quantity, {r('max_quantity')} AS max_quantity,

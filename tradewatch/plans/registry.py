@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.config import (
-    AlertConfig, InjectionConfig, RetrainPolicy, RollingConfig, Thresholds, WindowConfig,
+    AlertConfig, ForestConfig, InjectionConfig, RetrainPolicy, RollingConfig, Thresholds, WindowConfig,
 )
 from tradewatch.functions.numbers import coerce_double, half_up
 from tradewatch.functions.symbols import normalize_symbol, stream_symbol
 from tradewatch.functions.timestamps import calendar_columns, decode_epoch
-from tradewatch.operators import alerts, detection, evaluation, marts, metrics, rolling, windowed
+from tradewatch.operators import alerts, detection, evaluation, forest, marts, metrics, rolling, windowed
 from tradewatch.operators.cooldown import thin
 from tradewatch.plans.flows import windowed_detections
 from tradewatch.sources import decode, kafka, scan
@@ -722,3 +722,67 @@ def stream_outbox(spark, folder):
     anomalies = file_stream(spark, f"{source}/table", found.schema)
     path = _run(spark, lambda path: fanout.outbox_stream(anomalies, path, checkpoint_path(path, "outbox"), ONCE).start())
     return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
+
+
+# ---- models ----------------------------------------------------------------------------------
+
+SMALL_FOREST = ForestConfig(n_trees=50, max_samples=128, contamination=0.02)
+# A narrow search, so that the check stays short; the full ranges are the library's default.
+SMALL_SPACE = {
+    "n_estimators": (10, 25), "max_samples": (0.01, 0.05), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0),
+}
+
+
+@query
+def model_fallback(spark, folder):
+    """Which model each spelling of a symbol gets, with three models on file."""
+    names = spelled(trades(spark, folder)).select(F.col("spelling").alias("symbol"))
+    keys = spark.createDataFrame([("BTC/USDT",), ("ETHUSDT",), (forest.DEFAULT_KEY,)], "symbol string")
+    return forest.resolve_models(names, keys).groupBy("symbol", "model_key").agg(F.count(F.lit(1)).alias("trades"))
+
+
+@query
+def iforest_train(spark, folder):
+    nodes, meta = forest.train(rolling_of(spark, folder), SMALL_FOREST)
+    sizes = nodes.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("nodes"), F.max("depth").alias("deepest"), F.count_if(F.col("feature") < 0).alias("leaves")
+    )
+    return meta.join(sizes, "symbol")
+
+
+@query
+def iforest_score(spark, folder):
+    features = rolling_of(spark, folder)
+    nodes, meta = forest.train(features, SMALL_FOREST)
+    return forest.score(features, nodes, meta, SMALL_FOREST).select(
+        "trade_id", "symbol", "z_score", "is_if_anomaly", "if_anomaly_score"
+    )
+
+
+@query
+def iforest_flags(spark, folder):
+    """Windowed detections with a forest trained on the windows themselves."""
+    features = window_features_of(spark, folder)
+    config = ForestConfig(n_trees=50, max_samples=64, contamination=0.05, min_rows=50)
+    keyed = features.withColumn("trade_id", F.unix_seconds("window_start")).withColumn("event_time", F.col("window_start"))
+    nodes, meta = forest.train(keyed, config)
+    model = forest.forest_model(nodes, meta, config)
+    return detection.detect_windows(features, LIMITS, DEFAULT_LIMITS, model).select(
+        "symbol", "window_start", "is_if_anomaly", "if_anomaly_score", "is_filtered_anomaly", "anomaly_type",
+        "anomaly_score", "detection_quality",
+    )
+
+
+def tuned(spark, folder):
+    table = scan.training_tail(rolling.rolling_trades_table(rolling_of(spark, folder))).withColumnRenamed("id", "trade_id")
+    return forest.tune(evaluation.proxy_labels(table), forest.draw_trials(8, space=SMALL_SPACE))
+
+
+@query
+def iforest_tune(spark, folder):
+    return tuned(spark, folder)
+
+
+@query
+def tune_importance(spark, folder):
+    return forest.parameter_importance(tuned(spark, folder))
