@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.config import DEFAULT_THRESHOLDS, SYMBOL_THRESHOLDS, RollingConfig, Thresholds
 from tradewatch.schemas import THRESHOLD_DDL
+from tradewatch.session import BROADCAST_LIMIT_ROWS
 
 _LIMITS = {"z_threshold": "z", "volume_threshold": "volume", "price_change_threshold": "price_change"}
 
@@ -41,13 +42,15 @@ def with_thresholds(
 ) -> DataFrame:
     """Attach the three limits of each row's symbol, defaulting field by field.
 
-    Limits given as a mapping are configuration of fixed size and are broadcast; a DataFrame is
-    joined with whatever strategy its own statistics justify.
+    Limits given as a mapping are broadcast while their number is small; a DataFrame is joined with
+    whatever strategy its own statistics justify.
     """
     if isinstance(overrides, DataFrame):
         limits = overrides
     else:
-        limits = F.broadcast(threshold_table(df.sparkSession, overrides))
+        limits = threshold_table(df.sparkSession, overrides)
+        if len(overrides) <= BROADCAST_LIMIT_ROWS:
+            limits = F.broadcast(limits)
     joined = df.join(limits, "symbol", "left")
     return joined.withColumns({
         column: F.coalesce(F.col(column), F.lit(float(getattr(default, attribute))))

@@ -42,9 +42,16 @@ def exact_percentiles(df: DataFrame, value: str, probabilities: dict[str, float]
         low, high = F.floor(w["rank"]), F.ceil(w["rank"])
         return (high >= F.col("_before")) & (low < F.col("_before") + F.col("_in_range"))
 
-    asked = spans.withColumn("_wanted", F.filter(wanted, touches)).where(F.size("_wanted") > 0).drop("_total")
+    asked = spans.withColumn("_wanted", F.filter(wanted, touches)).where(F.size("_wanted") > 0).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_k"), "_before", "_in_range", "_wanted"
+    )
+    # Null-safe equality keeps rows with null keys, and leaves both sides of the join with the same
+    # value counts, so that Spark computes these once and reuses the exchange.
+    same = F.col("_range").eqNullSafe(F.col("_k"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     inside = W.partitionBy(*keys, "_range").orderBy("_v")
-    placed = ranged.join(asked, [*keys, "_range"]).withColumn(
+    placed = ranged.join(asked, same).withColumn(
         "_from", F.col("_before") + F.sum("_n").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")
     ).withColumn("_w", F.explode("_wanted"))
     low, high = F.floor("_w.rank"), F.ceil("_w.rank")

@@ -258,15 +258,17 @@ def rolling_anomalies_table(labelled: DataFrame) -> DataFrame:
 
 
 def newest_per_key(
-    df: DataFrame, keys: list[str], n: int, order: tuple[str, ...] = ORDER, spread: int = 64
+    df: DataFrame, keys: list[str], n: int, order: tuple[str, ...] = ORDER, spread: int = 512
 ) -> DataFrame:
     """The newest ``n`` rows of each key, whole rows.
 
-    Ranked first inside ``spread`` hash shares of a key and then over the survivors. Spark applies
-    the rank limit before each shuffle, so no task receives more than ``n`` rows per input task.
+    Input tasks form ``spread`` shares. Rows are ranked first inside a share of a key and then over
+    the survivors, and Spark applies the rank limit before each shuffle: an input task sends at most
+    ``n`` rows per key, and these are reduced by many tasks before one sees the last ``spread * n``.
+    The result does not depend on which share a row falls into.
     """
     newest = [F.col(c).desc() for c in order]
-    share = F.pmod(F.xxhash64(*order), F.lit(spread))
+    share = F.pmod(F.spark_partition_id(), F.lit(spread))
     first = W.partitionBy(*keys, "_share").orderBy(*newest)
     final = W.partitionBy(*keys).orderBy(*newest)
     return (

@@ -345,10 +345,14 @@ def rolling_anomalies_table(spark, folder):
     return rolling.rolling_anomalies_table(detection.rolling_labels(rolling_stub(features), ROLLING))
 
 
+def training_tail_of(spark, folder):
+    table = rolling.rolling_trades_table(rolling_of(spark, folder))
+    return scan.training_tail(table, 10_000, trades(spark, folder).select(F.col("event_time").alias("timestamp")))
+
+
 @query
 def training_tail(spark, folder):
-    table = rolling.rolling_trades_table(rolling_of(spark, folder))
-    return scan.training_tail(table, 10_000)
+    return training_tail_of(spark, folder)
 
 
 @query
@@ -774,8 +778,8 @@ def iforest_flags(spark, folder):
 
 
 def tuned(spark, folder):
-    table = scan.training_tail(rolling.rolling_trades_table(rolling_of(spark, folder))).withColumnRenamed("id", "trade_id")
-    return forest.tune(evaluation.proxy_labels(table), forest.draw_trials(8, space=SMALL_SPACE))
+    tail = training_tail_of(spark, folder).withColumnRenamed("id", "trade_id")
+    return forest.tune(evaluation.proxy_labels(tail), forest.draw_trials(8, space=SMALL_SPACE))
 
 
 @query

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,10 +64,30 @@ def anomalies_since(anomalies: DataFrame, since, limit: int = 5000) -> DataFrame
     )
 
 
-def training_tail(trades: DataFrame, rows: int = 10_000) -> DataFrame:
-    """The newest rows of the trade log with the model features."""
+def newest_hours(times: DataFrame, rows: int, time: str = "timestamp") -> Column:
+    """Start of the hour since which there are at least ``rows`` rows, as a scalar subquery.
+
+    Counts per hour form a small table; running it backwards finds the hour. Sorting is then left
+    with the newest hours instead of every task's candidates.
+    """
+    hours = times.groupBy(F.date_trunc("hour", F.col(time)).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    since = F.sum("n").over(W.orderBy(F.desc("hour")).rowsBetween(W.unboundedPreceding, 0))
+    enough = hours.withColumn("since", since).agg(
+        F.coalesce(F.max(F.when(F.col("since") >= rows, F.col("hour"))), F.min("hour")).alias("hour")
+    )
+    return enough.select("hour").scalar()
+
+
+def training_tail(trades: DataFrame, rows: int = 10_000, times: DataFrame | None = None) -> DataFrame:
+    """The newest rows of the trade log with the model features.
+
+    ``times`` may name a cheaper table with the same ``timestamp`` values to find the tail in, when
+    ``trades`` is a computed frame.
+    """
+    start = newest_hours(trades if times is None else times, rows)
     return (
-        trades.orderBy(F.col("timestamp").desc(), F.col("id").desc())
+        trades.where(F.col("timestamp") >= start)
+        .orderBy(F.col("timestamp").desc(), F.col("id").desc())
         .limit(rows)
         .select("id", "symbol", "timestamp", "z_score", "price_change_pct", "time_gap_sec")
     )
