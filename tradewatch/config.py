@@ -46,12 +46,15 @@ class WindowConfig:
 
     ``tick_scale`` is the number of decimals of the price feed. When given, price sums are taken
     over whole ticks, so averages do not depend on the order in which partial sums are merged.
+    ``max_trade_id`` is the largest id the feed can send; when it is small enough, first and last
+    prices are found with a cheaper order key.
     """
 
     duration: str = "60 seconds"
     slide: str = "20 seconds"
     watermark: str = "30 seconds"
     tick_scale: int | None = None
+    max_trade_id: int | None = None
 
 
 @dataclass(frozen=True)

@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.numbers import fixed_text
 from tradewatch.functions.symbols import base_currency
-from tradewatch.functions.timestamps import order_key
+from tradewatch.functions.timestamps import micros_in, order_key, order_key_in_bucket
 
 
 def _position() -> Column:
     return order_key(F.col("event_time"), F.col("trade_id"))
 
 
-def candles(trades: DataFrame, interval: str) -> DataFrame:
+def candles(trades: DataFrame, interval: str, max_trade_id: int | None = None) -> DataFrame:
     """OHLCV per symbol and interval; intervals without trades have no row."""
+    bucket = micros_in(interval)
+    position = _position() if bucket is None else order_key_in_bucket(
+        F.col("event_time"), F.col("trade_id"), bucket, max_trade_id
+    )
     bars = (
-        trades.withColumn("_position", F.when(F.col("price").isNotNull(), _position()))
+        trades.withColumn("_position", F.when(F.col("price").isNotNull(), position))
         .groupBy("symbol", F.window("event_time", interval).alias("w"))
         .agg(
             F.min_by("price", "_position").alias("open"),
