@@ -18,8 +18,7 @@ def _decoded(raw: DataFrame, value: str) -> DataFrame:
     return raw.withColumn("_record", F.from_json(F.col(value).cast("string"), TRADE))
 
 
-def _usable() -> Column:
-    record = F.col("_record")
+def _usable(record: Column) -> Column:
     return record.isNotNull() & record["symbol"].isNotNull() & record["timestamp"].isNotNull()
 
 
@@ -28,7 +27,10 @@ def parse_trades(raw: DataFrame, value: str = "value") -> DataFrame:
 
     Works unchanged on a stream. Missing flags become false.
     """
-    return _decoded(raw, value).where(_usable()).select("_record.*").select(
+    record = F.from_json(F.col(value).cast("string"), TRADE)
+    # Filtering inside the generator decodes each message once; a plain filter on the decoded column
+    # would be pushed below the projection and decode it a second time.
+    return raw.select(F.inline(F.filter(F.array(record), _usable))).select(
         "symbol",
         F.timestamp_millis("timestamp").alias("timestamp"),
         "price",
@@ -42,14 +44,14 @@ def parse_trades(raw: DataFrame, value: str = "value") -> DataFrame:
 
 def rejected_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """The messages :func:`parse_trades` skips, as a side output."""
-    return _decoded(raw, value).where(~_usable()).drop("_record")
+    return _decoded(raw, value).where(~_usable(F.col("_record"))).drop("_record")
 
 
 def message_counts(raw: DataFrame, value: str = "value") -> DataFrame:
     """Accepted and rejected message counts, in one pass."""
     return _decoded(raw, value).agg(
-        F.count_if(_usable()).alias("accepted"),
-        F.count_if(~_usable()).alias("rejected"),
+        F.count_if(_usable(F.col("_record"))).alias("accepted"),
+        F.count_if(~_usable(F.col("_record"))).alias("rejected"),
         F.count(F.lit(1)).alias("total"),
     )
 
@@ -59,10 +61,11 @@ def parse_envelopes(raw: DataFrame, value: str = "value") -> DataFrame:
 
     Messages without ``stream`` or ``data`` are skipped; missing fields become zero or false.
     """
-    record = raw.select(F.from_json(F.col(value).cast("string"), ENVELOPE).alias("e"))
-    data = F.col("e.data")
+    envelope = F.from_json(F.col(value).cast("string"), ENVELOPE)
+    whole = F.filter(F.array(envelope), lambda e: (e["stream"] != "") & e["data"].isNotNull())
+    data = F.col("data")
     millis = F.coalesce(data["T"].try_cast("bigint"), F.lit(0))
-    return record.where((F.col("e.stream") != "") & data.isNotNull()).select(
+    return raw.select(F.inline(whole)).select(
         normalize_symbol(data["s"]).alias("symbol"),
         F.timestamp_millis(millis).alias("timestamp"),
         coerce_double(data["p"], 0.0).alias("price"),
