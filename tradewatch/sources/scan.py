@@ -33,15 +33,18 @@ def scan_latest_files(df: DataFrame, files: int) -> DataFrame:
 
 def scan_since(
     spark: SparkSession, path: str, since, time: str = "timestamp", files_modified_after: datetime | None = None,
-    pattern: str = "*.parquet",
+    pattern: str = "*.parquet", schema: StructType | None = None,
 ) -> DataFrame:
     """Rows at or after ``since``; the predicate reaches the file scan.
 
-    ``files_modified_after`` additionally skips older files by modification time.
+    ``files_modified_after`` additionally skips older files by modification time; give ``schema``
+    with it, because no file at all may be left to read one from.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     if files_modified_after is not None:
         reader = reader.option("modifiedAfter", files_modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    if schema is not None:
+        reader = reader.schema(schema)
     df = reader.parquet(path)
     kind = dict(df.dtypes)[time]
     return df.where(F.col(time) >= F.lit(since).cast(kind))
