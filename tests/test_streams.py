@@ -8,13 +8,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tradewatch.config import RollingConfig, WindowConfig
+from tradewatch.config import ForestConfig, RetrainPolicy, RollingConfig, WindowConfig
 from tradewatch.operators import windowed
 from tradewatch.operators.cooldown import thin
 from tradewatch.operators.detection import detect_windows, stub_model_flags
-from tradewatch.operators.rolling import rolling_features
+from tradewatch.operators.rolling import rolling_features, warm_start_history
+from tradewatch.sinks import tables
 from tradewatch.sinks.tables import append_stream, checkpoint_path
-from tradewatch.streaming import fanout, monitor, stateful, windows
+from tradewatch.sources.models import load_models
+from tradewatch.streaming import fanout, monitor, retrain, stateful, windows
 
 WINDOWS = WindowConfig("1 day", "8 hours")
 ONCE = {"availableNow": True}
@@ -112,6 +114,18 @@ def test_rolling_stream_over_files_and_restart_equals_batch(spark, small_trades,
     )
 
 
+def test_rolling_stream_with_warm_start_equals_batch_tail(spark, small_trades, folder):
+    config = RollingConfig(window=60, min_history=20, vwap_window=40, spike_window=30)
+    past, recent = slices(small_trades, 2)
+    add_file(recent, f"{folder}/in")
+    last = past.agg(F.max("event_time")).first()[0]
+    seed = warm_start_history(past, last, minutes=60 * 24 * 40, rows=config.window)
+    run(stateful.stream_rolling_features(stream_of(spark, small_trades, folder), config, seed), folder)
+    columns = ["trade_id", "history_length", "rolling_mean", "z_score", "vwap", "buy_pressure", "time_gap_sec"]
+    batch = rolling_features(small_trades, config).join(recent.select("trade_id"), "trade_id", "left_semi")
+    same(spark.read.parquet(f"{folder}/table").select(columns), batch.select(columns), ["trade_id"])
+
+
 def test_rolling_stream_takes_old_trades_as_they_arrive(spark, folder):
     ddl = "symbol string, trade_id bigint, s double, price double, quantity double, is_buyer_maker boolean"
 
@@ -212,3 +226,32 @@ def test_single_file_option(spark, small_trades, folder):
 @pytest.mark.parametrize("name", ["trades", "anomalies"])
 def test_checkpoints_are_stable(name):
     assert checkpoint_path("/a", name) == checkpoint_path("/a/", name)
+
+
+def test_models_are_trained_and_used_on_the_way(spark, medium_trades, folder):
+    for part in slices(medium_trades, 3):
+        add_file(part, f"{folder}/in")
+    rolling = RollingConfig(tick_scale=2)
+    config = ForestConfig(n_trees=20, max_samples=64, contamination=0.02)
+    policy = RetrainPolicy(first=100, every=1500)
+    features = stateful.stream_rolling_features(stream_of(spark, medium_trades, folder), rolling)
+    retrain.retraining_stream(
+        features, folder, checkpoint_path(folder, "r"), config, policy, rolling, ONCE
+    ).start().awaitTermination()
+    # About 2,000 usable trades per symbol arrive in three batches: trained after the first and the third.
+    versions = sorted(r[0] for r in spark.read.parquet(f"{folder}/models/meta").select("version").distinct().collect())
+    assert [int(v) for v in versions] == [0, 2]
+    found = spark.read.parquet(f"{folder}/detections").groupBy("batch_id", "anomaly_type").count().collect()
+    by_model = {r["batch_id"] for r in found if "isoforest" in r["anomaly_type"]}
+    assert by_model == {1, 2}
+    nodes, meta = load_models(spark, f"{folder}/models", ["BTC/USDT"])
+    assert [r["symbol"] for r in meta.collect()] == ["BTC/USDT"] and nodes.select("symbol").distinct().count() == 1
+
+
+def test_metrics_files(spark, folder):
+    row = spark.createDataFrame([(1, 2.0)], "total_trades bigint, rate double")
+    tables.write_metrics(row, folder)
+    tables.write_metrics(row, folder)
+    assert spark.read.json(f"{folder}/latest").count() == 1
+    assert spark.read.option("header", True).csv(f"{folder}/history").count() == 2
+    assert "detection_time" in tables.with_detection_time(row).columns

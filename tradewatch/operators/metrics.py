@@ -129,8 +129,27 @@ def metric_intervals(events: DataFrame, interval: str = "10 seconds") -> DataFra
     ).select(F.col("w.start").alias("interval_start"), "io_write_ms_avg", "bytes_written", "refits", "refit_time_ms")
 
 
-def run_summary(counts: DataFrame, latency: DataFrame, lag: DataFrame, intervals: DataFrame) -> DataFrame:
-    """One row for the whole run; every input is already a single row or a small table."""
+def timing_summary(events: DataFrame) -> DataFrame:
+    """Mean processing and detection time in seconds and the number of alerts, from metric events."""
+    def mean_sec(kind: str) -> Column:
+        return F.coalesce(F.avg(F.when(F.col("kind") == kind, F.col("ms"))) / F.lit(1e3), F.lit(0.0))
+
+    return events.agg(
+        half_up(mean_sec("process"), 6).alias("avg_processing_time_sec"),
+        half_up(mean_sec("detect"), 6).alias("avg_detection_time_sec"),
+        F.count_if(F.col("kind") == "alert").alias("total_alerts"),
+    )
+
+
+def run_summary(
+    counts: DataFrame, latency: DataFrame, lag: DataFrame, intervals: DataFrame,
+    timing: DataFrame | None = None, top: DataFrame | None = None, metadata: dict | None = None,
+) -> DataFrame:
+    """One row for the whole run; every input is already a single row or a small table.
+
+    ``timing`` is a :func:`timing_summary`, ``top`` a :func:`top_symbols_json`; ``metadata`` holds run
+    labels such as ``run_id``, ``env_mode``, ``replica`` and ``partitions``.
+    """
     io = intervals.agg(
         F.coalesce(F.avg("io_write_ms_avg"), F.lit(0.0)).alias("io_write_ms_avg"),
         F.coalesce(F.sum("bytes_written"), F.lit(0)).alias("bytes_written"),
@@ -143,12 +162,14 @@ def run_summary(counts: DataFrame, latency: DataFrame, lag: DataFrame, intervals
     )
     # One scalar subquery per input: single rows need no join.
     inputs = {"_latency": latency, "_lag": lag, "_io": io}
+    inputs |= {name: frame for name, frame in (("_timing", timing), ("_top", top)) if frame is not None}
     summary = summary.withColumns({
         name: frame.select(F.struct(*frame.columns)).scalar() for name, frame in inputs.items()
     })
     return summary.select(
         *counts.columns, "detection_rate_pct",
         *[F.col(f"{name}.{c}").alias(c) for name, frame in inputs.items() for c in frame.columns],
+        *[F.lit(value).alias(name) for name, value in (metadata or {}).items()],
     )
 
 

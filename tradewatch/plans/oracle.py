@@ -195,13 +195,15 @@ LAG = """lags AS (
            greatest(max(trade_id) - CASE WHEN trade_id % 3 = 2 THEN 0 ELSE min(trade_id) END, 0) AS lag
     FROM trades GROUP BY 1, 2) GROUP BY sample)"""
 
+WRITES = "trade_id % 50 NOT IN (0, 3) AND trade_id % 5 NOT IN (1, 2)"
+
 INTERVALS = """intervals AS (
   SELECT time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00:00:00') AS interval_start,
-         coalesce(avg(CASE WHEN trade_id % 50 <> 0 THEN (trade_id % 16)::DOUBLE END), 0e0) AS io_write_ms_avg,
-         coalesce(sum(CASE WHEN trade_id % 50 <> 0 THEN trade_id % 100 + 200 END), 0)::BIGINT AS bytes_written,
+         coalesce(avg(CASE WHEN {writes} THEN (trade_id % 16)::DOUBLE END), 0e0) AS io_write_ms_avg,
+         coalesce(sum(CASE WHEN {writes} THEN trade_id % 100 + 200 END), 0)::BIGINT AS bytes_written,
          count(*) FILTER (trade_id % 50 = 0) AS refits,
          coalesce(sum(CASE WHEN trade_id % 50 = 0 THEN (trade_id % 16)::DOUBLE END), 0e0) AS refit_time_ms
-  FROM trades GROUP BY 1)"""
+  FROM trades GROUP BY 1)""".format(writes=WRITES)
 
 SPELLED = """spelled AS (
   SELECT trade_id, CASE trade_id % 5 WHEN 0 THEN replace(symbol, '/', '') WHEN 1 THEN lower(replace(symbol, '/', '-'))
@@ -429,9 +431,13 @@ ORACLE: dict[str, str] = {
         e AS (SELECT {LATENCY} FROM decided),
         g AS (SELECT min(low) AS lag_min, {r('avg(mean)')} AS lag_avg, max(high) AS lag_max FROM lags),
         i AS (SELECT {r('avg(io_write_ms_avg)')} AS io_write_ms_avg, sum(bytes_written)::BIGINT AS bytes_written,
-              sum(refits)::BIGINT AS refits, {r('sum(refit_time_ms)')} AS refit_time_ms FROM intervals)
+              sum(refits)::BIGINT AS refits, {r('sum(refit_time_ms)')} AS refit_time_ms FROM intervals),
+        t AS (SELECT {r(r('avg(trade_id % 16) FILTER (trade_id % 5 = 1) / 1e3'))} AS avg_processing_time_sec,
+              {r(r('avg(trade_id % 16) FILTER (trade_id % 5 = 2) / 1e3'))} AS avg_detection_time_sec,
+              count(*) FILTER (trade_id % 50 = 3) AS total_alerts FROM trades)
         SELECT total_trades, total_anomalies,
-        {r(r('total_anomalies::DOUBLE / total_trades * 100'))} AS detection_rate_pct, e.*, g.*, i.* FROM c, e, g, i""",
+        {r(r('total_anomalies::DOUBLE / total_trades * 100'))} AS detection_rate_pct, e.*, g.*, i.*, t.*,
+        'check' AS run_id, 'batch' AS env_mode, 3::BIGINT AS partitions FROM c, e, g, i, t""",
     "inject_pct": f"""WITH {TRADES}, h AS (SELECT *, ((trade_id % 1000003) * 7919) % 10007 < 1000 AS hit,
         (((trade_id % 1000003) * 7919 + 104729) % 10007) % 2 = 0 AS up FROM trades)
         SELECT trade_id, {r('CASE WHEN hit THEN greatest(0e0, price * (CASE WHEN up THEN 1.02e0 ELSE 0.98e0 END)) ELSE price END')}

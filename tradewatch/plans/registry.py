@@ -537,9 +537,11 @@ def offsets(spark, folder):
 
 
 def metric_events(spark, folder):
+    kind = F.col("trade_id") % 5
     return trades(spark, folder).select(
         "event_time",
-        F.when(F.col("trade_id") % 50 == 0, "refit").otherwise("write").alias("kind"),
+        F.when(F.col("trade_id") % 50 == 0, "refit").when(kind == 1, "process").when(kind == 2, "detect")
+        .when(F.col("trade_id") % 50 == 3, "alert").otherwise("write").alias("kind"),
         F.pmod("trade_id", F.lit(16)).cast("double").alias("ms"),
         (F.col("trade_id") % 100 + 200).alias("bytes"),
     )
@@ -575,6 +577,8 @@ def run_summary(spark, folder):
         metrics.latency_percentiles(decided(spark, folder)),
         metrics.lag_stats(offsets(spark, folder)),
         metrics.metric_intervals(metric_events(spark, folder), "6 hours"),
+        metrics.timing_summary(metric_events(spark, folder)),
+        metadata={"run_id": "check", "env_mode": "batch", "partitions": 3},
     )
 
 

@@ -43,6 +43,18 @@ def write_csv_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+def with_detection_time(df: DataFrame) -> DataFrame:
+    """Stamp rows with the time of writing. Only for the edge: it makes results differ between runs."""
+    return df.withColumn("detection_time", F.current_timestamp())
+
+
+def write_metrics(summary: DataFrame, path: str) -> None:
+    """Append a run summary to the CSV history and replace the JSON snapshot."""
+    row = summary.coalesce(1)  # a summary is one row
+    row.write.mode("append").option("header", True).csv(f"{path}/history")
+    row.write.mode("overwrite").json(f"{path}/latest")
+
+
 def append_stream(
     df: DataFrame,
     path: str,

@@ -29,6 +29,14 @@ def _micros(times: pd.Series) -> np.ndarray:
     return times.to_numpy().astype("datetime64[us]").astype(np.int64)
 
 
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.sort_values(["event_time", "trade_id"], kind="stable", ignore_index=True)
+
+
+def _as_history(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"us": _micros(rows["event_time"]), **{c: rows[c] for c in _HISTORY[1:]}})
+
+
 class RollingHistory(StatefulProcessor):
     """Keeps the last ``window - 1`` trades of a symbol and measures each new trade against them.
 
@@ -42,14 +50,24 @@ class RollingHistory(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.history = handle.getListState("history", _HISTORY_DDL)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Seed the history of a symbol; the seed may arrive in several pieces."""
+        seed = _as_history(_in_order(initialState))
+        kept = list(self.history.get())
+        if kept:
+            seed = pd.concat([pd.DataFrame(kept, columns=seed.columns), seed]).sort_values(["us", "trade_id"], kind="stable")
+        self._keep(seed)
+
+    def _keep(self, rows: pd.DataFrame) -> None:
+        self.history.put([
+            (int(us), int(i), float(p), float(q), int(b))
+            for us, i, p, q, b in rows.tail(self.config.window - 1).itertuples(index=False)
+        ])
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows), ignore_index=True)
-        fresh = fresh.sort_values(["event_time", "trade_id"], kind="stable", ignore_index=True)
+        fresh = _in_order(pd.concat(list(rows), ignore_index=True))
         kept = list(self.history.get())
-        new = pd.DataFrame({
-            "us": _micros(fresh["event_time"]), "trade_id": fresh["trade_id"], "price": fresh["price"],
-            "quantity": fresh["quantity"], "is_buyer_maker": fresh["is_buyer_maker"],
-        })
+        new = _as_history(fresh)
         joined = new
         if kept:
             joined = pd.concat([pd.DataFrame(kept, columns=list(new.columns)), new], ignore_index=True)
@@ -64,10 +82,7 @@ class RollingHistory(StatefulProcessor):
                 kind = "Int64" if column.dtype.kind == "i" else "Float64"
                 column = column.astype(kind).mask(pd.Series(missing[len(kept):]))
             out[name] = column
-        tail = joined.tail(self.config.window - 1)
-        self.history.put([
-            (int(us), int(i), float(p), float(q), int(b)) for us, i, p, q, b in tail.itertuples(index=False)
-        ])
+        self._keep(joined)
         names = [field.split()[0] for field in MEASURED_DDL.split(", ")]
         yield pd.DataFrame(out)[names]
 
@@ -85,8 +100,7 @@ class Cooldown(StatefulProcessor):
         self.last = handle.getValueState("last", "us bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows), ignore_index=True)
-        fresh = fresh.sort_values(["event_time", "trade_id"], kind="stable", ignore_index=True)
+        fresh = _in_order(pd.concat(list(rows), ignore_index=True))
         times = _micros(fresh["event_time"])
         picked = passing(times, self.gap, self.last.get()[0] + self.gap) if self.last.exists() else passing(times, self.gap)
         if len(picked):
@@ -97,11 +111,18 @@ class Cooldown(StatefulProcessor):
         pass
 
 
-def stream_rolling_features(trades: DataFrame, config: RollingConfig = RollingConfig()) -> DataFrame:
-    """Rolling features of a trade stream; same columns and values as the batch form."""
+def stream_rolling_features(
+    trades: DataFrame, config: RollingConfig = RollingConfig(), history: DataFrame | None = None
+) -> DataFrame:
+    """Rolling features of a trade stream; same columns and values as the batch form.
+
+    ``history`` (a batch frame, see ``warm_start_history``) seeds the state of a query's first run.
+    """
     use_rocksdb(trades.sparkSession)
+    seed = rolling_input(history).groupBy("symbol") if history is not None else None
     measured = rolling_input(trades).groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=RollingHistory(config), outputStructType=MEASURED_DDL, outputMode="Append", timeMode="None",
+        initialState=seed,
     )
     return features_from_measures(measured, config)
 
