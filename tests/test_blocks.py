@@ -23,7 +23,8 @@ def skewed(trades, shape):
         return trades.withColumn("symbol", F.lit("BTC/USDT"))
     hot = F.lit("2024-01-08 00:00:00").cast("timestamp")
     return trades.withColumns({
-        "symbol": F.when(F.col("trade_id") % 3 == 0, "ETH/USDT").otherwise("BTC/USDT"),
+        # The busier of the two symbols is a missing one.
+        "symbol": F.when(F.col("trade_id") % 3 == 0, "ETH/USDT"),
         # A third of all rows share one instant.
         "event_time": F.when(F.col("trade_id").between(2000, 5333), hot).otherwise(F.col("event_time")),
     })

@@ -52,7 +52,7 @@ def events(spark, pattern):
         seconds = np.sort(rng.integers(0, 5_000_000, 6000))
     else:  # half the events at one instant
         seconds = np.sort(np.r_[np.full(3000, 9000), rng.integers(0, 20_000, 3000)])
-    rows = [(int(i), int(s), "A" if i % 3 else "B", "z") for i, s in enumerate(seconds)]
+    rows = [(int(i), int(s), None if i % 3 else "B", "z") for i, s in enumerate(seconds)]
     return spark.createDataFrame(rows, "trade_id bigint, s bigint, symbol string, anomaly_type string").withColumn(
         "event_time", F.timestamp_seconds("s")
     )
@@ -64,7 +64,7 @@ def test_thin_equals_sequential_pass(spark, pattern, block_rows):
     df = events(spark, pattern).cache()
     pdf = df.toPandas().sort_values(["s", "trade_id"])
     want = set()
-    for _, group in pdf.groupby("symbol"):
+    for _, group in pdf.groupby("symbol", dropna=False):
         picked = sequential(group["s"].tolist(), 60)
         want |= set(group["trade_id"].iloc[picked])
     got = [r["trade_id"] for r in thin(df, ["symbol", "anomaly_type"], 60, block_rows=block_rows).collect()]

@@ -13,6 +13,8 @@ evaluated inside the cell alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -38,6 +40,18 @@ class SplitFrame:
         return self.keys + self.cell_columns
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str, small: bool = True) -> DataFrame:
+    """Join on equal or equally null columns; a missing symbol can be as frequent as any other.
+
+    ``small`` marks a materialised right side, which is broadcast if its counted size allows.
+    """
+    renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in names})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_right_{name}")) for name in names])
+    return left.join(broadcast_if_small(renamed) if small else renamed, same, how).drop(
+        *[f"_right_{name}" for name in names]
+    )
+
+
 def _bounds(time: Column, ident: Column) -> list[Column]:
     micros = F.unix_micros(time)
     return [
@@ -70,10 +84,9 @@ def split_keys(
     """Tag rows of large keys with a cell; rows of small keys keep the key as their only cell."""
     time_col, id_col = F.col(time), F.coalesce(F.col(ident), F.lit(0).cast("bigint"))
     stats = df.groupBy(*keys).agg(*_bounds(time_col, id_col))
-    heavy = stats.where(_too_large(block_rows))
+    heavy = materialise(stats.where(_too_large(block_rows)))
     if heavy.isEmpty():
         return SplitFrame(df, keys, [], None)
-    heavy = materialise(heavy)
 
     rows, path, leaves = df, [], []
     for depth in range(_MAX_DEPTH):
@@ -87,7 +100,7 @@ def split_keys(
             F.greatest(F.lit(1), F.ceil((high - low + 1) / parts)).cast("bigint").alias("_step"),
         )
         cell = f"_cell{depth}"
-        rows = rows.join(broadcast_if_small(spec), keys + path, "left")
+        rows = join_null_safe(rows, spec, keys + path, "left")
         offset = F.when(F.col("_by_time"), F.unix_micros(time_col)).otherwise(id_col) - F.col("_low")
         inside = F.col("_step").isNotNull()
         slice_width = F.greatest(F.lit(1), F.call_function("div", F.col("_step"), F.lit(_SLICES)))
@@ -165,7 +178,7 @@ def with_halo(split: SplitFrame, halo_rows: int) -> DataFrame:
         *keys, target.alias("_target"), F.col("start").alias("to"), "want", "_bucket",
         F.col("_first").alias("_need_first"),
     )
-    pairs = lends.join(needs, keys + ["_bucket"]).where(
+    pairs = join_null_safe(lends, needs, keys + ["_bucket"], "inner", small=False).where(
         (F.col("end") <= F.col("to")) & (F.col("end") > F.col("want"))
         & (F.col("_bucket") == F.greatest("_lend_first", "_need_first"))
     )
@@ -188,7 +201,7 @@ def with_halo(split: SplitFrame, halo_rows: int) -> DataFrame:
         lambda p: F.struct(p["_target"].alias("_target"), F.lit(True).alias("_halo")),
     )
     own = F.array(F.struct(target.alias("_target"), F.lit(False).alias("_halo")))
-    tagged = split.rows.join(broadcast_if_small(lending), keys + path, "left")
+    tagged = join_null_safe(split.rows, lending, keys + path, "left")
     placed = tagged.withColumn("_place", F.explode(F.concat(own, copies)))
     plain = [c for c in split.rows.columns if c not in path and c != "_tail"]
     return placed.select(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.operators.blocks import split_keys
+from tradewatch.operators.blocks import join_null_safe, split_keys
 
 _NEVER = -(2**62)
 
@@ -124,5 +124,5 @@ def thin(
         picked = passing(times, gap, _NEVER if entry is None else entry)
         return block.take(pa.array(picked)).select(names)
 
-    entered = split.rows.drop("_tail").join(entries, groups, "left")
+    entered = join_null_safe(split.rows.drop("_tail"), entries, groups, "left", small=False)
     return entered.groupBy(*groups).applyInArrow(emit, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tradewatch.config import RetrainPolicy, RollingConfig
 from tradewatch.functions.numbers import ratio, ticks
 from tradewatch.functions.timestamps import calendar_columns, with_event_time
-from tradewatch.operators.blocks import split_keys, with_halo
+from tradewatch.operators.blocks import join_null_safe, split_keys, with_halo
 from tradewatch.operators.sliding import shifted, sliding_m2, sliding_sum
 
 ORDER = ("event_time", "trade_id")
@@ -316,7 +316,7 @@ def trade_numbers(trades: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
     before = W.partitionBy("symbol").orderBy("t_lo", "i_lo").rowsBetween(W.unboundedPreceding, -1)
     offsets = split.cells.select(*groups, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     return (
-        numbered.join(offsets, groups, "left")
+        join_null_safe(numbered, offsets, groups, "left", small=False)
         .withColumn("trade_number", F.col("trade_number") + F.coalesce("_before", F.lit(0)))
         .drop("_before", "_tail", *split.cell_columns)
     )
