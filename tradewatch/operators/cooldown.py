@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.operators.blocks import join_null_safe, split_keys
+from tradewatch.session import materialise
 
 _NEVER = -(2**62)
 
@@ -67,8 +68,13 @@ def thin(
     ident: str = "trade_id",
     block_rows: int = 1_000_000,
 ) -> DataFrame:
-    """The rows of ``df`` that pass the cooldown of their key, by event time."""
+    """The rows of ``df`` that pass the cooldown of their key, by event time.
+
+    Detections are few but costly to compute and are read more than once here, so they are
+    materialised first.
+    """
     gap = seconds * 1_000_000
+    df = materialise(df)
     schema = df.schema
     split = split_keys(df, keys, time, ident, block_rows)
     names = df.columns

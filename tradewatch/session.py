@@ -20,6 +20,8 @@ def build_session(app_name: str = "tradewatch", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.streaming.stopGracefullyOnShutdown": "true",
+        # Call-site capture makes every column expression cost several extra round trips to the JVM.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
