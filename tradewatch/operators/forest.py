@@ -114,6 +114,12 @@ class Forest:
         self.norm = float(max(expected_path(np.array([psi]))[0], 1e-9))
         self.cut = cut
 
+    @classmethod
+    def restored(cls, state: dict) -> Forest:
+        forest = cls.__new__(cls)
+        forest.__dict__.update(state)
+        return forest
+
     def scores(self, points: np.ndarray, rows_at_once: int = 4096) -> np.ndarray:
         """Anomaly score of each point; near 1 is anomalous, well below 0.5 is normal."""
         out = np.empty(len(points))
@@ -226,12 +232,13 @@ def _score_broadcast(df: DataFrame, forest: DataFrame, meta: DataFrame, config:
     for symbol, (psi, cut) in facts.items():
         mine = nodes.filter(pc.equal(nodes["symbol"], symbol))
         if mine.num_rows:
-            models[symbol] = _forest(mine, psi, cut)
+            # Broadcasts are pickled by reference, so plain arrays travel instead of the class.
+            models[symbol] = vars(_forest(mine, psi, cut))
     shared = df.sparkSession.sparkContext.broadcast(models)
 
     @F.pandas_udf(_SCORE_DDL)
     def apply(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = {key: Forest.restored(state) for key, state in shared.value.items()}
         for name, *measures in batches:
             points = _points([m.to_numpy() for m in measures])
             values, flags = np.zeros(len(name)), np.zeros(len(name), dtype=bool)
