@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewatch.llm import mixing, quality, sharding, topk
+from tradewatch.llm import mixing, quality, secrets, sharding, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,8 @@ def _table(operator: Callable[[DataFrame], DataFrame], name: str = "documents")
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": _table(mixing.mixture),
+    "op2_secret_scan": _table(secrets.secret_spans),
+    "op3_warc_salvage": _table(warc.round_trip, "pages"),
     "op6_quality_rules": _table(quality.document_quality),
     "op8_exact_topk": _table(topk.top_k, "embeddings"),
     "op9_ring_shards": _table(sharding.document_shards),
@@ -77,6 +79,20 @@ SELECT doc_id, source, size, source_size, target,
 FROM taken
 """
 
+_OP3 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM m
+"""
+
 _OP8 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
@@ -150,4 +166,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": _OP1, "op6_quality_rules": _OP6, "op8_exact_topk": _OP8}
+ORACLE: dict[str, str] = {"op1_mix_sources": _OP1, "op3_warc_salvage": _OP3, "op6_quality_rules": _OP6, "op8_exact_topk": _OP8}
