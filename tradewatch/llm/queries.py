@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewatch.llm import mixing, quality, secrets, sharding, topk, warc
+from tradewatch.llm import bpe, mixing, quality, secrets, sharding, token_shards, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,9 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": _table(mixing.mixture),
     "op2_secret_scan": _table(secrets.secret_spans),
     "op3_warc_salvage": _table(warc.round_trip, "pages"),
+    "op4_bpe_chunks": _table(bpe.document_tokens),
     "op6_quality_rules": _table(quality.document_quality),
+    "op7_token_shards": _table(token_shards.materialised),
     "op8_exact_topk": _table(topk.top_k, "embeddings"),
     "op9_ring_shards": _table(sharding.document_shards),
 }
