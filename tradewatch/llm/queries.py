@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewatch.llm import bpe, mixing, quality, secrets, sharding, token_shards, topk, warc
+from tradewatch.llm import bpe, mixing, near_dups, quality, secrets, sharding, token_shards, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": _table(quality.document_quality),
     "op7_token_shards": _table(token_shards.materialised),
     "op8_exact_topk": _table(topk.top_k, "embeddings"),
+    "op10_minhash_near_dups": _table(near_dups.near_duplicates),
     "op9_ring_shards": _table(sharding.document_shards),
 }
 
