@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewatch.llm import bpe, mixing, near_dups, quality, secrets, sharding, token_shards, topk, warc
+from tradewatch.llm import bpe, mixing, near_dups, quality, secrets, sharding, substrings, token_shards, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op2_secret_scan": _table(secrets.secret_spans),
     "op3_warc_salvage": _table(warc.round_trip, "pages"),
     "op4_bpe_chunks": _table(bpe.document_tokens),
+    "op5_suffix_dedup": _table(substrings.document_repeats),
     "op6_quality_rules": _table(quality.document_quality),
     "op7_token_shards": _table(token_shards.materialised),
     "op8_exact_topk": _table(topk.top_k, "embeddings"),
