@@ -38,6 +38,12 @@ TASK_BYTES = 2_000_000
 _REL = np.uint64((1 << 20) - 1)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 class Anchors:
     """Finds the anchors of the windows of a text."""
 
@@ -45,8 +51,8 @@ class Anchors:
         self.length, self.gram = length, gram
         step = 0x9E3779B97F4A7C15
         n = STRETCH + length + 1
-        self.powers = np.multiply.accumulate(np.concatenate([[1], np.full(n, step, np.uint64)]).astype(np.uint64))
-        self.inverse = np.multiply.accumulate(np.concatenate([[1], np.full(n, pow(step, -1, 2**64), np.uint64)]).astype(np.uint64))
+        self.powers = _powers(step, n)
+        self.inverse = _powers(pow(step, -1, 2**64), n)
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gram hash, first window start and last + 1 of every stretch of windows with one anchor."""
