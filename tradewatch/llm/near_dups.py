@@ -4,11 +4,14 @@ Documents with equal shingle sets are one class from the start. Each class has a
 buckets, and classes that share a bucket are candidates. The number of rows per band is the largest that misses a pair at
 the threshold with at most ``MISS`` chance. Candidates of a bucket are compared on their signatures batch by batch: after
 each batch the pair is dropped if the posterior chance that its similarity reaches the threshold (uniform prior) is below
-``EPSILON``. The survivors that join different components are proposed as links, at most a spanning forest per bucket;
-the full shingle sets decide, a link joins components and a refused pair is not proposed again. Rounds go on until no
-bucket proposes anything, so every candidate pair is verified or already connected, and what is written stays linear in
-the size of a group. Buckets with the same members are looked at once; buckets of more than ``BLOCK`` members are cut into
-blocks that meet pairwise in different tasks.
+``EPSILON``. The survivors are verified on the full shingle sets, and links join components.
+
+To keep what is written linear in a group that is connected, the first ``FOREST_ROUNDS`` rounds propose only survivors that
+join different components, at most a spanning forest per bucket, each round in another hashed order of the members. The
+last round verifies every survivor that is still between two components on the spot, each pair in the first bucket that it
+shares, and writes only links. So every candidate pair ends up verified or connected. Buckets with the same members are
+looked at once; buckets of more than ``BLOCK`` members are cut into blocks; these meet pairwise, in different tasks,
+in the last round, while in the others each is for itself and dealt anew.
 
 Defined cases: null texts and texts without words have the empty set, are linked with nothing and stay; texts with fewer
 words than a shingle have their whole sequence as one shingle; equal rows are one class, with doc_id ties kept together
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.llm.common import staged
@@ -34,8 +37,10 @@ HASHES = 128
 BATCH = 16
 MISS = 1e-6
 EPSILON = 1e-6
-BLOCK = 512
+BLOCK = 256
+FOREST_ROUNDS = 2
 KNOWN_WORDS = 200_000
+KNOWN_SETS = 500
 
 
 def rows_per_band(percent: int, hashes: int = HASHES, miss: float = MISS) -> int:
@@ -144,49 +149,64 @@ class _Forest:
         self.of[self.of == self.of[b]] = self.of[a]
 
 
-def proposals(left: dict, right: dict | None, refused: set, least: list[int], percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of ids that survive the sequential test and join different components: a forest over the members of a block
-    (``right`` None) or over two blocks. Each is ids, components, sizes, signatures."""
-    both = left if right is None else {k: np.concatenate([left[k], right[k]]) for k in left}
-    ids, sizes, signs = both["ids"], both["sizes"], both["signs"]
-    forest, n, edge = _Forest(both["components"]), len(ids), len(left["ids"])
+def survivors(i: int, rest: np.ndarray, sizes: np.ndarray, signs: np.ndarray, least: list[int], percent: int) -> np.ndarray:
+    """Those of the members ``rest`` that pass the sequential test against member ``i``, the likeliest first."""
+    a, b = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
+    rest = rest[100 * a >= percent * b]
+    matches = np.zeros(len(rest), np.int64)
+    for k, fewest in enumerate(least):
+        if not len(rest):
+            break
+        columns = slice(k * BATCH, (k + 1) * BATCH)
+        matches = matches + (signs[rest, columns] == signs[i, columns]).sum(1)
+        rest, matches = rest[matches >= fewest], matches[matches >= fewest]
+    return rest[np.argsort(-matches, kind="stable")]
+
+
+def block_links(rows: list[dict], hashes: int, least: list[int], percent: int, shingler: Shingler | None) -> Iterator[tuple[int, int]]:
+    """Links within a block (all rows of side 0) or between two blocks, of members in different components, at most a
+    forest: proposals if there is no ``shingler``, else verified links among all survivors."""
+    ids = np.array([r["id"] for r in rows], np.int64)
+    sizes = np.array([r["n_shingles"] for r in rows], np.int64)
+    signs = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint32).reshape(len(rows), hashes)
+    forest, n = _Forest(np.array([r["component"] for r in rows], np.int64)), len(rows)
+    edge = sum(r["side"] == 0 for r in rows)
+    across, bucket = edge < n or rows[0]["block"] != rows[0]["other"], rows[0]["bucket"]
+    if shingler is not None:
+        own = [sorted(b for b in r["buckets"] if b < bucket) for r in rows]
+        earlier = np.zeros((n, max(map(len, own), default=0)), np.int64)
+        for k, b in enumerate(own):
+            earlier[k, : len(b)] = b
+        sets: dict[int, np.ndarray] = {}
+
+    def shingles(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = shingler(rows[k]["text"].encode())
+        return sets[k]
+
     for i in range(edge):
-        rest = np.arange(i + 1 if right is None else edge, n)
+        rest = np.arange(edge if across else i + 1, n)
         rest = rest[forest.of[rest] != forest.of[i]]
-        a, b = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-        rest = rest[100 * a >= percent * b]
-        matches = np.zeros(len(rest), np.int64)
-        for k, fewest in enumerate(least):
-            if not len(rest):
-                break
-            columns = slice(k * BATCH, (k + 1) * BATCH)
-            matches = matches + (signs[rest, columns] == signs[i, columns]).sum(1)
-            rest, matches = rest[matches >= fewest], matches[matches >= fewest]
-        for j in rest:
-            pair = (int(min(ids[i], ids[j])), int(max(ids[i], ids[j])))
-            if forest.of[j] != forest.of[i] and pair not in refused:
-                forest.join(i, int(j))
-                yield pair
-
-
-def _proposed(batches: Iterator[pa.RecordBatch], percent: int, hashes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, block, other, side, members ...) arrive sorted; a bucket's rows become a proposal of links."""
-    least = least_matches(percent, hashes)
-    name, part, out = None, None, []
-
-    def finish():
-        refused = set(map(tuple, np.array(part["refused"]).reshape(-1, 2).tolist())) if part["refused"] else set()
-        blocks = []
-        for side in (0, 1):
-            at = [k for k, s in enumerate(part["side"]) if s == side]
-            if at or side == 0:
-                blocks.append({
-                    "ids": np.array([part["id"][k] for k in at], np.int64),
-                    "components": np.array([part["component"][k] for k in at], np.int64),
-                    "sizes": np.array([part["n_shingles"][k] for k in at], np.int64),
-                    "signs": np.frombuffer(b"".join(part["signature"][k] for k in at), np.uint32).reshape(len(at), hashes),
-                })
-        out.extend(proposals(blocks[0], blocks[1] if len(blocks) > 1 else None, refused, least, percent))
+        if shingler is not None and len(rest):
+            seen = np.zeros(len(rest), bool)  # pairs that an earlier bucket has looked at
+            for b in own[i]:
+                seen |= (earlier[rest] == b).any(1)
+            rest = rest[~seen]
+        for j in survivors(i, rest, sizes, signs, least, percent):
+            if forest.of[j] == forest.of[i]:
+                continue
+            if shingler is not None:
+                common = len(np.intersect1d(shingles(i), shingles(int(j)), assume_unique=True))
+                if 100 * common < percent * (int(sizes[i]) + int(sizes[j]) - common):
+                    continue
+            forest.join(i, int(j))
+            yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
+
+
+def _linked(batches: Iterator[pa.RecordBatch], percent: int, hashes: int, width: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows of (bucket, block, other) arrive sorted; each such group becomes its links. ``width``: verify them."""
+    least, shingler = least_matches(percent, hashes), None if width is None else Shingler(width)
+    name, rows, out = None, [], []
 
     def flush():
         pairs = np.array(out, np.int64).reshape(-1, 2)
@@ -194,31 +214,34 @@ def _proposed(batches: Iterator[pa.RecordBatch], percent: int, hashes: int) -> I
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
     for batch in batches:
-        for r in batch.to_pylist():
-            if (key := (r["bucket"], r["block"], r["other"])) != name:
-                if part is not None:
-                    finish()
-                name, part = key, {k: [] for k in ("side", "id", "component", "n_shingles", "signature", "refused")}
-            for k in part:
-                if k == "refused":
-                    part[k] += [(r["id"], x) for x in r["refused"] or []]
-                else:
-                    part[k].append(r[k])
+        for at in range(0, batch.num_rows, 500):
+            for r in batch.slice(at, 500).to_pylist():
+                if (key := (r["bucket"], r["block"], r["other"])) != name:
+                    if rows:
+                        out.extend(block_links(rows, hashes, least, percent, shingler))
+                    name, rows = key, []
+                rows.append(r)
             if len(out) > 10_000:
                 yield flush()
-    if part is not None:
-        finish()
+    if rows:
+        out.extend(block_links(rows, hashes, least, percent, shingler))
     yield flush()
 
 
 def _verified(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    shingler = Shingler(width)
+    shingler, sets = Shingler(width), {}
+
+    def shingles(name, text):
+        if name not in sets:
+            if len(sets) >= KNOWN_SETS:
+                sets.clear()
+            sets[name] = shingler(text)
+        return sets[name]
+
     for batch in batches:
-        linked, last, own = [], None, None
+        linked = []
         for r in batch.to_pylist():
-            if r["a"] != last:
-                last, own = r["a"], shingler(r["text_a"])
-            other = shingler(r["text_b"])
+            own, other = shingles(r["a"], r["text_a"]), shingles(r["b"], r["text_b"])
             common = len(np.intersect1d(own, other, assume_unique=True))
             linked.append(100 * common >= percent * (len(own) + len(other) - common))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
@@ -261,30 +284,33 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, hashes:
     members = buckets.join(groups, F.col("bucket") == F.col("of_bucket")).select("bucket", "n", "id")
     members = staged(members, "members")
 
-    links, refused, joined = None, None, None
-    ids = members.select("id").distinct()
-    texts = staged(_texts_of(docs, signed, classes, ids), "texts")
-    infos = classes.join(ids, "id", "left_semi").select("id", "n_shingles", "signature")
-    while True:
-        current = infos
+    links, joined = None, None
+    ids = staged(members.select("id").distinct(), "ids")
+    texts = staged(_texts_of(docs, classes, ids), "texts")
+    infos = staged(classes.join(ids, "id", "left_semi").select("id", "n_shingles", "signature"), "infos")
+    for turn in range(FOREST_ROUNDS + 1):
+        current = infos.withColumn("component", F.col("id"))
         if joined is not None:
             current = infos.join(joined.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
+            current = current.withColumn("component", F.coalesce("component", "id"))
+        rows = _round(members, current, turn, block)
+        if turn < FOREST_ROUNDS:
+            pairs = _together(rows).mapInArrow(lambda b: _linked(b, percent, hashes, None), "a long, b long").distinct()
+            left, right = (texts.select(F.col("id").alias(f"id_{s}"), F.col("text").alias(f"text_{s}")) for s in "ab")
+            checked = pairs.join(right, F.col("b") == F.col("id_b")).join(left, F.col("a") == F.col("id_a"))
+            checked = checked.select("a", "b", "text_a", "text_b").mapInArrow(
+                lambda b: _verified(b, width, percent), "a long, b long, linked boolean"
+            )
+            found = staged(checked.where("linked").select("a", "b"), "found")
         else:
-            current = infos.withColumn("component", F.lit(None).cast("long"))
-        current = current.withColumn("component", F.coalesce("component", "id"))
-        pairs = staged(_round(members, current, refused, percent, hashes, block), "pairs")
-        if pairs.isEmpty():
-            break
-        left, right = (texts.select(F.col("id").alias(f"id_{s}"), F.col("text").alias(f"text_{s}")) for s in "ab")
-        checked = pairs.join(right, F.col("b") == F.col("id_b")).join(left, F.col("a") == F.col("id_a"))
-        checked = checked.select("a", "b", "text_a", "text_b").mapInArrow(
-            lambda b: _verified(b, width, percent), "a long, b long, linked boolean"
-        )
-        checked = staged(checked, "checked")
-        fresh, no = checked.where("linked").select("a", "b"), checked.where("not linked").select("a", "b")
-        refused = no if refused is None else refused.union(no)
-        links = fresh if links is None else links.union(fresh)
-        joined = staged(components(links), "components")
+            rows = rows.join(texts.withColumnRenamed("id", "text_id"), F.col("id") == F.col("text_id")).drop("text_id")
+            every = members.groupBy(F.col("id").alias("every_id")).agg(F.collect_set("bucket").alias("buckets"))
+            rows = _together(rows.join(every, F.col("id") == F.col("every_id")).drop("every_id"))
+            found = staged(rows.mapInArrow(lambda b: _linked(b, percent, hashes, width), "a long, b long").distinct(), "found")
+        if found.isEmpty():
+            continue
+        links = found if links is None else staged(links.union(found), "links")
+        joined = components(links)
 
     named = classes.select("class", "id", "doc")
     if joined is not None:
@@ -300,34 +326,33 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, hashes:
     return out.select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"))
 
 
-def _texts_of(docs: DataFrame, signed: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of one document of each class in ``ids``."""
     wanted = classes.join(ids.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left_semi").select("class", "id", "doc")
     return wanted.join(docs, F.col("doc").eqNullSafe(F.col("doc_id"))).select("id", "text")
 
 
-def _round(members: DataFrame, current: DataFrame, refused: DataFrame | None, percent: int, hashes: int, block: int) -> DataFrame:
-    """The links that the buckets with more than one component propose, distinct."""
+def _round(members: DataFrame, current: DataFrame, turn: int, block: int) -> DataFrame:
+    """The members of buckets with more than one component, with what is known of them, block by block."""
     parts = current.select(F.col("id").alias("of"), "component")
     rows = members.join(parts, F.col("id") == F.col("of")).drop("of")
     mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rows = rows.join(mixed.select(F.col("bucket").alias("mixed")), F.col("bucket") == F.col("mixed"), "left_semi")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit("block")), blocks).cast("int")
-    rows = rows.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    own = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), blocks).cast("int")
+    meets = F.col("own") if turn < FOREST_ROUNDS else F.explode(F.sequence(F.lit(0), blocks - 1))
+    rows = rows.withColumn("own", own).withColumn("with", meets)
     rows = rows.select(
         "bucket", "id", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"),
         F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"),
     )
     facts = current.withColumnRenamed("id", "of")
-    if refused is not None:
-        no = refused.groupBy("a").agg(F.collect_set("b").alias("refused")).withColumnRenamed("a", "a_id")
-        facts = facts.join(no, F.col("of") == F.col("a_id"), "left").drop("a_id")
-    else:
-        facts = facts.withColumn("refused", F.lit(None).cast("array<bigint>"))
-    rows = rows.join(facts, F.col("id") == F.col("of")).drop("of")
-    rows = rows.repartition("bucket", "block", "other").sortWithinPartitions("bucket", "block", "other", "side", "id")
-    return rows.mapInArrow(lambda b: _proposed(b, percent, hashes), "a long, b long").distinct()
+    rows = rows.join(facts, F.col("id") == F.col("of")).drop("of").withColumn("turn", F.xxhash64("id", F.lit(turn)))
+    return rows
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "block", "other").sortWithinPartitions("bucket", "block", "other", "side", "turn")
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
