@@ -109,7 +109,7 @@ def placed(
     )
     rows = expand_copies(lines, "copies", "copy", keys)
     budget = F.floor("target")
-    epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
+    epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div nullif(source_size, 0)")).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
     rows = rows.withColumn("start", F.col("first_start") + F.col("copy") * F.col("size"))
     part = F.least(F.greatest(rest - F.col("start"), F.lit(0)), F.col("size"))

@@ -114,7 +114,7 @@ def base_failed(stats: str = "stats"):
 
 def _ratio(name: str):
     top, bottom, factor, _, _ = RATIOS[name]
-    return F.expr(f"stats.{top} * {factor} div stats.{bottom}")
+    return F.expr(f"stats.{top} * {factor} div nullif(stats.{bottom}, 0)")
 
 
 def sketches(rows: DataFrame) -> DataFrame:
