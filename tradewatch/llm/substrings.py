@@ -11,7 +11,7 @@ agree so far stand together, and the smaller positions among them are what previ
 suffix order lead to. Buckets of more than ``BUCKET_ROWS`` contexts are not gathered: their windows are hashed (MD5) and
 grouped one by one, which is as exact and has no large group.
 
-Equal texts are one text with a count: each of its windows has a copy elsewhere.
+Equal texts are one text with a count, and equal contexts one context: each of their windows has a copy elsewhere.
 
 Defined cases: a null text has no bytes; texts shorter than LENGTH lose nothing; equal rows are copies of each other; with
 ``keep_first`` the row with the smallest doc_id (null last) keeps its bytes, of several such rows all; an empty table
@@ -219,7 +219,17 @@ def removed_repeats(
     texts = texts.join(stretches.withColumnRenamed("key", "of"), F.col("key") == F.col("of"))
     contexts = texts.select("key", "place", "text", "stretches")
     contexts = contexts.mapInArrow(lambda b: _contexts(b, length), "gram long, place long, key string, low long, context binary")
-    contexts = staged(contexts, "contexts")
+    contexts = staged(contexts.withColumn("same", F.md5("context")), "contexts")
+
+    # Of equal contexts the first stands for all; every window of the others has an earlier copy.
+    spot = F.struct("place", "key", "low")
+    groups = contexts.groupBy("gram", "same").agg(F.count("*").alias("n"), F.min(spot).alias("head"), F.first("context").alias("context"))
+    groups = staged(groups.select("gram", F.col("same").alias("alike"), "n", "head", "head.*", "context"), "groups")
+    copied = contexts.join(groups.where("n > 1").select("alike", F.col("head").alias("first_spot")), F.col("same") == F.col("alike"))
+    if keep_first:
+        copied = copied.where(spot != F.col("first_spot"))
+    copied = copied.select("key", F.col("low").alias("a"), (F.col("low") + F.octet_length("context") - length + 1).alias("b"))
+    contexts = groups.select("gram", "place", "key", "low", "context")
 
     hot = contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select(F.col("gram").alias("hot"))
     hot = staged(hot, "hot")
@@ -236,7 +246,7 @@ def removed_repeats(
     single = each.join(twice.withColumnRenamed("window", "same"), F.col("window") == F.col("same"))
     if keep_first:
         single = single.where(where != F.col("first"))
-    runs = runs.union(single.select("key", "a", (F.col("a") + 1).alias("b")))
+    runs = runs.union(single.select("key", "a", (F.col("a") + 1).alias("b"))).union(copied)
     runs = runs.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     found = copies.where("n > 1").join(runs.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "full")
     found = staged(found.select(F.coalesce("key", "of").alias("of"), "n", "first_id", "runs"), "found")
