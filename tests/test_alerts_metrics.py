@@ -144,6 +144,21 @@ def test_rates_of_symbols_without_anomalies(small_trades):
     assert rows["TOTAL"]["trades"] == 1000 and rows["TOTAL"]["rate_pct"] == 0.0 and len(rows) == 6
 
 
+def test_missing_symbols_are_counted(small_trades):
+    holed = small_trades.withColumn("symbol", F.when(F.col("symbol") != "BTC/USDT", F.col("symbol")))
+    found = holed.withColumn("z_score", F.lit(-4.0))
+    rates = {r["symbol"]: r for r in marts.symbol_rates(holed, found).collect()}
+    assert rates[None]["anomalies"] == rates[None]["trades"] > 0 and rates["TOTAL"]["anomalies"] == 1000
+    assert all(r["anomaly_count"] > 0 for r in marts.market_kpis(holed, found).collect())
+    assert all(r["anomaly_count"] > 0 for r in marts.candles_with_anomalies(holed, found, "1 hour").collect())
+
+
+def test_recent_rows_take_any_spelling(small_trades):
+    as_of = small_trades.agg(F.max("event_time")).first()[0]
+    counts = {marts.recent_rows(small_trades, as_of, 10**6, symbol=s).count() for s in ("BTC/USDT", "btc-usdt", "BTCUSDT")}
+    assert len(counts) == 1 and 0 not in counts
+
+
 def test_candles_skip_empty_buckets(spark):
     df = spark.createDataFrame([("A", 1, 0.0, 5.0), ("A", 2, 10.0, 3.0), ("A", 3, 200.0, 4.0), ("A", 4, 300.0, None)],
                                "symbol string, trade_id bigint, s double, price double")

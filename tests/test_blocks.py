@@ -104,6 +104,16 @@ def test_trade_numbers_blocked(medium_trades):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_trades_without_a_time_have_no_place(medium_trades):
+    gone = F.col("trade_id") % 7 == 0
+    holed = medium_trades.withColumn("event_time", F.when(~gone, F.col("event_time")))
+    for block_rows in (1_000_000, 500):
+        for operator in (rolling.trade_deltas, rolling.trade_numbers):
+            a, b = operator(holed, block_rows), operator(medium_trades.where(~gone))
+            names = ["trade_id", *[c for c in ("price_change", "time_gap_sec", "trade_number") if c in a.columns]]
+            assert a.select(names).exceptAll(b.select(names)).isEmpty() and b.select(names).exceptAll(a.select(names)).isEmpty()
+
+
 def test_retrain_points(medium_trades):
     one = medium_trades.withColumn("symbol", F.lit("A"))
     rows = rolling.retrain_points(one, RetrainPolicy(first=100, every=3000)).orderBy("trade_number").collect()

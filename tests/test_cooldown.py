@@ -80,5 +80,18 @@ def test_gap_counts_from_the_last_that_passed(spark):
     assert sorted(r[0] for r in thin(df, ["symbol", "anomaly_type"], 60).collect()) == [1, 3, 5]
 
 
+def test_null_times_never_pass_and_no_gap_passes_the_rest(spark):
+    df = events(spark, "sparse").withColumn("event_time", F.when(F.col("trade_id") % 5 > 0, F.col("event_time")))
+    timed = df.where("event_time is not null")
+    for block_rows in (100_000, 500):
+        a, b = (thin(d, ["symbol"], 60, block_rows=block_rows).select("trade_id") for d in (df, timed))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+        assert thin(df, ["symbol"], 0, block_rows=block_rows).count() == timed.count()
+    with pytest.raises(ValueError):
+        thin(df, ["symbol"], -1)
+    with pytest.raises(ValueError):
+        passing(np.array([1, 2]), 0)
+
+
 def test_empty(spark):
     assert thin(events(spark, "sparse").where("false"), ["symbol"], 60).count() == 0

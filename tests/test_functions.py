@@ -120,10 +120,11 @@ def test_kafka_options_pass_secrets_through():
     options = kafka.source_options(
         "broker:9092", "trades", group_id="g", security={"security.protocol": "SASL_SSL", "sasl.mechanism": "PLAIN"}
     )
-    assert options["subscribe"] == "trades" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "1000" and options["startingOffsets"] == "latest"
+    assert options["subscribe"] == "trades" and options["failOnDataLoss"] == "true"
+    assert "maxOffsetsPerTrigger" not in options and options["startingOffsets"] == "latest"
     assert options["kafka.security.protocol"] == "SASL_SSL" and options["kafka.group.id"] == "g"
-    assert "maxOffsetsPerTrigger" not in kafka.source_options("b", "t", max_offsets_per_trigger=None)
+    tolerant = kafka.source_options("b", "t", max_offsets_per_trigger=1000, fail_on_data_loss=False)
+    assert tolerant["maxOffsetsPerTrigger"] == "1000" and tolerant["failOnDataLoss"] == "false"
     assert kafka.sink_options("b", "t", compression="lz4")["kafka.compression.type"] == "lz4"
 
 

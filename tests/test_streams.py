@@ -186,6 +186,23 @@ def test_outbox_sends_each_alert_once_across_restarts(spark, small_trades, folde
     assert outbox.first()["message"].startswith("ANOMALY: ")
 
 
+def test_outbox_refuses_no_alert_for_its_age(spark, small_trades, folder):
+    found = windowed.anomalies_output(
+        detect_windows(windowed.window_features(small_trades, WINDOWS), model=stub_model_flags)
+    ).cache()
+    times = sorted(r[0] for r in found.select("timestamp").collect())
+    middle = times[len(times) // 2]
+    newer, older = found.where(F.col("timestamp") >= F.lit(middle)), found.where(F.col("timestamp") < F.lit(middle))
+    for part in (newer, older.union(newer), older):
+        add_file(part, f"{folder}/in")
+    stream = windows.file_stream(spark, f"{folder}/in", found.schema, files_per_trigger=1)
+    fanout.outbox_stream(stream, folder, checkpoint_path(folder, "o"), ONCE).start().awaitTermination()
+    outbox = spark.read.parquet(f"{folder}/outbox")
+    distinct = found.select("symbol", "timestamp", "anomaly_type", F.round("anomaly_score", 3)).distinct().count()
+    assert outbox.count() == outbox.select("alert_key").distinct().count() == distinct
+    assert outbox.select("batch_id").distinct().count() == 2 and not older.isEmpty()
+
+
 def test_progress_log(spark, small_trades, folder):
     listener = monitor.ProgressLog(f"{folder}/progress")
     spark.streams.addListener(listener)

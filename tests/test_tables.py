@@ -42,17 +42,22 @@ def test_scan_since_pushes_down(spark, log, folder):
     assert scan.day_before(datetime(2024, 1, 2)) == datetime(2024, 1, 1)
 
 
-def test_recursive_scan_skips_corrupt_files(spark, log, folder):
+def test_recursive_scan_stops_at_corrupt_files_or_names_them(spark, log, folder):
     log.write.parquet(f"{folder}/t/a/b")
     log.withColumn("extra", F.lit(1)).write.parquet(f"{folder}/t/c")
-    both = scan.scan_parquet(spark, f"{folder}/t")
+    both = scan.scan_parquet(spark, f"{folder}/t", merge_schema=True)
     assert both.count() == 2000 and "extra" in both.columns
     with open(f"{folder}/t/a/broken.parquet", "wb") as out:
         out.write(b"PAR1 this is no parquet file")
     assert spark.read.schema(both.schema).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).parquet(
         f"{folder}/t"
     ).count() == 2000
-    assert scan.scan_parquet(spark, f"{folder}/t").count() == 2000
+    with pytest.raises(Exception, match="broken.parquet"):
+        scan.scan_parquet(spark, f"{folder}/t", merge_schema=True).count()
+    tolerant = scan.scan_parquet(spark, f"{folder}/t", skip_unreadable=True, merge_schema=True)
+    assert tolerant.count() == 2000
+    missed = scan.rowless_files(spark, tolerant, f"{folder}/t").collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["bytes"]) for r in missed] == [("broken.parquet", 28)]
 
 
 def test_scan_latest_files(spark, folder):

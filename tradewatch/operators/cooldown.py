@@ -22,7 +22,9 @@ _NEVER = -(2**62)
 
 
 def passing(times: np.ndarray, gap: int, not_before: int = _NEVER) -> np.ndarray:
-    """Indices that pass, for sorted ``times``; nothing passes earlier than ``not_before``."""
+    """Indices that pass, for sorted ``times`` and a gap above 0; nothing passes earlier than ``not_before``."""
+    if gap <= 0:
+        raise ValueError("the gap must be above 0")
     picked = []
     i = int(np.searchsorted(times, not_before, side="left"))
     while i < len(times):
@@ -60,6 +62,13 @@ def _ordered(block: pa.Table, time: str, ident: str) -> tuple[pa.Table, np.ndarr
     return block, block[time].cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_numpy()
 
 
+def thinnable(df: DataFrame, seconds: int, time: str = "event_time") -> DataFrame:
+    """The rows a cooldown of ``seconds`` can order."""
+    if seconds < 0:
+        raise ValueError("a cooldown cannot be negative")
+    return df.where(F.col(time).isNotNull())
+
+
 def thin(
     df: DataFrame,
     keys: list[str],
@@ -71,8 +80,12 @@ def thin(
     """The rows of ``df`` that pass the cooldown of their key, by event time.
 
     Detections are few but costly to compute and are read more than once here, so they are
-    materialised first.
+    materialised first. A row without a time has no place in the order and never passes; with 0
+    seconds all others do.
     """
+    df = thinnable(df, seconds, time)
+    if seconds == 0:
+        return df
     gap = seconds * 1_000_000
     df = materialise(df)
     schema = df.schema

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions.numbers import fixed_text
-from tradewatch.functions.symbols import base_currency
+from tradewatch.functions.symbols import base_currency, normalize_symbol
 from tradewatch.functions.timestamps import micros_in, order_key, order_key_in_bucket
+from tradewatch.operators.blocks import join_null_safe
 
 
 def _position() -> Column:
@@ -43,7 +44,7 @@ def candles_with_anomalies(trades: DataFrame, anomalies: DataFrame, interval: st
         F.count(F.lit(1)).alias("anomaly_count"),
         F.max(F.abs("z_score")).alias("max_abs_z"),
     ).select("symbol", F.col("w.start").alias("bucket"), "anomaly_count", "max_abs_z")
-    return candles(trades, interval).join(marks, ["symbol", "bucket"], "left").withColumns({
+    return join_null_safe(candles(trades, interval), marks, ["symbol", "bucket"], "left", small=False).withColumns({
         "anomaly_count": F.coalesce("anomaly_count", F.lit(0)),
     })
 
@@ -59,7 +60,7 @@ def market_kpis(trades: DataFrame, anomalies: DataFrame) -> DataFrame:
     )
     counts = anomalies.groupBy("symbol").agg(F.count(F.lit(1)).alias("anomaly_count"))
     first = F.col("first_price")
-    return per_symbol.join(counts, "symbol", "left").select(
+    return join_null_safe(per_symbol, counts, ["symbol"], "left", small=False).select(
         "symbol", "current_price",
         F.when(first != 0, (F.col("current_price") - first) / first * 100).alias("change_pct"),
         "high", "low", "volume",
@@ -72,7 +73,7 @@ def symbol_rates(trades: DataFrame, anomalies: DataFrame) -> DataFrame:
     """Trades, anomalies and rate per symbol, and a TOTAL row."""
     seen = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"))
     flagged = anomalies.groupBy("symbol").agg(F.count(F.lit(1)).alias("anomalies"))
-    totals = seen.join(flagged, "symbol", "left").rollup("symbol").agg(
+    totals = join_null_safe(seen, flagged, ["symbol"], "left", small=False).rollup("symbol").agg(
         F.sum("trades").alias("trades"),
         F.sum(F.coalesce("anomalies", F.lit(0))).alias("anomalies"),
         F.grouping("symbol").alias("_total"),
@@ -128,10 +129,13 @@ def recent_rows(
     df: DataFrame, as_of, minutes: int, symbol: str | None = None, types: list[str] | None = None,
     newest_first: bool = True, limit: int | None = None,
 ) -> DataFrame:
-    """Recent trades or anomalies in time order, optionally of one symbol, some types, or the top n."""
+    """Recent trades or anomalies in time order, optionally of one symbol, some types, or the top n.
+
+    The symbol may be spelled in any way; the table holds normalised symbols, so the filter is pushed to its scan.
+    """
     rows = since(df, as_of, minutes)
     if symbol is not None:
-        rows = rows.where(F.col("symbol") == symbol)
+        rows = rows.where(F.col("symbol") == normalize_symbol(F.lit(symbol)))
     if types is not None:
         rows = rows.where(F.col("anomaly_type").isin(list(types)))
     order = [F.col("event_time"), F.col("trade_id")]

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewatch.functions.numbers import half_up
+from tradewatch.operators.blocks import join_null_safe
 
 
 def latency_ms(event_time: Column, detected_at: Column) -> Column:
@@ -86,7 +87,8 @@ def top_symbols(trades: DataFrame, anomalies: DataFrame, decided: DataFrame, n:
     counts = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"))
     flagged = anomalies.groupBy("symbol").agg(F.count(F.lit(1)).alias("anomalies"))
     timing = latency_percentiles(decided, ["symbol"]).select("symbol", "e2e_p95_ms")
-    joined = counts.join(flagged, "symbol", "left").join(timing, "symbol", "left")
+    joined = join_null_safe(counts, flagged, ["symbol"], "left", small=False)
+    joined = join_null_safe(joined, timing, ["symbol"], "left", small=False)
     found = F.coalesce("anomalies", F.lit(0))
     return joined.select(
         "symbol", "trades", found.alias("anomalies"),

@@ -29,6 +29,11 @@ def _seconds(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1e6)
 
 
+def _timed(trades: DataFrame) -> DataFrame:
+    """Trades that have a place in the order."""
+    return with_event_time(trades).where(F.col("event_time").isNotNull())
+
+
 def _blocked(trades: DataFrame, halo_rows: int, block_rows: int) -> tuple[DataFrame, list[str]]:
     """Trades grouped into bounded blocks of consecutive rows, and the grouping columns."""
     split = split_keys(trades, ["symbol"], *ORDER, block_rows=block_rows)
@@ -47,8 +52,8 @@ def _deltas(spec) -> dict[str, Column]:
 
 
 def trade_deltas(trades: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
-    """Price change and time gap of each trade against the previous trade of its symbol."""
-    blocked, groups = _blocked(with_event_time(trades), 1, block_rows)
+    """Price change and time gap of each trade with a time against the previous one of its symbol."""
+    blocked, groups = _blocked(_timed(trades), 1, block_rows)
     spec = W.partitionBy(*groups).orderBy(*ORDER)
     return blocked.withColumns(_deltas(spec)).where(~F.col("_halo")).drop("_halo", *groups[1:])
 
@@ -79,9 +84,9 @@ def rolling_features(
 
 def rolling_input(trades: DataFrame) -> DataFrame:
     """The columns the rolling model needs. A trade without a time has no place in the order."""
-    source = with_event_time(trades)
+    source = _timed(trades)
     injected = F.col("injected") if "injected" in source.columns else F.lit(False)
-    return source.where(F.col("event_time").isNotNull()).select(
+    return source.select(
         "symbol", "trade_id", "event_time",
         F.coalesce(F.col("price").cast("double"), F.lit(0.0)).alias("price"),
         F.coalesce(F.col("quantity").cast("double"), F.lit(0.0)).alias("quantity"),
@@ -305,8 +310,8 @@ def retrain_points(trades: DataFrame, policy: RetrainPolicy = RetrainPolicy(), b
 
 
 def trade_numbers(trades: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
-    """Position of each trade in its symbol's history: block-wise numbers plus block offsets."""
-    split = split_keys(with_event_time(trades), ["symbol"], *ORDER, block_rows=block_rows)
+    """Position of each trade with a time in its symbol's history: block-wise numbers plus block offsets."""
+    split = split_keys(_timed(trades), ["symbol"], *ORDER, block_rows=block_rows)
     groups = split.group_columns
     numbered = split.rows.withColumn(
         "trade_number", F.row_number().over(W.partitionBy(*groups).orderBy(*ORDER)).cast("bigint")

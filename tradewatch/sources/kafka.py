@@ -15,16 +15,20 @@ def source_options(
     brokers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = 1000,
+    max_offsets_per_trigger: int | None = None,
     group_id: str | None = None,
     security: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of the Kafka reader; ``security`` entries are passed on as ``kafka.<name>``."""
+    """Options of the Kafka reader; ``security`` entries are passed on as ``kafka.<name>``.
+
+    Records that expired before they were read stop the query unless ``fail_on_data_loss`` is off.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

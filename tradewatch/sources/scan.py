@@ -10,17 +10,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def scan_parquet(spark: SparkSession, *paths: str, pattern: str = "*.parquet") -> DataFrame:
-    """All Parquet files below the given folders; unreadable files are skipped."""
+def scan_parquet(
+    spark: SparkSession, *paths: str, pattern: str = "*.parquet", skip_unreadable: bool = False, merge_schema: bool = False
+) -> DataFrame:
+    """All Parquet files below the given folders.
+
+    An unreadable file stops the scan unless ``skip_unreadable``; ``rowless_files`` then tells what was passed over.
+    ``merge_schema`` opens every footer, for folders whose files differ in columns.
+    """
     reader = (
         spark.read.option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .option("mergeSchema", True)
+        .option("ignoreCorruptFiles", skip_unreadable)
+        .option("mergeSchema", merge_schema)
         .option("pathGlobFilter", pattern)
     )
     return reader.parquet(*paths)
 
 
+def rowless_files(spark: SparkSession, scanned: DataFrame, *paths: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file, bytes) of the files below ``paths`` from which the tolerant scan ``scanned`` got no row."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    files = listing.load(list(paths)).select(
+        F.regexp_replace("path", "^file:/*", "file:///").alias("file"), F.col("length").alias("bytes")
+    )
+    read = scanned.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "file:///").alias("file")).distinct()
+    return files.join(read, "file", "left_anti")
+
+
 def scan_latest_files(df: DataFrame, files: int) -> DataFrame:
     """Rows of the last ``files`` files in path order.
 
@@ -54,17 +70,17 @@ def day_before(moment: datetime) -> datetime:
     return moment - timedelta(hours=24)
 
 
-def anomalies_since(anomalies: DataFrame, since, limit: int = 5000) -> DataFrame:
-    """Oldest anomalies at or after ``since``, in time order, for the alert dispatcher."""
-    return (
+def anomalies_since(anomalies: DataFrame, since, limit: int | None = None) -> DataFrame:
+    """Anomalies at or after ``since``, in time order, for the alert dispatcher; with a ``limit`` the oldest of them."""
+    found = (
         anomalies.where(F.col("timestamp") >= F.lit(since).cast("timestamp"))
         .select(
             "symbol", "timestamp", "price", "z_score", "price_change_pct", "volume_spike",
             "anomaly_type", "anomaly_score",
         )
         .orderBy("timestamp", "symbol", "anomaly_type")
-        .limit(limit)
     )
+    return found if limit is None else found.limit(limit)
 
 
 def newest_hours(times: DataFrame, rows: int, time: str = "timestamp") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tradewatch.config import RollingConfig
-from tradewatch.operators.cooldown import passing
+from tradewatch.operators.cooldown import passing, thinnable
 from tradewatch.operators.rolling import (
     MEASURED_DDL, features_from_measures, measure_rows, rolling_input,
 )
@@ -128,7 +128,10 @@ def stream_rolling_features(
 
 
 def stream_cooldown(detections: DataFrame, seconds: int = 60) -> DataFrame:
-    """Detections of a stream that pass the cooldown of their (symbol, type)."""
+    """Detections of a stream that pass the cooldown of their (symbol, type); see ``thin`` for null times and 0 seconds."""
+    detections = thinnable(detections, seconds)
+    if seconds == 0:
+        return detections
     use_rocksdb(detections.sparkSession)
     return detections.groupBy("symbol", "anomaly_type").transformWithStateInPandas(
         statefulProcessor=Cooldown(seconds), outputStructType=detections.schema, outputMode="Append", timeMode="None",
