@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tradewatch.config import ForestConfig
+from tradewatch.config import ForestConfig, RollingConfig
 from tradewatch.operators import evaluation, forest
+from tradewatch.operators.rolling import rolling_features
 
 CONFIG = ForestConfig(n_trees=40, max_samples=128, contamination=0.02)
 
@@ -33,6 +34,18 @@ def test_expected_path():
     assert forest.expected_path(np.array([256]))[0] == pytest.approx(10.2448, abs=1e-3)
 
 
+def test_training_trades_give_the_same_training_rows(medium_trades):
+    config, rolling = ForestConfig(max_rows=300), RollingConfig(tick_scale=2, window=200)
+    cut = forest.training_trades(medium_trades, rolling.window, config)
+    assert cut.count() == 5 * 499
+    some, every = (
+        forest.training_rows(rolling_features(t, rolling), config).orderBy("trade_id").toPandas() for t in (cut, medium_trades)
+    )
+    assert some["trade_id"].tolist() == every["trade_id"].tolist() and len(some) == 1500
+    for name in config.features:
+        np.testing.assert_allclose(some[name], every[name], rtol=1e-9, atol=1e-9)
+
+
 def test_trees_partition_their_sample(model):
     nodes, meta = model
     assert {r["symbol"] for r in meta.collect()} == {"BTC/USDT", "ETH/USDT"}, "too few rows give no model"

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tradewatch.config import ForestConfig
 from tradewatch.functions.symbols import normalize_symbol
+from tradewatch.functions.timestamps import with_event_time
 from tradewatch.operators.evaluation import confusion_matrix
 from tradewatch.operators.rolling import newest_per_key
 from tradewatch.schemas import FOREST_DDL
@@ -151,6 +152,16 @@ def _features(config: ForestConfig) -> list[Column]:
     return [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in config.features]
 
 
+def training_trades(trades: DataFrame, window: int, config: ForestConfig = ForestConfig()) -> DataFrame:
+    """The trades that the training rows and their frames of ``window`` trades consist of.
+
+    Features of these give the same training rows as features of the whole history: the newest ``max_rows`` trades of a
+    symbol have full frames here. The rank limit runs before any feature is computed.
+    """
+    timed = with_event_time(trades).where(F.col("event_time").isNotNull())
+    return newest_per_key(timed, ["symbol"], config.max_rows + window - 1)
+
+
 def training_rows(features: DataFrame, config: ForestConfig = ForestConfig()) -> DataFrame:
     """Newest rows per symbol, for symbols that have enough of them; ``_rows`` is the symbol's count."""
     slim = features.select("symbol", "trade_id", "event_time", *_features(config))

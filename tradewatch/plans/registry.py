@@ -751,7 +751,8 @@ def model_fallback(spark, folder):
 
 @query
 def iforest_train(spark, folder):
-    nodes, meta = forest.train(rolling_of(spark, folder), SMALL_FOREST)
+    recent = forest.training_trades(trades(spark, folder), ROLLING.window, SMALL_FOREST)
+    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), SMALL_FOREST)
     sizes = nodes.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("nodes"), F.max("depth").alias("deepest"), F.count_if(F.col("feature") < 0).alias("leaves")
     )
@@ -761,7 +762,8 @@ def iforest_train(spark, folder):
 @query
 def iforest_score(spark, folder):
     features = rolling_of(spark, folder)
-    nodes, meta = forest.train(features, SMALL_FOREST)
+    recent = forest.training_trades(trades(spark, folder), ROLLING.window, SMALL_FOREST)
+    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), SMALL_FOREST)
     return forest.score(features, nodes, meta, SMALL_FOREST).select(
         "trade_id", "symbol", "z_score", "is_if_anomaly", "if_anomaly_score"
     )
