@@ -34,7 +34,8 @@ LENGTH = 400
 GRAM = 50
 BUCKET_ROWS = 5_000
 STRETCH = 1 << 19
-TASK_BYTES = 2_000_000
+#: Contexts sorted together: small enough for the arrays to stay in a core's cache.
+TASK_BYTES = 250_000
 _REL = np.uint64((1 << 20) - 1)
 
 
@@ -231,9 +232,12 @@ def removed_repeats(
     copied = copied.select("key", F.col("low").alias("a"), (F.col("low") + F.octet_length("context") - length + 1).alias("b"))
     contexts = groups.select("gram", "place", "key", "low", "context")
 
-    hot = contexts.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows).select(F.col("gram").alias("hot"))
-    hot = staged(hot, "hot")
-    usual = contexts.join(hot, F.col("gram") == F.col("hot"), "left_anti")
+    # A context alone in its bucket has no equal windows: these would have the anchor at the same offset, so be one window.
+    buckets = contexts.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("gram", "met")
+    buckets = staged(buckets, "buckets")
+    hot = buckets.where(F.col("n") > bucket_rows).select(F.col("met").alias("hot"))
+    shared = buckets.where(F.col("n") <= bucket_rows).select("met")
+    usual = contexts.join(shared, F.col("gram") == F.col("met"), "left_semi")
     usual = usual.repartition("gram").sortWithinPartitions("gram")
     runs = usual.mapInArrow(lambda b: _repeats(b, length, keep_first), "key string, a long, b long")
     crowded = contexts.join(hot, F.col("gram") == F.col("hot"), "left_semi")
