@@ -214,6 +214,7 @@ def removed_repeats(
     anchors = staged(long.mapInArrow(lambda b: _anchored(b, length, gram), "key string, gram long, low long, high long"), "anchors")
     place = F.struct("key", "low")
     again = anchors.groupBy("gram").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select(F.col("gram").alias("again"))
+    again = staged(again, "again")  # a table of its own, so that Spark can split a frequent gram in the join
     stretches = anchors.join(again, F.col("gram") == F.col("again"), "left_semi").groupBy("key")
     stretches = stretches.agg(F.collect_set(F.struct("gram", "low", "high")).alias("stretches"))
     texts = long.groupBy("key").agg(F.first("text").alias("text"), F.coalesce(F.min("doc_id"), F.lit(2**63 - 1)).alias("place"))
