@@ -272,6 +272,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {(i, len(s), name[i], name[i] == i) for (i, _), s in zip(rows, sets)}
 
 
+def test_rows_that_share_a_doc_id(spark):
+    """Texts are told apart though doc_ids repeat or are missing, and one row of each group stays."""
+    other = " ".join(f"x{i} y{i % 13}" for i in range(80))
+    near = PROSE + " tail"
+    rows = [(1, PROSE), (1, other), (1, PROSE), (None, near), (None, other), (2, near), (3, ""), (3, ""), (None, None), (None, "apart from all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in near_dups.near_duplicates(docs).collect())
+    assert got == Counter([(1, 1)] * 3 + [(None, 1)] * 2 + [(2, 1)] + [(3, 3)] * 2 + [(None, None)] * 2)
+    kept = Counter(map(tuple, near_dups.distinct_documents(docs).collect()))
+    assert kept == Counter([(1, PROSE), (1, other), (3, ""), (3, ""), (None, None), (None, "apart from all")])
+
+
 def test_empty_tables(empty, spark):
     for operator in (mixing.mixture, sharding.document_shards, quality.document_quality, secrets.secret_spans,
                      bpe.document_tokens, substrings.document_repeats, near_dups.near_duplicates):

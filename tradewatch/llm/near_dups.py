@@ -14,9 +14,9 @@ looked at once; buckets of more than ``BLOCK`` members are cut into blocks; thes
 in the last round, while in the others each is for itself and dealt anew.
 
 Defined cases: null texts and texts without words have the empty set, are linked with nothing and stay; texts with fewer
-words than a shingle have their whole sequence as one shingle; equal rows are one class, with doc_id ties kept together
-(of rows with one doc_id all or none are kept by ``kept``); a null doc_id takes part but is never a component's name unless
-all ids of the component are null; an empty table gives an empty result; other columns are ignored.
+words than a shingle have their whole sequence as one shingle; equal rows are one class; rows that share a doc_id are told
+apart by their texts, but ``kept`` goes by doc_id alone; a null doc_id takes part but is never a component's name unless all
+ids of the component are null; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import staged
+from tradewatch.llm.common import WORD, staged
 
 HASHES = 128
 BATCH = 16
@@ -116,8 +116,9 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, hashes: int) -> Itera
             keys = [None if not len(s) else xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             signs = [None if not len(s) else signature(s, factors).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
-                ["doc_id", "n_shingles", "class", "signature"],
+                [rows.column("doc_id"), rows.column("pick"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(signs, pa.binary())],
+                ["doc_id", "pick", "n_shingles", "class", "signature"],
             )
 
 
@@ -268,13 +269,29 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("id"), F.col("m").alias("component")).union(names)
 
 
+def _pick(doc_id: Column, text: Column) -> Column:
+    """A name for rows of one doc_id and one text."""
+    return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), F.coalesce(F.md5(text), F.lit("-"))))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, hashes: int = HASHES, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest doc_id that it reaches by links), kept."""
+    signed, named = _groups(docs, width, percent, hashes, block)
+    named = named.select(F.col("class").alias("of_class"), F.col("head.doc_id").alias("component_id"))
+    out = signed.select("doc_id", "n_shingles", "class").join(named, F.col("class") == F.col("of_class"), "left")
+    name = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"))
+
+
+def _groups(docs: DataFrame, width: int, percent: int, hashes: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The documents with their class, and each class with its component and that component's first document (head)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = docs.mapInArrow(lambda b: _signed(b, width, hashes), "doc_id long, n_shingles long, class binary, signature binary")
+    docs = docs.withColumn("pick", _pick(F.col("doc_id"), F.col("text")))
+    rows = docs.mapInArrow(lambda b: _signed(b, width, hashes), "doc_id long, pick string, n_shingles long, class binary, signature binary")
     signed = staged(rows, "signed")
     classes = signed.where("class is not null").groupBy("class")
-    classes = classes.agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    head = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "pick")
+    classes = classes.agg(F.min(head).alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     classes = staged(classes.withColumn("id", F.xxhash64("class")), "classes")
 
     band = rows_per_band(percent, hashes)
@@ -284,7 +301,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, hashes:
     members = buckets.join(groups, F.col("bucket") == F.col("of_bucket")).select("bucket", "n", "id")
     members = staged(members, "members")
 
-    links, joined = None, None
+    joined = None
     ids = staged(members.select("id").distinct(), "ids")
     texts = staged(_texts_of(docs, classes, ids), "texts")
     infos = staged(classes.join(ids, "id", "left_semi").select("id", "n_shingles", "signature"), "infos")
@@ -309,27 +326,26 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, hashes:
             found = staged(rows.mapInArrow(lambda b: _linked(b, percent, hashes, width), "a long, b long").distinct(), "found")
         if found.isEmpty():
             continue
-        links = found if links is None else staged(links.union(found), "links")
-        joined = components(links)
+        known = found if joined is None else joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
+        joined = components(known)  # stars of the rounds before stand for their links
 
-    named = classes.select("class", "id", "doc")
+    named = classes.select("class", "id", "head")
     if joined is not None:
         named = named.join(joined.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
         named = named.withColumn("component", F.coalesce("component", "id"))
-        least = named.groupBy("component").agg(F.min("doc").alias("component_id")).withColumnRenamed("component", "whole")
-        named = named.join(least, F.col("component") == F.col("whole"))
+        least = named.groupBy("component").agg(F.min("head").alias("first")).withColumnRenamed("component", "whole")
+        named = named.join(least, F.col("component") == F.col("whole")).select("class", "component", F.col("first").alias("head"))
     else:
-        named = named.withColumn("component_id", F.col("doc"))
-    named = named.select(F.col("class").alias("of_class"), "component_id")
-    out = signed.select("doc_id", "n_shingles", "class").join(named, F.col("class") == F.col("of_class"), "left")
-    name = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", name.alias("component_id"), F.col("doc_id").eqNullSafe(name).alias("kept"))
+        named = named.select("class", F.col("id").alias("component"), "head")
+    return signed, named
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of one document of each class in ``ids``."""
-    wanted = classes.join(ids.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left_semi").select("class", "id", "doc")
-    return wanted.join(docs, F.col("doc").eqNullSafe(F.col("doc_id"))).select("id", "text")
+    wanted = classes.join(ids.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left_semi")
+    wanted = wanted.select("id", F.col("head.pick").alias("wanted"))
+    texts = docs.groupBy("pick").agg(F.first("text").alias("text"))
+    return wanted.join(texts, F.col("wanted") == F.col("pick")).select("id", "text")
 
 
 def _round(members: DataFrame, current: DataFrame, turn: int, block: int) -> DataFrame:
@@ -356,8 +372,13 @@ def _together(rows: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id (of equal ids, the smallest row)."""
-    own = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """``docs`` with one row of each component, that with the smallest doc_id (null last; of equal doc_ids that with the
+    smallest hash of its text, of equal texts the smallest row). Rows whose text has no word all stay."""
+    _, named = _groups(docs, width, percent, HASHES, BLOCK)
+    firsts = named.select(F.col("head.pick").alias("wanted")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(own, F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.select("row.*")
+    words = F.coalesce(F.col("row.text").cast("string").rlike(WORD), F.lit(False))
+    rows = rows.withColumn("pick", F.when(words, _pick(F.col("row.doc_id").cast("long"), F.col("row.text").cast("string"))))
+    own = rows.where(F.col("pick").isNotNull()).join(firsts, F.col("pick") == F.col("wanted"), "left_semi")
+    own = own.groupBy("pick").agg(F.min("row").alias("row")).select("row.*")
+    return own.union(rows.where(F.col("pick").isNull()).select("row.*"))
