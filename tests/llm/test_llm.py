@@ -272,6 +272,23 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {(i, len(s), name[i], name[i] == i) for (i, _), s in zip(rows, sets)}
 
 
+def test_links_go_by_bytes(spark):
+    """Letters outside ASCII keep their case and no-break spaces part nothing, in the verification as in the signatures."""
+    plain = [f"é{i}" for i in range(200)]
+    capitals = lambda n: " ".join(w.upper() if i % 30 == 5 and i // 30 < n else w for i, w in enumerate(plain))
+    spaces = " ".join(f"x{i}" for i in range(205))
+    joined = spaces
+    for i in range(5):
+        joined = joined.replace(f"x{30 * i + 7} ", f"x{30 * i + 7}\u00a0")
+    linked = " ".join(plain).replace("é", "à")
+    rows = [(1, " ".join(plain)), (2, capitals(6)), (3, spaces), (4, joined), (5, linked), (6, linked.replace("à7 ", "À7 "))]
+    sets = [set(zip(w, w[1:], w[2:])) for w in (t.encode().lower().split() for _, t in rows)]
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in (0, 2, 4)]
+    assert 0.83 < alike[0] < 0.85 and 0.83 < alike[1] < 0.85 < alike[2]
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5}
+
+
 def test_rows_that_share_a_doc_id(spark):
     """Texts are told apart though doc_ids repeat or are missing, and one row of each group stays."""
     other = " ".join(f"x{i} y{i % 13}" for i in range(80))

@@ -182,7 +182,7 @@ def block_links(rows: list[dict], hashes: int, least: list[int], percent: int, s
 
     def shingles(k: int) -> np.ndarray:
         if k not in sets:
-            sets[k] = shingler(rows[k]["text"].encode())
+            sets[k] = shingler(rows[k]["text"])
         return sets[k]
 
     for i in range(edge):
@@ -341,10 +341,10 @@ def _groups(docs: DataFrame, width: int, percent: int, hashes: int, block: int)
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of one document of each class in ``ids``."""
+    """(id, text) of one document of each class in ``ids``; the text as bytes, as words are words of bytes."""
     wanted = classes.join(ids.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left_semi")
     wanted = wanted.select("id", F.col("head.pick").alias("wanted"))
-    texts = docs.groupBy("pick").agg(F.first("text").alias("text"))
+    texts = docs.groupBy("pick").agg(F.first("text").cast("binary").alias("text"))
     return wanted.join(texts, F.col("wanted") == F.col("pick")).select("id", "text")
 
 
