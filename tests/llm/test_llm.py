@@ -147,6 +147,50 @@ def test_salvage_recovers_later_records():
     assert list(warc.salvage(b"")) == []
 
 
+def _salvaged(data):
+    events = list(warc.salvage(data))
+    return [e[3]["warc-record-id"] for e in events if e[0] == "record"], [e[1:] for e in events if e[0] == "gap"]
+
+
+def test_salvage_inside_a_member():
+    """One bad record costs itself only, also if the archive is one gzip member, cut off or damaged."""
+    rng = np.random.default_rng(3)
+    records = [warc.record(i, "u", rng.bytes(3000), None) for i in range(5)]
+    names = [f"<urn:page:{i}>" for i in range(5)]
+    bad = [records[0], records[1][:-20] + b"x" + records[1][-19:], *records[2:]]
+    packed = gzip.compress(b"".join(bad))
+    got, gaps = _salvaged(packed)
+    assert got == names[:1] + names[2:]
+    (start, stop, reason), = gaps
+    assert (start, stop) == (0, len(packed)) and reason.startswith("payload digest differs")
+    assert f"{len(records[0])} to {len(records[0]) + len(records[1])}" in reason
+    got, gaps = _salvaged(packed[:-3000] + gzip.compress(records[1]))
+    assert got == [names[0], names[2], names[3], names[1]] and any("cut off" in g[2] for g in gaps)
+    torn = bytearray(gzip.compress(b"".join(records), 0))
+    torn[len(records[0]) + len(records[1]) + 1500] ^= 1
+    got, gaps = _salvaged(bytes(torn))
+    assert got == names[:2] + names[3:] and any("gzip" in g[2] for g in gaps)
+    one = bytearray(gzip.compress(records[0], 0))
+    one[one.index(b"urn:page:0") + 9] ^= 1
+    assert _salvaged(bytes(one))[0] == []
+
+
+def test_payload_digest_of_http_messages():
+    def response(head, body, named):
+        block = b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body
+        return (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r>\r\nContent-Type: application/http; msgtype=response\r\n"
+                f"WARC-Payload-Digest: {named}\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    whole = "sha1:" + warc.digest(b"body")
+    assert _salvaged(response(b"A: b\r\n", b"body", whole)) == (["<r>"], [])
+    chunked = b"Transfer-Encoding: chunked\r\n"
+    assert _salvaged(response(chunked, b"2\r\nbo\r\n2\r\ndy\r\n0\r\n\r\n", whole)) == (["<r>"], [])
+    assert _salvaged(response(b"", b"body", "sha1:" + hashlib.sha1(b"body").hexdigest())) == (["<r>"], [])
+    assert _salvaged(response(b"", b"body", "sha256:" + hashlib.sha256(b"body").hexdigest())) == (["<r>"], [])
+    assert _salvaged(response(b"", b"body", "blake9:abc")) == (["<r>"], [])
+    assert _salvaged(response(b"", b"bodY", whole))[0] == []
+
+
 def test_secret_spans(odd, spark):
     rows = {r.doc_id: r for r in secrets.secret_spans(odd).where("doc_id is not null").collect()}
     r = rows[7]

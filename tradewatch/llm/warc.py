@@ -6,7 +6,10 @@ Spark can write to. Of pages with equal payloads the one with the largest page_i
 
 The salvage reader checks every member (gzip CRC and length) and record (version line, Content-Length, closing line
 breaks, payload digest). After a failed check it searches for the next gzip member that unpacks to a version line, or the
-next version line of a plain archive, goes on from there, and logs the bytes in between as a quarantined gap.
+next version line of a plain archive, goes on from there, and logs the bytes in between as a quarantined gap. Inside an
+unpacked member it goes on at the next version line too; a gap there is logged with the bounds of its member. Of a member
+that is cut off the whole records are kept, of one that fails gzip's checks those that a digest confirms, unless there is
+only one record, whose header then is the damaged part.
 
 Defined cases: a null html is an empty payload; a null page_id is kept as null, and is a response only if all pages of its
 payload have none; equal rows are all responses or all revisits; null or odd URLs are percent-encoded; an empty table
@@ -123,12 +126,48 @@ def parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
     start, stop = end + 4, end + 4 + length
     if length < 0 or data[stop : stop + 4] != END:
         raise Damaged("block does not end where Content-Length says")
-    block, kind = data[start:stop], fields.get("warc-type")
-    if kind == "response" and fields.get("warc-payload-digest", "").removeprefix("sha1:") not in ("", digest(block)):
+    block = data[start:stop]
+    if fields.get("warc-type") == "response" and agrees(fields.get("warc-payload-digest"), payloads(fields, block)) is False:
         raise Damaged("payload digest differs")
     return fields, block, stop + 4
 
 
+def payloads(fields: dict, block: bytes) -> list[bytes]:
+    """What a payload digest may cover: the block, or of an HTTP message what follows its head, with and without chunking."""
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return [block]
+    head, _, body = block.partition(END)
+    if not re.search(rb"(?im)^transfer-encoding:.*chunked", head):
+        return [body]
+    out, at = [], 0
+    while size := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n").match(body, at):
+        length = int(size[1], 16)
+        out.append(body[size.end() : size.end() + length])
+        at = size.end() + length + 2
+        if not length:
+            break
+    return [body, b"".join(out)]
+
+
+def agrees(named: str | None, contents: list[bytes]) -> bool | None:
+    """Whether a digest (``algorithm:value``, the value in Base32 or hexadecimal) is that of one of ``contents``; None if
+    there is none or its algorithm is not known."""
+    algorithm, colon, value = (named or "").rpartition(":")
+    algorithm = algorithm.lower().replace("-", "") if colon else "sha1"
+    if not value or algorithm not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return None
+    sums = [hashlib.new(algorithm, c).digest() for c in contents]
+    value = value.rstrip("=").lower()
+    return any(value in (x.hex(), base64.b32encode(x).decode().rstrip("=").lower()) for x in sums)
+
+
+def confirmed(fields: dict, block: bytes) -> bool:
+    """Whether a digest of the record's own confirms its content."""
+    return bool(agrees(fields.get("warc-block-digest"), [block])) or (
+        fields.get("warc-type") == "response" and bool(agrees(fields.get("warc-payload-digest"), payloads(fields, block)))
+    )
+
+
 def unpack(data: bytes, at: int) -> tuple[bytes, int]:
     """Content and end of the gzip member at ``at``."""
     engine = zlib.decompressobj(31)
@@ -141,6 +180,67 @@ def unpack(data: bytes, at: int) -> tuple[bytes, int]:
     return content, len(data) - len(engine.unused_data)
 
 
+def readable(data: bytes, at: int, stop: int) -> tuple[bytes, bool]:
+    """What the damaged gzip member at ``at`` unpacks to before its first error, and whether it is only cut off."""
+    engine, out = zlib.decompressobj(31), []
+    for start in range(at, stop, 4096):
+        before, part = engine.copy(), data[start : min(start + 4096, stop)]
+        try:
+            out.append(engine.decompress(part))
+        except zlib.error:
+            try:
+                for k in range(len(part)):
+                    out.append(before.decompress(part[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), False
+        if engine.eof:
+            break
+    return b"".join(out), True
+
+
+def inside(content: bytes, torn: bool) -> tuple[list[tuple], int]:
+    """Records and gaps of a member's content, in order, as (None, fields, block) and (reason, start, stop), and the number
+    of records. ``torn``: gzip's checks failed, and only records that a digest confirms count."""
+    out, at, gap, reason, records = [], 0, None, "", 0
+    while at < len(content):
+        try:
+            fields, block, stop = parse(content, at)
+            if torn and not confirmed(fields, block):
+                raise Damaged("no digest confirms the record")
+        except Damaged as error:
+            if gap is None:
+                gap, reason = at, str(error)
+            following = re.compile(rb"(?<=\n)WARC/1\.[01]\r\n").search(content, at + 1)
+            at = following.start() if following else len(content)
+            continue
+        if gap is not None:
+            out.append((reason, gap, at))
+            gap = None
+        out.append((None, fields, block))
+        records, at = records + 1, stop
+    if gap is not None:
+        out.append((reason, gap, len(content)))
+    return out, records
+
+
+def member(data: bytes, at: int) -> tuple[list[tuple], int]:
+    """What ``inside`` finds in the member at ``at``, with the failed gzip check as a last gap, and the member's end."""
+    try:
+        content, stop = unpack(data, at)
+    except Damaged as error:
+        stop = _next(data, at)
+        content, cut = readable(data, at, stop)
+        found, records = inside(content, not cut)
+        if not records or not cut and len(found) == 1:
+            raise
+        return [*found, (str(error), len(content), len(content))], stop
+    found, records = inside(content, False)
+    if found and not records:
+        raise Damaged(found[0][0])
+    return found, stop
+
+
 def _starts_member(data: bytes, at: int) -> bool:
     try:
         head = zlib.decompressobj(31).decompress(data[at : at + 4096], 16)
@@ -158,19 +258,16 @@ def _next(data: bytes, at: int) -> int:
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
-    """("record", start, stop, fields, block) and ("gap", start, stop, reason), in order, covering ``data``."""
+    """("record", start, stop, fields, block) and ("gap", start, stop, reason), in order, covering ``data``; several of them
+    may have the bounds of one member."""
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
             if data.startswith(MEMBER, at):
-                content, stop = unpack(data, at)
-                found, inner = [], 0
-                while inner < len(content):
-                    fields, block, inner = parse(content, inner)
-                    found.append((fields, block))
+                found, stop = member(data, at)
             else:
                 fields, block, stop = parse(data, at)
-                found = [(fields, block)]
+                found = [(None, fields, block)]
         except Damaged as error:
             if gap is None:
                 gap, reason = at, str(error)
@@ -179,8 +276,11 @@ def salvage(data: bytes) -> Iterator[tuple]:
         if gap is not None:
             yield "gap", gap, at, reason
             gap = None
-        for fields, block in found:
-            yield "record", at, stop, fields, block
+        for why, *what in found:
+            if why is None:
+                yield "record", at, stop, *what
+            else:
+                yield "gap", at, stop, f"{why} (unpacked bytes {what[0]} to {what[1]} of the member)"
         at = stop
     if gap is not None:
         yield "gap", gap, len(data), reason
@@ -206,7 +306,7 @@ def _records(batches: Iterator[pa.RecordBatch], gaps: bool) -> Iterator[pa.Recor
                     f, block = rest
                     rows.append((
                         file, start, stop, f.get("warc-record-id"), f.get("warc-type"), f.get("warc-target-uri"),
-                        f.get("warc-refers-to"), f.get("warc-payload-digest", "").removeprefix("sha1:") or digest(block),
+                        f.get("warc-refers-to"), f.get("warc-payload-digest", "").removeprefix("sha1:") or digest(payloads(f, block)[0]),
                         int(f.get("x-payload-length", len(block))), block,
                     ))
                 if len(rows) == 500:
@@ -227,7 +327,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
-    """The gaps: bytes of archives under ``path`` that belong to no valid record, and the check that failed first."""
+    """The gaps: bytes of archives under ``path`` that belong to no valid record, and the check that failed first. A gap
+    inside a member has the member's bounds, and its own in the unpacked content as part of the reason."""
     return _files(spark, path).mapInArrow(lambda b: _records(b, True), GAPS)
 
 
