@@ -203,6 +203,19 @@ def test_secret_spans(odd, spark):
     assert "abcdef12" not in masked.where("doc_id = 7").first().text
 
 
+def test_field_adds_to_pattern_matches(monkeypatch):
+    """What a field's span adds to a pattern match stays, before and after it."""
+    text = b"x password=hunter22!Zq#9 then Zq#8'password=hunter33;tail y"
+    words = [(m.start(), m.end(), 3) for m in re.finditer(rb"\S*password\S*", text)]
+    monkeypatch.setattr(secrets, "field_spans", lambda texts, model: [list(words)])
+    (base, extra), = secrets.find([text], ())
+    assert [text[a:b] for a, b, _ in base] == [b"password=hunter22", b"password=hunter33"]
+    assert [text[a:b] for a, b, _ in extra] == [b"!Zq#9", b"Zq#8'", b";tail"]
+    assert secrets.masked(text, base + extra).replace(secrets.MASK, b"") == b"x  then  y"
+    assert secrets.outside((0, 5, 3), [(0, 3, 0), (2, 5, 1)]) == [] and secrets.outside((4, 6, 3), [(0, 4, 0), (6, 9, 0)]) == [(4, 6, 3)]
+    assert secrets.outside((0, 9, 3), [(1, 7, 0), (2, 3, 1)]) == [(0, 1, 3), (7, 9, 3)]
+
+
 def test_viterbi_pieces_equal_the_whole_chain():
     rng = np.random.default_rng(5)
     for _ in range(50):

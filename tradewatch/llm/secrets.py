@@ -255,12 +255,27 @@ def field_spans(texts: list[bytes], model: tuple[np.ndarray, np.ndarray]) -> lis
 
 
 def find(texts: list[bytes], model) -> list[tuple[list, list]]:
-    """For each text all pattern spans, and the field's spans that touch none of them."""
+    """For each text all pattern spans, and what the field's spans add outside of them."""
     found = field_spans(texts, model) if model is not None else [[] for _ in texts]
     out = []
     for text, extra in zip(texts, found):
         base = base_spans(text)
-        out.append((base, [e for e in extra if not any(a < e[1] and e[0] < b for a, b, _ in base)]))
+        out.append((base, [rest for e in extra for rest in outside(e, base)]))
+    return out
+
+
+def outside(span: tuple[int, int, int], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The parts of a span that no span of ``base`` (sorted) covers."""
+    at, end, kind = span
+    out = []
+    for a, b, _ in base:
+        if a >= end:
+            break
+        if a > at:
+            out.append((at, a, kind))
+        at = max(at, b)
+    if at < end:
+        out.append((at, end, kind))
     return out
 
 
