@@ -216,6 +216,14 @@ def test_field_adds_to_pattern_matches(monkeypatch):
     assert secrets.outside((0, 9, 3), [(1, 7, 0), (2, 3, 1)]) == [(0, 1, 3), (7, 9, 3)]
 
 
+def test_training_texts_differ(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE", 3)
+    monkeypatch.setattr(secrets, "train", sorted)
+    texts = [f"{word} {i}" for i in range(4) for word in ("password=abcdef", "plain")]
+    rows = secrets.fit(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts * 5)]))
+    assert len(set(rows)) == 6 == len(rows)
+
+
 def test_viterbi_pieces_equal_the_whole_chain():
     rng = np.random.default_rng(5)
     for _ in range(50):

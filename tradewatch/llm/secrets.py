@@ -3,7 +3,7 @@
 The field tags words as B(egin), I(nside) or O(utside) a secret. A word's features are its shape (length, shares of digits,
 upper and lower case, mixture of classes, assignment signs, a secret's prefix), the same of its neighbours, and features of
 the file (share of words with digits, lines per word); tags are decoded by Viterbi. Training maximises the likelihood on
-at most ``SAMPLE`` texts with pattern matches and as many without (chosen by hash), whose tags come from the patterns; the
+at most ``SAMPLE`` different excerpts with pattern matches and as many without (chosen by hash), whose tags come from the patterns; the
 features do not contain the patterns themselves, so the field generalises to secrets of other forms.
 
 Words whose best tag is O by more than all transitions around them could change are O in the best path, whatever the
@@ -291,12 +291,12 @@ def _listing(text: bytes, spans: list[tuple[int, int, int]]) -> str:
 
 
 def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """The field trained on the sample: SAMPLE texts that a pattern may match and SAMPLE others, by hash of the text; of a
+    """The field trained on the sample: SAMPLE different excerpts that a pattern may match and SAMPLE others, by hash; of a
     text, the SAMPLE_CHARS characters around its first match (training only; scans read whole texts)."""
     rough = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
     texts = docs.select(F.col("text")).where("length(text) > 0").withColumn("hit", F.col("text").rlike(rough))
     window = F.greatest(F.regexp_instr("text", F.lit(rough)) - F.lit(SAMPLE_CHARS // 2), F.lit(1))
-    texts = texts.select("hit", F.substring(F.col("text"), window, F.lit(SAMPLE_CHARS)).alias("text"))
+    texts = texts.select("hit", F.substring(F.col("text"), window, F.lit(SAMPLE_CHARS)).alias("text")).distinct()
     order = F.xxhash64("text")
     rows = []
     for hit in (True, False):
