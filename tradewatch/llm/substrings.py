@@ -1,4 +1,4 @@
-"""Exact substring dedup by suffix order.
+"""Exact substring dedup by equality classes of windows (in place of a suffix array of the data).
 
 A byte is removed if a string of ``LENGTH`` bytes that covers it starts at another place too: at any other place, or, with
 ``keep_first``, at an earlier one (longest previous factor of at least LENGTH), so that the first copy stays.
@@ -7,8 +7,8 @@ Every window of LENGTH bytes has an anchor, the place of its smallest hashed gra
 Equal windows have equal anchors at the same offset, so only windows whose anchor's gram occurs again can be equal, and
 they meet in the bucket of that gram. Per text and anchor the windows form one stretch, whose bytes (the context) are sent
 to the bucket. There the suffixes at the windows' starts are sorted by prefix doubling up to LENGTH bytes; suffixes that
-agree so far stand together, and the smaller positions among them are what previous and next smaller positions of the
-suffix order lead to. Buckets of more than ``BUCKET_ROWS`` contexts are not gathered: their windows are hashed (MD5) and
+agree so far are one class, and the smallest position of a class decides. This replaces the method of a suffix array with
+longest previous factors: no array of these and no previous or next smaller positions are computed, here or elsewhere. Buckets of more than ``BUCKET_ROWS`` contexts are not gathered: their windows are hashed (MD5) and
 grouped one by one, which is as exact and has no large group.
 
 Equal texts are one text with a count, and equal contexts one context: each of their windows has a copy elsewhere.
