@@ -113,6 +113,48 @@ def test_tuning(features):
     assert {r["parameter"] for r in forest.parameter_importance(results).collect()} == set(forest.PARAMETERS)
 
 
+def test_tuning_in_batches_equals_whole_trials(features, monkeypatch):
+    monkeypatch.setattr(forest, "TRIAL_TREES", 3)
+    space = {"n_estimators": (4, 10), "max_samples": (0.05, 0.1), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0)}
+    trials, labelled = forest.draw_trials(3, space=space), evaluation.proxy_labels(features, 5.0)
+    got = {r.trial: (r.tp, r.fp, r.fn, r.tn) for r in forest.tune(labelled, trials, CONFIG).collect()}
+    rows = labelled.select("trade_id", *forest._features(CONFIG), "label").toPandas().sort_values("trade_id")
+    points, truth = forest._points([rows[c].to_numpy() for c in CONFIG.features]), rows.label.to_numpy() == 1
+    for p in trials:
+        psi = max(2, int(p["max_samples"] * len(points)))
+        nodes = forest.grow_forest(points, rows.trade_id.to_numpy(), "tuning", range(p["n_estimators"]), psi, CONFIG.seed,
+                                   p["max_features"], p["bootstrap"])
+        values = forest.Forest({c: np.asarray(v) for c, v in nodes.items()}, psi, None).scores(points)
+        flagged = values > np.quantile(values, 1.0 - p["contamination"]) + 1e-12
+        assert got[p["trial"]] == ((truth & flagged).sum(), (~truth & flagged).sum(), (truth & ~flagged).sum(), (~truth & ~flagged).sum())
+
+
+def test_neighbouring_values_part():
+    points = np.array([[1.0], [np.nextafter(1.0, 2.0)]])
+    for seed in range(20):
+        nodes = forest.grow_tree(points, np.array([0]), np.random.default_rng(seed))
+        assert [n[5] for n in nodes if n[1] < 0] == [1, 1]
+
+
+def test_registered_search_is_the_whole_one(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from tradewatch.plans import registry
+
+    configs, tail = [], MagicMock()
+    tail.col.return_value.__lt__.return_value = True
+    for name in ("trades", "rolling_of", "window_features_of", "training_tail_of", "rolling", "evaluation", "detection", "F"):
+        monkeypatch.setattr(registry, name, tail)
+    monkeypatch.setattr(forest, "training_trades", tail)
+    monkeypatch.setattr(forest, "score", tail)
+    monkeypatch.setattr(forest, "train", lambda rows, config: configs.append(config) or (tail, tail))
+    monkeypatch.setattr(forest, "tune", lambda labelled, trials: trials)
+    for name in ("iforest_train", "iforest_score", "iforest_flags"):
+        registry.QUERIES[name](tail, "")
+    assert [(c.n_trees, c.max_samples) for c in configs] == [(100, 256)] * 3
+    assert registry.tuned(tail, "") == forest.draw_trials(100, space=forest.TUNING_SPACE)
+
+
 def test_model_tables_round_trip(spark, features, model, folder):
     from tradewatch.sinks.tables import write_models
 

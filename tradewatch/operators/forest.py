@@ -67,6 +67,8 @@ def grow_tree(points: np.ndarray, features: np.ndarray, rng: np.random.Generator
             continue
         feature = int(rng.choice(usable))
         split = float(rng.uniform(low[feature], high[feature]))
+        if split >= high[feature]:  # rounded up between neighbouring values: would leave one side empty
+            split = float(low[feature])
         goes_left = part[:, feature] <= split
         nodes.append((node, feature, split, free, free + 1, len(rows), depth))
         pending.append((free, rows[goes_left], depth + 1))
@@ -123,6 +125,10 @@ class Forest:
 
     def scores(self, points: np.ndarray, rows_at_once: int = 4096) -> np.ndarray:
         """Anomaly score of each point; near 1 is anomalous, well below 0.5 is normal."""
+        return 2.0 ** (-self.totals(points, rows_at_once) / len(self.roots) / self.norm)
+
+    def totals(self, points: np.ndarray, rows_at_once: int = 4096) -> np.ndarray:
+        """Sum of the path lengths of each point over all trees."""
         out = np.empty(len(points))
         for start in range(0, len(points), rows_at_once):
             part = points[start:start + rows_at_once]
@@ -133,7 +139,7 @@ class Forest:
                 inner = feature >= 0
                 left = part[which, np.where(inner, feature, 0)] <= self.split[at]
                 at = np.where(inner, np.where(left, self.left[at], self.right[at]), at)
-            out[start:start + rows_at_once] = 2.0 ** (-self.length[at].mean(axis=1) / self.norm)
+            out[start:start + rows_at_once] = self.length[at].sum(axis=1)
         return out
 
 
@@ -317,10 +323,9 @@ TUNING_SPACE = {
     "max_features": (0.5, 1.0),
 }
 
-_TRIAL_DDL = (
-    "trial int, n_estimators int, max_samples double, contamination double, max_features double, bootstrap boolean, "
-    "tp bigint, fp bigint, fn bigint, tn bigint"
-)
+# Trees of a trial that one task grows, and what it reports of each row.
+TRIAL_TREES = 50
+_PATHS_DDL = "trial int, batch int, row int, label int, norm double, total double"
 PARAMETERS = ("n_estimators", "max_samples", "contamination", "max_features", "bootstrap")
 
 
@@ -341,42 +346,54 @@ def draw_trials(n: int, seed: int = 42, space: dict = TUNING_SPACE) -> list[dict
 
 
 def tune(labelled: DataFrame, trials: list[dict], config: ForestConfig = ForestConfig()) -> DataFrame:
-    """F1 of each parameter set against the proxy label; one task per trial.
+    """F1 of each parameter set against the proxy label; a task grows at most ``TRIAL_TREES`` trees of a trial.
 
     ``labelled`` is the bounded training tail with a ``label`` column.
     """
-    choices = F.array(*[
-        F.struct(*[F.lit(value).alias(name) for name, value in trial.items()]) for trial in trials
-    ])
-    rows = labelled.select("trade_id", *_features(config), F.col("label").cast("int").alias("label"))
-    spread = rows.withColumn("_p", F.explode(choices)).select("*", "_p.*").drop("_p")
+    choices = F.array(*[F.struct(*[F.lit(value).alias(name) for name, value in trial.items()]) for trial in trials])
+    batches = F.sequence(F.lit(0), F.ceil(F.col("n_estimators") / TRIAL_TREES).cast("int") - 1)
     names = list(config.features)
+    rows = materialise(labelled.select("trade_id", *_features(config), F.col("label").cast("int").alias("label")))
+    spread = rows.withColumn("_p", F.explode(choices)).select("*", "_p.*").drop("_p")
+    spread = spread.withColumn("batch", F.explode(batches))
 
-    def evaluate(group: pa.Table) -> pa.Table:
-        group = group.sort_by("trade_id")
-        p = {c: group[c][0].as_py() for c in ("trial", *PARAMETERS)}
+    def paths(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("trade_id", *names, "label")])
+        p = {c: group[c][0].as_py() for c in ("trial", "batch", *PARAMETERS)}
         points = _points([group[c].to_numpy() for c in names])
-        psi = max(2, int(p["max_samples"] * len(points)))
+        psi, first = max(2, int(p["max_samples"] * len(points))), p["batch"] * TRIAL_TREES
         nodes = grow_forest(
-            points, group["trade_id"].to_numpy(), "tuning", range(p["n_estimators"]), psi, config.seed,
-            p["max_features"], p["bootstrap"],
+            points, group["trade_id"].to_numpy(), "tuning", range(first, min(first + TRIAL_TREES, p["n_estimators"])), psi,
+            config.seed, p["max_features"], p["bootstrap"],
         )
-        model = Forest({c: np.asarray(v) for c, v in nodes.items()}, psi, None)
-        values = model.scores(points)
-        flagged = values > np.quantile(values, 1.0 - p["contamination"])
-        truth = group["label"].to_numpy() == 1
-        counts = {
-            "tp": int((truth & flagged).sum()), "fp": int((~truth & flagged).sum()),
-            "fn": int((truth & ~flagged).sum()), "tn": int((~truth & ~flagged).sum()),
-        }
-        row = pa.table({k: [v] for k, v in (p | counts).items()})
-        return row.cast(pa.schema([
-            (f, t) for f, t in zip(row.column_names, [
-                pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), *[pa.int64()] * 4,
-            ])
-        ]))
-
-    results = spread.groupBy("trial").applyInArrow(evaluate, _TRIAL_DDL)
+        model, n = Forest({c: np.asarray(v) for c, v in nodes.items()}, psi, None), len(points)
+        return pa.table({
+            "trial": pa.array([p["trial"]] * n, pa.int32()), "batch": pa.array([p["batch"]] * n, pa.int32()),
+            "row": pa.array(range(n), pa.int32()), "label": group["label"].cast(pa.int32()),
+            "norm": pa.array([model.norm] * n), "total": pa.array(model.totals(points)),
+        })
+
+    drawn = rows.sparkSession.range(1).select(F.inline(choices))
+    of = drawn.select(F.col("trial").alias("of"), "n_estimators")
+    # Summed in the order of the batches: equal rows get equal scores.
+    parts = F.array_sort(F.collect_list(F.struct("batch", "total")))
+    sums = spread.groupBy("trial", "batch").applyInArrow(paths, _PATHS_DDL).groupBy("trial", "row").agg(
+        F.first("label").alias("label"), F.first("norm").alias("norm"),
+        F.aggregate(parts, F.lit(0.0), lambda sum_, part: sum_ + part["total"]).alias("total"),
+    )
+    scored = materialise(sums.join(of, F.col("trial") == F.col("of")).select(
+        "trial", "label", F.pow(F.lit(2.0), -F.col("total") / F.col("n_estimators") / F.col("norm")).alias("value")
+    ))
+    shares = F.array(*[F.lit(1.0 - trial["contamination"]) for trial in trials])
+    place = F.create_map(*[F.lit(x) for i, trial in enumerate(trials) for x in (trial["trial"], i)])
+    cuts = scored.groupBy(F.col("trial").alias("cut_trial")).agg(F.percentile("value", shares).alias("cuts"))
+    cuts = cuts.select("cut_trial", F.get("cuts", place[F.col("cut_trial")]).alias("cut"))
+    truth, flagged = F.col("label") == 1, F.col("value") > F.col("cut")
+    counts = scored.join(cuts, F.col("trial") == F.col("cut_trial")).groupBy(F.col("trial").alias("counted")).agg(
+        F.count_if(truth & flagged).alias("tp"), F.count_if(~truth & flagged).alias("fp"),
+        F.count_if(truth & ~flagged).alias("fn"), F.count_if(~truth & ~flagged).alias("tn"),
+    )
+    results = drawn.join(counts, F.col("trial") == F.col("counted")).select("trial", *PARAMETERS, "tp", "fp", "fn", "tn")
     tp2 = 2 * F.col("tp")
     return results.withColumn(
         "f1", F.coalesce(F.try_divide(tp2, tp2 + F.col("fp") + F.col("fn")), F.lit(0.0))

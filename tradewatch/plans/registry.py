@@ -734,11 +734,8 @@ def stream_outbox(spark, folder):
 
 # ---- models ----------------------------------------------------------------------------------
 
-SMALL_FOREST = ForestConfig(n_trees=50, max_samples=128, contamination=0.02)
-# A narrow search, so that the check stays short; the full ranges are the library's default.
-SMALL_SPACE = {
-    "n_estimators": (10, 25), "max_samples": (0.01, 0.05), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0),
-}
+FOREST = ForestConfig(contamination=0.02)
+TRIALS = 100
 
 
 @query
@@ -751,8 +748,8 @@ def model_fallback(spark, folder):
 
 @query
 def iforest_train(spark, folder):
-    recent = forest.training_trades(trades(spark, folder), ROLLING.window, SMALL_FOREST)
-    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), SMALL_FOREST)
+    recent = forest.training_trades(trades(spark, folder), ROLLING.window, FOREST)
+    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), FOREST)
     sizes = nodes.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("nodes"), F.max("depth").alias("deepest"), F.count_if(F.col("feature") < 0).alias("leaves")
     )
@@ -762,9 +759,9 @@ def iforest_train(spark, folder):
 @query
 def iforest_score(spark, folder):
     features = rolling_of(spark, folder)
-    recent = forest.training_trades(trades(spark, folder), ROLLING.window, SMALL_FOREST)
-    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), SMALL_FOREST)
-    return forest.score(features, nodes, meta, SMALL_FOREST).select(
+    recent = forest.training_trades(trades(spark, folder), ROLLING.window, FOREST)
+    nodes, meta = forest.train(rolling.rolling_features(recent, ROLLING), FOREST)
+    return forest.score(features, nodes, meta, FOREST).select(
         "trade_id", "symbol", "z_score", "is_if_anomaly", "if_anomaly_score"
     )
 
@@ -773,7 +770,7 @@ def iforest_score(spark, folder):
 def iforest_flags(spark, folder):
     """Windowed detections with a forest trained on the windows themselves."""
     features = window_features_of(spark, folder)
-    config = ForestConfig(n_trees=50, max_samples=64, contamination=0.05, min_rows=50)
+    config = ForestConfig(contamination=0.05, min_rows=50)
     keyed = features.withColumn("trade_id", F.unix_seconds("window_start")).withColumn("event_time", F.col("window_start"))
     nodes, meta = forest.train(keyed, config)
     model = forest.forest_model(nodes, meta, config)
@@ -785,7 +782,7 @@ def iforest_flags(spark, folder):
 
 def tuned(spark, folder):
     tail = training_tail_of(spark, folder).withColumnRenamed("id", "trade_id")
-    return forest.tune(evaluation.proxy_labels(tail), forest.draw_trials(8, space=SMALL_SPACE))
+    return forest.tune(evaluation.proxy_labels(tail), forest.draw_trials(TRIALS))
 
 
 @query
