@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewatch.llm import bpe, mixing, near_dups, quality, secrets, sharding, substrings, token_shards, topk, warc
+from tradewatch.llm import (
+    bpe, centroids, licences, mixing, near_dups, quality, secrets, sharding, substrings, token_shards, topk, vector_codes, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_topk": _table(topk.top_k, "embeddings"),
     "op10_minhash_near_dups": _table(near_dups.near_duplicates),
     "op9_ring_shards": _table(sharding.document_shards),
+    "op11_vector_codes": _table(vector_codes.product_codes, "embeddings"),
+    "op12_centroids": _table(centroids.clusters, "embeddings"),
+    "op13_licence_scan": _table(licences.document_licences),
 }
 
 #: The words of a text, for DuckDB.
@@ -170,4 +175,82 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": _OP1, "op3_warc_salvage": _OP3, "op6_quality_rules": _OP6, "op8_exact_topk": _OP8}
+#: Vectors without nulls, infinities and NaN.
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+_SQUARES = "list_sum(list_transform(list_zip({0}.v, {1}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+#: Floor of a sum over a count.
+_MEAN = "((s - ((s % n) + n) % n) // n)::BIGINT"
+
+
+def _op11(rounds: int = 4, entries: int = 256, parts: int = 4) -> str:
+    """Lloyd rounds over every part, all distances computed."""
+    steps = [f"""
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, vec_id, label, v, len(v) // {parts} AS size FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_FINITE}
+  )
+), p AS MATERIALIZED (
+  SELECT r, part, v[part * size + 1:(part + 1) * size] AS v FROM r, range({parts}) t(part)
+), e0 AS MATERIALIZED (
+  SELECT part, r - 1 AS entry, v FROM p WHERE r <= {entries}
+)"""]
+    for k in range(rounds + 1):
+        steps.append(f""", a{k} AS MATERIALIZED (
+  SELECT p.r, p.part, min({_SQUARES.format("p", "e")} * {entries} + e.entry) AS m FROM p JOIN e{k} e USING (part) GROUP BY p.r, p.part
+)""")
+        if k < rounds:
+            steps.append(f""", m{k} AS (
+  SELECT part, entry, list({_MEAN} ORDER BY i) AS v FROM (
+    SELECT part, m % {entries} AS entry, i, sum(v[i]) AS s, count(*) AS n
+    FROM (SELECT part, m, v, unnest(range(1, len(v) + 1)) AS i FROM a{k} JOIN p USING (r, part)) GROUP BY ALL
+  ) GROUP BY part, entry
+), e{k + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, coalesce(m.v, e.v) AS v FROM e{k} e LEFT JOIN m{k} m ON m.part = e.part AND m.entry = e.entry
+)""")
+    steps.append(f""", books AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e{rounds}
+), c AS (
+  SELECT r, string_agg(lower(printf('%02x', m % {entries})), '' ORDER BY part) AS code, sum(m // {entries})::BIGINT AS error
+  FROM a{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM r JOIN c USING (r), books""")
+    return "".join(steps)
+
+
+def _op12(rounds: int = 3, k: int = 16) -> str:
+    steps = [f"""
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, 'null')), v) AS r, vec_id, v FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE {_FINITE} AND len(embedding) = 64
+  )
+), c0 AS MATERIALIZED (
+  SELECT r - 1 AS cluster, v FROM r WHERE r <= {k}
+)"""]
+    for n in range(rounds + 1):
+        steps.append(f""", a{n} AS MATERIALIZED (
+  SELECT r.r, min({_SQUARES.format("r", "c")} * {k} + c.cluster) AS m FROM r, c{n} c GROUP BY r.r
+)""")
+        if n < rounds:
+            steps.append(f""", m{n} AS (
+  SELECT cluster, list({_MEAN} ORDER BY i) AS v FROM (
+    SELECT m % {k} AS cluster, i, sum(v[i]) AS s, count(*) AS n
+    FROM (SELECT m, v, unnest(range(1, 65)) AS i FROM a{n} JOIN r USING (r)) GROUP BY ALL
+  ) GROUP BY cluster
+), c{n + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON m.cluster = c.cluster
+)""")
+    steps.append(f""", d AS (
+  SELECT r, (m % {k})::INTEGER AS cluster, (m // {k})::BIGINT AS distance FROM a{rounds}
+)
+SELECT vec_id, d.cluster, distance, (sum(distance) OVER (PARTITION BY d.cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM r JOIN d USING (r) JOIN c{rounds} c ON c.cluster = d.cluster""")
+    return "".join(steps)
+
+
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": _OP1, "op3_warc_salvage": _OP3, "op6_quality_rules": _OP6, "op8_exact_topk": _OP8,
+    "op11_vector_codes": _op11(), "op12_centroids": _op12(),
+}
