@@ -77,7 +77,7 @@ def test_cogrouped_scoring_equals_broadcast(features, model, monkeypatch):
     monkeypatch.setattr(forest, "GROUP_ROWS", 100)
     odd = features.withColumn("z_score", F.when(F.col("trade_id") % 5 != 0, F.col("z_score")))
     a = forest.score(odd, *model, CONFIG).select("trade_id", "is_if_anomaly", F.round("if_anomaly_score", 9).alias("s"))
-    b = forest.score(odd, *model, CONFIG, broadcast_nodes=10).select("trade_id", "is_if_anomaly", F.round("if_anomaly_score", 9).alias("s"))
+    b = forest.score_cogrouped(odd, *model, CONFIG).select("trade_id", "is_if_anomaly", F.round("if_anomaly_score", 9).alias("s"))
     assert a.count() == b.count() == 1060
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
@@ -97,62 +97,91 @@ def test_newest_rows_only(features):
     assert rows.where("symbol = 'BTC/USDT'").agg(F.min("s") if "s" in rows.columns else F.min("trade_id")).first()[0] == 400
 
 
-def test_tuning(features):
-    trials = forest.draw_trials(4, space={
-        "n_estimators": (5, 15), "max_samples": (0.05, 0.1), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0),
-    })
-    assert trials == forest.draw_trials(4, space={
-        "n_estimators": (5, 15), "max_samples": (0.05, 0.1), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0),
-    })
-    labelled = evaluation.proxy_labels(features, 5.0)
-    results = forest.tune(labelled, trials, CONFIG)
-    rows = results.collect()
-    assert len(rows) == 4 and all(r["tp"] + r["fp"] + r["fn"] + r["tn"] == 1060 for r in rows)
-    assert max(r["f1"] for r in rows) > 0.3
-    assert forest.best_trial(results).first()["f1"] == max(r["f1"] for r in rows)
-    assert {r["parameter"] for r in forest.parameter_importance(results).collect()} == set(forest.PARAMETERS)
-
-
-def test_tuning_in_batches_equals_whole_trials(features, monkeypatch):
-    monkeypatch.setattr(forest, "TRIAL_TREES", 3)
-    space = {"n_estimators": (4, 10), "max_samples": (0.05, 0.1), "contamination": (0.005, 0.05), "max_features": (0.5, 1.0)}
-    trials, labelled = forest.draw_trials(3, space=space), evaluation.proxy_labels(features, 5.0)
-    got = {r.trial: (r.tp, r.fp, r.fn, r.tn) for r in forest.tune(labelled, trials, CONFIG).collect()}
-    rows = labelled.select("trade_id", *forest._features(CONFIG), "label").toPandas().sort_values("trade_id")
-    points, truth = forest._points([rows[c].to_numpy() for c in CONFIG.features]), rows.label.to_numpy() == 1
-    for p in trials:
-        psi = max(2, int(p["max_samples"] * len(points)))
-        nodes = forest.grow_forest(points, rows.trade_id.to_numpy(), "tuning", range(p["n_estimators"]), psi, CONFIG.seed,
-                                   p["max_features"], p["bootstrap"])
-        values = forest.Forest({c: np.asarray(v) for c, v in nodes.items()}, psi, None).scores(points)
-        flagged = values > np.quantile(values, 1.0 - p["contamination"]) + 1e-12
-        assert got[p["trial"]] == ((truth & flagged).sum(), (~truth & flagged).sum(), (truth & ~flagged).sum(), (~truth & ~flagged).sum())
+def test_model_groups_change_nothing(spark, features, model, folder):
+    """One broadcast per symbol scores as one for all, on a stream too."""
+    columns = ["trade_id", "is_if_anomaly", "if_anomaly_score"]
+    whole = forest.score(features, *model, CONFIG).select(columns)
+    groups, place = forest._model_groups(*model, group_nodes=10)
+    assert len(groups) == 2 and sorted(place.values()) == [0, 1]
+    apart = forest.score(features, *model, CONFIG, group_nodes=10).select(columns)
+    assert whole.exceptAll(apart).isEmpty() and apart.exceptAll(whole).isEmpty()
+    features.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(features.schema).parquet(f"{folder}/in")
+    scored = forest.score(stream, *model, CONFIG, group_nodes=10).select(columns)
+    scored.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/c").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    again = spark.read.parquet(f"{folder}/out")
+    assert again.count() == 1060 and again.exceptAll(whole).isEmpty()
+
+
+def test_trees_do_not_depend_on_what_grows_beside_them():
+    rng = np.random.default_rng(1)
+    points, ids = rng.normal(size=(300, 3)), np.arange(300)
+    together = forest.grow_forest(points, ids, "x", range(6), 64, 7, 0.7, False)
+    apart = [forest.grow_forest(points, ids, "x", range(t, t + 1), 64, 7, 0.7, False) for t in range(6)]
+    order = np.lexsort((together["node"], together["tree"]))
+    for name in forest._NODE_COLUMNS:
+        alone = np.concatenate([one[name][np.argsort(one["node"], kind="stable")] for one in apart])
+        np.testing.assert_array_equal(together[name][order], alone)
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_nodes_are_a_tree_over_the_sample(replace):
+    """A plain walk puts every sampled row into the leaf whose size counts it."""
+    rng = np.random.default_rng(2)
+    points, ids = np.round(rng.normal(size=(200, 3)), 1), np.arange(200)
+    nodes = forest.grow_forest(points, ids, "x", range(4), 90, 5, 1.0, replace)
+    for tree in range(4):
+        at = {n: i for i, n in enumerate(nodes["node"]) if nodes["tree"][i] == tree}
+        weights = forest.tree_sample(ids, 90, forest.tree_salt("x", tree, 5), replace)
+        assert weights.sum() == 90 and sorted(at) == list(range(len(at)))
+        reached = dict.fromkeys(at, 0)
+        for row in np.flatnonzero(weights):
+            node = 0
+            reached[node] += weights[row]
+            while nodes["feature"][at[node]] >= 0:
+                i = at[node]
+                left = points[row, nodes["feature"][i]] <= nodes["split"][i]
+                assert nodes["depth"][at[nodes["left"][i]]] == nodes["depth"][i] + 1
+                node = nodes["left"][i] if left else nodes["right"][i]
+                reached[node] += weights[row]
+        assert all(reached[n] == nodes["size"][at[n]] > 0 for n in at)
+        assert nodes["depth"][list(at.values())].max() <= 7
+
+
+def test_path_totals_equal_scoring_of_stored_trees():
+    rng = np.random.default_rng(3)
+    points, ids = np.round(rng.normal(size=(400, 3)), 2), np.arange(400)
+    for samples, replace in ((2, False), (60, False), (400, False), (400, True)):
+        stored = forest.Forest(forest.grow_forest(points, ids, "x", range(8), samples, 1, 0.7, replace), samples, None)
+        np.testing.assert_allclose(
+            forest.path_totals(points, ids, "x", range(8), samples, 1, 0.7, replace), stored.totals(points), rtol=1e-12
+        )
 
 
 def test_neighbouring_values_part():
     points = np.array([[1.0], [np.nextafter(1.0, 2.0)]])
     for seed in range(20):
-        nodes = forest.grow_tree(points, np.array([0]), np.random.default_rng(seed))
-        assert [n[5] for n in nodes if n[1] < 0] == [1, 1]
+        nodes = forest.grow_forest(points, np.arange(2), "x", range(1), 2, seed)
+        assert nodes["size"][nodes["feature"] < 0].tolist() == [1, 1]
 
 
-def test_registered_search_is_the_whole_one(monkeypatch):
+def test_registered_forests_are_whole(monkeypatch):
     from unittest.mock import MagicMock
 
     from tradewatch.plans import registry
 
     configs, tail = [], MagicMock()
     tail.col.return_value.__lt__.return_value = True
-    for name in ("trades", "rolling_of", "window_features_of", "training_tail_of", "rolling", "evaluation", "detection", "F"):
+    for name in ("trades", "rolling_of", "window_features_of", "rolling", "detection", "F"):
         monkeypatch.setattr(registry, name, tail)
     monkeypatch.setattr(forest, "training_trades", tail)
     monkeypatch.setattr(forest, "score", tail)
     monkeypatch.setattr(forest, "train", lambda rows, config: configs.append(config) or (tail, tail))
-    monkeypatch.setattr(forest, "tune", lambda labelled, trials: trials)
     for name in ("iforest_train", "iforest_score", "iforest_flags"):
         registry.QUERIES[name](tail, "")
     assert [(c.n_trees, c.max_samples) for c in configs] == [(100, 256)] * 3
-    assert registry.tuned(tail, "") == forest.draw_trials(100, space=forest.TUNING_SPACE)
 
 
 def test_model_tables_round_trip(spark, features, model, folder):

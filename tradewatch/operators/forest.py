@@ -7,7 +7,6 @@ symbol, tree, trade_id), so retries and other partitionings give the same forest
 
 from __future__ import annotations
 
-import random
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +22,6 @@ from pyspark.sql import types as T
 from tradewatch.config import ForestConfig
 from tradewatch.functions.symbols import normalize_symbol
 from tradewatch.functions.timestamps import with_event_time
-from tradewatch.operators.evaluation import confusion_matrix
 from tradewatch.operators.rolling import newest_per_key
 from tradewatch.schemas import FOREST_DDL
 from tradewatch.session import materialise
@@ -31,7 +29,7 @@ from tradewatch.session import materialise
 DEFAULT_KEY = "_default_"
 _SCORE_DDL = "is_if_anomaly boolean, if_anomaly_score double"
 _EULER = 0.5772156649015329
-BROADCAST_NODES = 4_000_000  # about 150 MB of arrays
+GROUP_NODES = 2_000_000  # about 75 MB of arrays
 GROUP_ROWS = 200_000
 
 
@@ -51,53 +49,164 @@ def _scrambled(ids: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def grow_tree(points: np.ndarray, features: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of one tree as (node, feature, split, left, right, size, depth); leaves have feature -1."""
-    limit = max(1, int(np.ceil(np.log2(max(len(points), 2)))))
-    nodes: list[tuple] = []
-    pending = [(0, np.arange(len(points)), 0)]
-    free = 1
-    while pending:
-        node, rows, depth = pending.pop()
-        part = points[rows]
-        low, high = part.min(axis=0), part.max(axis=0)
-        usable = features[low[features] < high[features]]
-        if depth >= limit or len(rows) < 2 or len(usable) == 0:
-            nodes.append((node, -1, 0.0, -1, -1, len(rows), depth))
-            continue
-        feature = int(rng.choice(usable))
-        split = float(rng.uniform(low[feature], high[feature]))
-        if split >= high[feature]:  # rounded up between neighbouring values: would leave one side empty
-            split = float(low[feature])
-        goes_left = part[:, feature] <= split
-        nodes.append((node, feature, split, free, free + 1, len(rows), depth))
-        pending.append((free, rows[goes_left], depth + 1))
-        pending.append((free + 1, rows[~goes_left], depth + 1))
-        free += 2
-    return nodes
+def _uniform(salts: np.ndarray, nodes: np.ndarray, draw: int) -> np.ndarray:
+    """A number in [0, 1) for each (tree, node), whatever else is grown beside it."""
+    mixed = (salts + nodes * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(draw * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF)
+    return (_scrambled(mixed, 0) >> np.uint64(11)) * 2.0**-53
+
+
+def _begins(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)[:-1]])
+
+
+def grow_levels(
+    points: np.ndarray, rows: np.ndarray, weights: np.ndarray, starts: np.ndarray, usable: np.ndarray, salts: np.ndarray,
+    nodes: list | None = None, paths: np.ndarray | None = None,
+) -> None:
+    """Grow several trees at once, level by level; the rows of a tree, and later of a node, lie side by side.
+
+    Tree t takes ``rows[starts[t]:starts[t + 1]]``, places in ``points``. A row of weight n stands n times in the tree's
+    sample; one of weight 0 is no part of it and only runs down the tree. ``nodes`` receives arrays (tree, node, feature,
+    split, left, right, size, depth) per level, leaves with feature -1; ``paths`` the path length of every entry of ``rows``.
+    """
+    flat, width = np.ascontiguousarray(points).ravel(), points.shape[1]
+    tree, lengths = np.arange(len(starts) - 1), np.diff(starts)
+    limits = np.maximum(1, np.ceil(np.log2(np.maximum(np.add.reduceat(weights, starts[:-1]), 2)))).astype(np.int64)
+    heap, number, count = np.ones(len(tree), np.uint64), np.zeros(len(tree), np.int64), np.ones(len(tree), np.int64)
+    place, depth, whole = np.arange(len(rows)), 0, bool((weights > 0).all())
+
+    def extent(values: np.ndarray, sampled: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and largest value of each node's sample."""
+        begin = _begins(lengths)
+        if not whole:
+            values, begin = np.compress(sampled, values), _begins(np.add.reduceat(sampled, begin, dtype=np.int64))
+        return np.minimum.reduceat(values, begin), np.maximum.reduceat(values, begin)
+
+    while True:
+        size = np.add.reduceat(weights, _begins(lengths))
+        parts = (depth < limits[tree]) & (size >= 2)
+        feature, split = np.full(len(tree), -1), np.zeros(len(tree))
+        inner = np.flatnonzero(parts)
+        if len(inner):
+            live = slice(None) if parts.all() else np.flatnonzero(np.repeat(parts, lengths))
+            below, own, long = rows[live], weights[live] > 0, lengths[inner]
+            mine, salt, node = usable[tree[inner]], salts[tree[inner]], heap[inner]
+            pick = (_uniform(salt, node, 1) * mine.sum(axis=1)).astype(np.int64)
+            chosen = np.argmax(np.cumsum(mine, axis=1) > pick[:, None], axis=1)
+            values = flat.take(below * width + np.repeat(chosen, long))
+            low, high = extent(values, own, long)
+            # Where that feature is constant, the others follow in a random order.
+            stuck, tries = np.flatnonzero(low >= high), 1
+            if len(stuck):
+                keys = np.stack([_uniform(salt[stuck], node[stuck], 8 + j) for j in range(width)], axis=1)
+                keys[np.arange(len(stuck)), chosen[stuck]] = 2.0
+                order, left_over = np.argsort(np.where(mine[stuck], keys, 3.0), axis=1), mine[stuck].sum(axis=1) - 1
+            while len(stuck):
+                on = left_over >= tries
+                stuck, order, left_over = stuck[on], order[on], left_over[on]
+                if len(stuck) == 0:
+                    break
+                chosen[stuck] = order[:, tries - 1]
+                again = np.zeros(len(inner), bool)
+                again[stuck] = True
+                at = np.flatnonzero(np.repeat(again, long))
+                values[at] = flat.take(below[at] * width + np.repeat(chosen[stuck], long[stuck]))
+                low[stuck], high[stuck] = extent(values[at], own[at], long[stuck])
+                on = low[stuck] >= high[stuck]
+                stuck, order, left_over, tries = stuck[on], order[on], left_over[on], tries + 1
+            cut = low + _uniform(salt, node, 2) * (high - low)
+            cut = np.where(cut >= high, low, cut)  # rounded up: would leave one side empty
+            found = low < high
+            parts[inner] = found
+            feature[inner[found]], split[inner[found]] = chosen[found], cut[found]
+        if nodes is not None:
+            before = np.concatenate([[0], np.cumsum(parts)])
+            left = count[tree] + 2 * (before[:-1] - before[np.searchsorted(tree, tree, side="left")])
+            nodes.append((
+                tree, number, feature, split, np.where(parts, left, -1), np.where(parts, left + 1, -1), size, np.full(len(tree), depth),
+            ))
+            np.add.at(count, tree, 2 * parts)
+        if paths is not None and not parts.all():
+            ended = np.flatnonzero(np.repeat(~parts, lengths))
+            paths[place.take(ended)] = np.repeat((depth + expected_path(size))[~parts], lengths[~parts])
+        if not parts.any():
+            return
+        if not found.all():
+            values, cut, long = np.compress(np.repeat(found, long), values), cut[found], long[found]
+        if not parts.all():
+            live = np.flatnonzero(np.repeat(parts, lengths))
+            rows, weights = rows.take(live), weights.take(live)
+            place = place.take(live) if paths is not None else place
+        goes_left = values <= np.repeat(cut, long)
+        child = np.arange(2 * len(long), dtype=np.uint16 if 2 * len(long) < 1 << 16 else np.uint64)
+        turn = np.argsort(np.repeat(child[::2], long) + ~goes_left, kind="stable")  # short keys sort by radix
+        lefts = np.add.reduceat(goes_left, _begins(long), dtype=np.int64)
+        rows, weights = rows.take(turn), weights.take(turn)
+        place = place.take(turn) if paths is not None else place
+        if nodes is not None:
+            number = np.stack([left[parts], left[parts] + 1], axis=1).ravel()
+        lengths = np.stack([lefts, long - lefts], axis=1).ravel()
+        heap = np.stack([2 * heap[parts], 2 * heap[parts] + np.uint64(1)], axis=1).ravel()
+        tree, depth = np.repeat(tree[parts], 2), depth + 1
+
+
+def tree_salt(name: str, tree: int, seed: int) -> int:
+    return zlib.crc32(f"{seed}|{name}|{tree}".encode()) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+
+
+def tree_sample(ids: np.ndarray, samples: int, salt: int, replace: bool) -> np.ndarray:
+    """How often each row stands in a tree's sample."""
+    if replace:
+        drawn = (_uniform(np.full(samples, salt, np.uint64), np.arange(samples, dtype=np.uint64), 3) * len(ids)).astype(np.int64)
+        return np.bincount(drawn, minlength=len(ids))
+    weights = np.zeros(len(ids), np.int64)
+    weights[np.argsort(_scrambled(ids, salt), kind="stable")[:samples]] = 1
+    return weights
+
+
+def tree_features(width: int, share: float, salt: int) -> np.ndarray:
+    """Which features a tree may split on."""
+    order = np.argsort(_uniform(np.full(width, salt, np.uint64), np.arange(width, dtype=np.uint64), 4), kind="stable")
+    return np.isin(np.arange(width), order[: max(1, int(share * width))])
 
 
 def grow_forest(
     points: np.ndarray, ids: np.ndarray, name: str, trees: range, samples: int, seed: int,
     feature_share: float = 1.0, replace: bool = False,
-) -> dict[str, list]:
+) -> dict[str, np.ndarray]:
     """Node columns of several trees of one forest."""
-    out: dict[str, list] = {c: [] for c in ("tree", "node", "feature", "split", "left", "right", "size", "depth")}
-    width = points.shape[1]
-    for tree in trees:
-        salt = zlib.crc32(f"{seed}|{name}|{tree}".encode())
-        rng = np.random.default_rng([seed, salt])
-        if replace:
-            chosen = rng.integers(0, len(points), samples)
-        else:
-            chosen = np.argsort(_scrambled(ids, salt * 0x9E3779B97F4A7C15), kind="stable")[:samples]
-        features = np.sort(rng.permutation(width)[: max(1, int(feature_share * width))])
-        for row in grow_tree(points[chosen], features, rng):
-            for column, value in zip(out, (tree, *row)):
-                out[column].append(value)
+    salts = [tree_salt(name, tree, seed) for tree in trees]
+    weights = [tree_sample(ids, samples, salt, replace) for salt in salts]
+    rows = [np.flatnonzero(w) for w in weights]
+    levels: list = []
+    grow_levels(
+        points, np.concatenate(rows), np.concatenate([w[r] for w, r in zip(weights, rows)]),
+        np.concatenate([[0], np.cumsum([len(r) for r in rows])]),
+        np.stack([tree_features(points.shape[1], feature_share, salt) for salt in salts]), np.array(salts, np.uint64), nodes=levels,
+    )
+    out = {c: np.concatenate(parts) for c, parts in zip(_NODE_COLUMNS, zip(*levels))}
+    out["tree"] = out["tree"] + trees.start
     return out
 
 
+def path_totals(
+    points: np.ndarray, ids: np.ndarray, name: str, trees: range, samples: int, seed: int, feature_share: float, replace: bool,
+) -> np.ndarray:
+    """Sum of every row's path lengths over trees grown from samples of these rows, without keeping the trees."""
+    rows, totals, ends = np.arange(len(points)), np.zeros(len(points)), np.array([0, len(points)])
+    for tree in trees:
+        salt, paths = tree_salt(name, tree, seed), np.empty(len(points))
+        usable = tree_features(points.shape[1], feature_share, salt)[None]
+        grow_levels(
+            points, rows, tree_sample(ids, samples, salt, replace), ends, usable, np.array([salt], np.uint64), paths=paths
+        )
+        totals += paths
+    return totals
+
+
+_NODE_COLUMNS = ("tree", "node", "feature", "split", "left", "right", "size", "depth")
+
+
 class Forest:
     """One symbol's trees as flat arrays, with the path length that ends in each leaf."""
 
@@ -143,9 +252,6 @@ class Forest:
         return out
 
 
-_NODE_COLUMNS = ("tree", "node", "feature", "split", "left", "right", "size", "depth")
-
-
 def _forest(nodes: pa.Table, psi: int, cut: float | None) -> Forest:
     return Forest({c: nodes[c].to_numpy() for c in _NODE_COLUMNS}, psi, cut)
 
@@ -192,9 +298,7 @@ def train(features: DataFrame, config: ForestConfig = ForestConfig()) -> tuple[D
             _points([group[c].to_numpy() for c in names]), group["trade_id"].to_numpy(), symbol, trees,
             min(config.max_samples, group.num_rows), config.seed,
         )
-        types = {"split": pa.float64(), "size": pa.int64()}
-        arrays = {c: pa.array(v, types.get(c, pa.int32())) for c, v in columns.items()}
-        return pa.table({"symbol": pa.array([symbol] * len(columns["tree"])), **arrays})
+        return pa.Table.from_batches([node_batch(symbol, columns)])
 
     forest = materialise(spread.groupBy("symbol", "_batch").applyInArrow(grow, FOREST_DDL))
     sizes = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("trained_rows"))
@@ -212,6 +316,13 @@ def train(features: DataFrame, config: ForestConfig = ForestConfig()) -> tuple[D
     ))
 
 
+def node_batch(symbol: str, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Node columns of one symbol as rows of a node table."""
+    types = {"split": pa.float64(), "size": pa.int64()}
+    arrays = [pa.array(columns[c]).cast(types.get(c, pa.int32())) for c in _NODE_COLUMNS]
+    return pa.RecordBatch.from_arrays([pa.array([symbol] * len(arrays[0])), *arrays], ["symbol", *_NODE_COLUMNS])
+
+
 def resolve_models(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Add ``model_key``: the normalised symbol, its form without slash, the default model, or null."""
     own = keys.select(F.col("symbol").alias("_own"))
@@ -228,39 +339,33 @@ def resolve_models(df: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def score(
-    df: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig = ForestConfig(),
-    broadcast_nodes: int = BROADCAST_NODES,
+    df: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig = ForestConfig(), group_nodes: int = GROUP_NODES,
 ) -> DataFrame:
     """Add ``is_if_anomaly`` and ``if_anomaly_score``; rows without a model get false and zero.
 
-    A model set of at most ``broadcast_nodes`` nodes is broadcast and applied in place, without a
-    shuffle, also on streams. A larger set is co-grouped with the rows of each symbol, and symbols
-    with many rows are spread over several groups.
+    Models travel in groups of symbols, each a broadcast of about ``group_nodes`` nodes; a task fetches the groups that
+    its rows name. Rows stay where they are, on streams too, and a model set of any size takes the same way.
     """
-    if forest.limit(broadcast_nodes + 1).count() <= broadcast_nodes:
-        return _score_broadcast(df, forest, meta, config)
-    return _score_cogrouped(df, forest, meta, config)
-
-
-def _score_broadcast(df: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig) -> DataFrame:
-    facts = {row["symbol"]: (row["psi"], row["score_cut"]) for row in meta.select("symbol", "psi", "score_cut").collect()}
-    nodes = forest.toArrow()
-    models = {}
-    for symbol, (psi, cut) in facts.items():
-        mine = nodes.filter(pc.equal(nodes["symbol"], symbol))
-        if mine.num_rows:
-            # Broadcasts are pickled by reference, so plain arrays travel instead of the class.
-            models[symbol] = vars(_forest(mine, psi, cut))
-    shared = df.sparkSession.sparkContext.broadcast(models)
+    groups, place = _model_groups(forest, meta, group_nodes)
 
     @F.pandas_udf(_SCORE_DDL)
     def apply(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        known = {key: Forest.restored(state) for key, state in shared.value.items()}
+        known: dict[int, dict[str, Forest]] = {}
+
+        def model_of(text: str) -> Forest | None:
+            key = next((k for k in (text, text.replace("/", ""), DEFAULT_KEY) if k in place), None)
+            if key is None:
+                return None
+            group = place[key]
+            if group not in known:
+                known[group] = {name: Forest.restored(state) for name, state in groups[group].value.items()}
+            return known[group][key]
+
         for name, *measures in batches:
             points = _points([m.to_numpy() for m in measures])
             values, flags = np.zeros(len(name)), np.zeros(len(name), dtype=bool)
             for text, rows in name.groupby(name).indices.items():
-                model = known.get(text) or known.get(text.replace("/", "")) or known.get(DEFAULT_KEY)
+                model = model_of(text)
                 if model is not None:
                     values[rows] = model.scores(points[rows])
                     flags[rows] = values[rows] > (np.inf if model.cut is None else model.cut)
@@ -271,7 +376,36 @@ def _score_broadcast(df: DataFrame, forest: DataFrame, meta: DataFrame, config:
     )
 
 
-def _score_cogrouped(df: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig) -> DataFrame:
+def _model_groups(forest: DataFrame, meta: DataFrame, group_nodes: int) -> tuple[list, dict[str, int]]:
+    """Broadcasts of models, and the broadcast of each symbol. The driver holds one group at a time."""
+    counts = forest.groupBy("symbol").agg(F.count(F.lit(1)).alias("nodes"))
+    facts = counts.join(meta.select("symbol", "psi", "score_cut"), "symbol").orderBy("symbol").collect()
+    parts: list[list] = []
+    room = 0
+    for row in facts:
+        if not parts or room < row["nodes"]:
+            parts.append([])
+            room = group_nodes
+        parts[-1].append(row)
+        room -= row["nodes"]
+    groups, place = [], {}
+    for part in parts:
+        whole = forest if len(parts) == 1 else forest.where(F.col("symbol").isin([row["symbol"] for row in part]))
+        nodes, models = whole.toArrow(), {}
+        for row in part:
+            place[row["symbol"]] = len(groups)
+            # Broadcasts are pickled by reference, so plain arrays travel instead of the class.
+            mine = nodes.filter(pc.equal(nodes["symbol"], row["symbol"]))
+            models[row["symbol"]] = vars(_forest(mine, row["psi"], row["score_cut"]))
+        groups.append(forest.sparkSession.sparkContext.broadcast(models))
+    return groups, place
+
+
+def score_cogrouped(
+    df: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig = ForestConfig()
+) -> DataFrame:
+    """The same as ``score`` for batches, with each symbol's rows and model brought together, so that a task holds one
+    model; symbols with many rows are spread over several groups."""
     resolved = resolve_models(df, meta)
     shares = resolved.groupBy("model_key").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(GROUP_ROWS)).cast("int").alias("_shares")
@@ -311,112 +445,3 @@ def forest_model(forest: DataFrame, meta: DataFrame, config: ForestConfig = Fore
 def latest_version(path_df: DataFrame) -> DataFrame:
     """Rows of the newest complete model version of a versioned model table."""
     return path_df.where(F.col("version") == path_df.select(F.max("version")).scalar())
-
-
-# ---- parameter search ------------------------------------------------------------------------
-
-# Ranges of the search.
-TUNING_SPACE = {
-    "n_estimators": (50, 300),
-    "max_samples": (0.1, 1.0),
-    "contamination": (0.001, 0.05),
-    "max_features": (0.5, 1.0),
-}
-
-# Trees of a trial that one task grows, and what it reports of each row.
-TRIAL_TREES = 50
-_PATHS_DDL = "trial int, batch int, row int, label int, norm double, total double"
-PARAMETERS = ("n_estimators", "max_samples", "contamination", "max_features", "bootstrap")
-
-
-def draw_trials(n: int, seed: int = 42, space: dict = TUNING_SPACE) -> list[dict]:
-    """Random parameter sets, the same for the same seed."""
-    rng = random.Random(seed)
-    return [
-        {
-            "trial": i,
-            "n_estimators": rng.randint(*space["n_estimators"]),
-            "max_samples": rng.uniform(*space["max_samples"]),
-            "contamination": rng.uniform(*space["contamination"]),
-            "max_features": rng.uniform(*space["max_features"]),
-            "bootstrap": rng.random() < 0.5,
-        }
-        for i in range(n)
-    ]
-
-
-def tune(labelled: DataFrame, trials: list[dict], config: ForestConfig = ForestConfig()) -> DataFrame:
-    """F1 of each parameter set against the proxy label; a task grows at most ``TRIAL_TREES`` trees of a trial.
-
-    ``labelled`` is the bounded training tail with a ``label`` column.
-    """
-    choices = F.array(*[F.struct(*[F.lit(value).alias(name) for name, value in trial.items()]) for trial in trials])
-    batches = F.sequence(F.lit(0), F.ceil(F.col("n_estimators") / TRIAL_TREES).cast("int") - 1)
-    names = list(config.features)
-    rows = materialise(labelled.select("trade_id", *_features(config), F.col("label").cast("int").alias("label")))
-    spread = rows.withColumn("_p", F.explode(choices)).select("*", "_p.*").drop("_p")
-    spread = spread.withColumn("batch", F.explode(batches))
-
-    def paths(group: pa.Table) -> pa.Table:
-        group = group.sort_by([(c, "ascending") for c in ("trade_id", *names, "label")])
-        p = {c: group[c][0].as_py() for c in ("trial", "batch", *PARAMETERS)}
-        points = _points([group[c].to_numpy() for c in names])
-        psi, first = max(2, int(p["max_samples"] * len(points))), p["batch"] * TRIAL_TREES
-        nodes = grow_forest(
-            points, group["trade_id"].to_numpy(), "tuning", range(first, min(first + TRIAL_TREES, p["n_estimators"])), psi,
-            config.seed, p["max_features"], p["bootstrap"],
-        )
-        model, n = Forest({c: np.asarray(v) for c, v in nodes.items()}, psi, None), len(points)
-        return pa.table({
-            "trial": pa.array([p["trial"]] * n, pa.int32()), "batch": pa.array([p["batch"]] * n, pa.int32()),
-            "row": pa.array(range(n), pa.int32()), "label": group["label"].cast(pa.int32()),
-            "norm": pa.array([model.norm] * n), "total": pa.array(model.totals(points)),
-        })
-
-    drawn = rows.sparkSession.range(1).select(F.inline(choices))
-    of = drawn.select(F.col("trial").alias("of"), "n_estimators")
-    # Summed in the order of the batches: equal rows get equal scores.
-    parts = F.array_sort(F.collect_list(F.struct("batch", "total")))
-    sums = spread.groupBy("trial", "batch").applyInArrow(paths, _PATHS_DDL).groupBy("trial", "row").agg(
-        F.first("label").alias("label"), F.first("norm").alias("norm"),
-        F.aggregate(parts, F.lit(0.0), lambda sum_, part: sum_ + part["total"]).alias("total"),
-    )
-    scored = materialise(sums.join(of, F.col("trial") == F.col("of")).select(
-        "trial", "label", F.pow(F.lit(2.0), -F.col("total") / F.col("n_estimators") / F.col("norm")).alias("value")
-    ))
-    shares = F.array(*[F.lit(1.0 - trial["contamination"]) for trial in trials])
-    place = F.create_map(*[F.lit(x) for i, trial in enumerate(trials) for x in (trial["trial"], i)])
-    cuts = scored.groupBy(F.col("trial").alias("cut_trial")).agg(F.percentile("value", shares).alias("cuts"))
-    cuts = cuts.select("cut_trial", F.get("cuts", place[F.col("cut_trial")]).alias("cut"))
-    truth, flagged = F.col("label") == 1, F.col("value") > F.col("cut")
-    counts = scored.join(cuts, F.col("trial") == F.col("cut_trial")).groupBy(F.col("trial").alias("counted")).agg(
-        F.count_if(truth & flagged).alias("tp"), F.count_if(~truth & flagged).alias("fp"),
-        F.count_if(truth & ~flagged).alias("fn"), F.count_if(~truth & ~flagged).alias("tn"),
-    )
-    results = drawn.join(counts, F.col("trial") == F.col("counted")).select("trial", *PARAMETERS, "tp", "fp", "fn", "tn")
-    tp2 = 2 * F.col("tp")
-    return results.withColumn(
-        "f1", F.coalesce(F.try_divide(tp2, tp2 + F.col("fp") + F.col("fn")), F.lit(0.0))
-    )
-
-
-def best_trial(results: DataFrame) -> DataFrame:
-    """The parameter set with the highest F1; the earlier trial wins ties."""
-    return results.orderBy(F.desc("f1"), "trial").limit(1)
-
-
-def parameter_importance(results: DataFrame) -> DataFrame:
-    """Strength of the linear relation between each parameter and F1."""
-    pairs = F.array(*[
-        F.struct(F.lit(name).alias("parameter"), F.col(name).cast("double").alias("value")) for name in PARAMETERS
-    ])
-    return results.select("f1", F.inline(pairs)).groupBy("parameter").agg(
-        F.abs(F.corr("value", "f1")).alias("importance")
-    )
-
-
-def model_quality(scored: DataFrame, limit: float) -> DataFrame:
-    """Confusion matrix of model flags against the proxy label."""
-    return confusion_matrix(
-        scored.select((F.abs("z_score") > limit).alias("truth"), F.col("is_if_anomaly").alias("predicted"))
-    )

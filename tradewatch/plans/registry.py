@@ -7,8 +7,10 @@ into a comparable form: doubles to six decimals, times without zone, integers as
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,11 +21,11 @@ from tradewatch.config import (
 from tradewatch.functions.numbers import coerce_double, half_up
 from tradewatch.functions.symbols import normalize_symbol, stream_symbol
 from tradewatch.functions.timestamps import calendar_columns, decode_epoch
-from tradewatch.operators import alerts, detection, evaluation, forest, marts, metrics, rolling, windowed
+from tradewatch.operators import alerts, detection, evaluation, forest, marts, metrics, rolling, search, windowed
 from tradewatch.operators.cooldown import thin
 from tradewatch.plans.flows import windowed_detections
 from tradewatch.sources import decode, kafka, scan
-from tradewatch.session import shared_folder
+from tradewatch.session import materialise, shared_folder
 from tradewatch.sinks.tables import append_stream, checkpoint_path
 from tradewatch.sources.events import load_event_trades, trades_from_events
 from tradewatch.streaming import fanout, stateful, windows
@@ -735,7 +737,6 @@ def stream_outbox(spark, folder):
 # ---- models ----------------------------------------------------------------------------------
 
 FOREST = ForestConfig(contamination=0.02)
-TRIALS = 100
 
 
 @query
@@ -780,16 +781,38 @@ def iforest_flags(spark, folder):
     )
 
 
-def tuned(spark, folder):
+def labelled_tail(spark, folder):
     tail = training_tail_of(spark, folder).withColumnRenamed("id", "trade_id")
-    return forest.tune(evaluation.proxy_labels(tail), forest.draw_trials(TRIALS))
+    return materialise(evaluation.proxy_labels(tail))
+
+
+def stored_trials(spark, folder):
+    """The trials of a search over these tables; the session's first caller runs it and stores them."""
+    name = f"{spark.sparkContext.applicationId}-{zlib.crc32(folder.encode()):08x}"
+    path = f"{shared_folder(spark)}/trials/{name}"
+    try:
+        return spark.read.schema(search.TRIALS_DDL).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    search.search(labelled_tail(spark, folder)).write.mode("overwrite").parquet(path)
+    return spark.read.schema(search.TRIALS_DDL).parquet(path)
 
 
 @query
 def iforest_tune(spark, folder):
-    return tuned(spark, folder)
+    return stored_trials(spark, folder)
 
 
 @query
 def tune_importance(spark, folder):
-    return forest.parameter_importance(tuned(spark, folder))
+    return search.parameter_importance(stored_trials(spark, folder))
+
+
+@query
+def tuned_model_quality(spark, folder):
+    """The best set of the search fitted again, and its flags on the tail."""
+    tail, trials = labelled_tail(spark, folder), stored_trials(spark, folder)
+    nodes, meta = search.fit_best(tail, trials)
+    best = search.best_trial(trials).select("trial", F.col("f1").alias("search_f1"))
+    return search.model_quality(forest.score(tail, nodes, meta), 3.5).join(F.broadcast(best))
