@@ -6,7 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tradewatch.operators.cooldown import exit_steps, passing, thin
+from tradewatch.operators import cooldown
+from tradewatch.operators.cooldown import after, compose, exit_steps, passing, thin
 
 
 def sequential(times, gap, not_before=None):
@@ -42,6 +43,23 @@ def test_exit_steps_describe_every_entry(times, gap, data):
         assert j == len(upto)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=2, max_size=80).map(sorted), st.integers(1, 80), st.data())
+def test_composed_steps_equal_one_run(times, gap, data):
+    """Composing neighbouring runs, in any bracketing, acts on every possible entry state like the whole run."""
+    cuts = sorted(set(data.draw(st.lists(st.integers(1, len(times) - 1), min_size=1, max_size=5))))
+    parts = [np.array(times[a:b]) for a, b in zip([0, *cuts], [*cuts, len(times)])]
+    runs = [(int(p[0]), *exit_steps(p, gap)) for p in parts]
+    entry = data.draw(st.integers(times[0] - 5, times[0] + gap))
+    passed = sequential(times, gap, entry)
+    want = times[passed[-1]] + gap if passed else entry
+    while len(runs) > 1:
+        i = data.draw(st.integers(0, len(runs) - 2))
+        runs[i : i + 2] = [compose(runs[i], runs[i + 1], gap)]
+    assert after(runs[0], entry, gap) == want
+    assert after(runs[0], cooldown._NEVER, gap) == times[sequential(times, gap)[-1]] + gap
+
+
 def events(spark, pattern):
     rng = np.random.default_rng(7)
     if pattern == "dense":

@@ -3,7 +3,8 @@
 Row-frame features and ordered folds are defined per symbol, and one symbol may hold a large
 share of all trades. ``split_keys`` cuts every key with more than ``block_rows`` rows into cells
 that are contiguous in (time, id) and hold at most ``block_rows`` rows. Cells start as equal time
-slices; a cell that is still too large is cut again, by id once it covers a single instant. Only
+slices; a cell that is still too large is cut again, by id once it covers a single instant; one that can't be cut is an
+error. Only
 small tables of cell statistics are materialised; a row finds its cell by arithmetic.
 
 ``with_halo`` then gives every cell a copy of the last rows before it, so that a row frame can be
@@ -128,9 +129,15 @@ def split_keys(
         leaves.append((path, cells.where(~_too_large(block_rows))))
         if heavy.isEmpty():
             break
-    else:
-        leaves.append((path, heavy))
-
+    stuck = leaves[0][1].where(F.col("n") > block_rows)
+    for _, part in leaves[1:]:
+        stuck = stuck.unionByName(part.where(F.col("n") > block_rows), allowMissingColumns=True)
+    stuck = heavy.unionByName(stuck, allowMissingColumns=True).select(*keys, "n").head()
+    if stuck is not None:
+        raise ValueError(
+            f"{stuck['n']} rows of {[stuck[k] for k in keys]} cannot be cut into blocks of {block_rows}: too many share one "
+            "time and id; give the rows ids, or larger blocks"
+        )
     padded = [
         part.select(
             *keys, *[F.col(c) if c in have else F.lit(-1).cast("bigint").alias(c) for c in path],

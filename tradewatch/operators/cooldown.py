@@ -1,10 +1,12 @@
 """Cooldown thinning: an event passes if none has passed for its key in the last N seconds.
 
 The interval counts from the last event that passed, so this is an ordered fold, not a window.
-Small keys are folded whole. A key too large for one task is cut into cells of consecutive
-events: each cell first reports, for every state it could be entered with, the state it leaves
-behind; chaining these short reports gives each cell its true entry state; then all cells emit in
-parallel. The result is the same as one sequential pass.
+Small keys are folded whole. A key too large for one task is cut into cells of consecutive events.
+What a cell does to the state is a step function, and two neighbouring ones compose into one, an
+associative operation: groups of ``FAN_IN`` neighbours are composed level by level up to the whole
+key, and the true entry states are then handed down the same tree (a parallel prefix). At last all
+cells emit in parallel. No task holds more than a cell or ``FAN_IN`` step functions, none of which
+is longer than a cell, and the result is the same as one sequential pass.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +22,9 @@ from tradewatch.operators.blocks import join_null_safe, split_keys
 from tradewatch.session import materialise
 
 _NEVER = -(2**62)
+#: Step functions that one task composes.
+FAN_IN = 8
+_STEPS = "_first bigint, _upto array<bigint>, _final array<bigint>"
 
 
 def passing(times: np.ndarray, gap: int, not_before: int = _NEVER) -> np.ndarray:
@@ -57,6 +63,40 @@ def exit_steps(times: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
     return upto[ends], final[ends]
 
 
+def compose(one: tuple, two: tuple, gap: int) -> tuple:
+    """The step function (first time, upto, final) of a run of events followed directly by a later run.
+
+    States above the reach of the first run enter the second unchanged; those it leaves behind enter at its last passing
+    event plus the gap. Like the parts, the result covers entry states up to ``gap`` after its first time.
+    """
+    (first, upto, final), (_, upto2, final2) = one, two
+    hop = np.searchsorted(upto2, final + gap, side="left")
+    met = hop < len(upto2)
+    through = np.where(met, final2[np.minimum(hop, len(upto2) - 1)], final)
+    reach = upto[-1]
+    beyond = upto2 > reach
+    known = np.searchsorted(upto2[beyond], first + gap, side="left") + 1  # the step that holds the last entry state
+    upto, final = np.concatenate([upto, upto2[beyond][:known]]), np.concatenate([through, final2[beyond][:known]])
+    ends = np.append(np.flatnonzero(final[1:] != final[:-1]), len(upto) - 1)
+    return first, upto[ends], final[ends]
+
+
+def after(steps: tuple, state: int, gap: int) -> int:
+    """The state that a run of events leaves behind: nothing passes before it."""
+    _, upto, final = steps
+    j = int(np.searchsorted(upto, state, side="left"))
+    return int(final[j]) + gap if j < len(upto) else state
+
+
+def _runs(reports: pa.Table) -> list[tuple]:
+    """Step functions of neighbouring runs, in order."""
+    reports = reports.sort_by("_at")
+    return [
+        (first.as_py(), upto.values.to_numpy(), final.values.to_numpy())
+        for first, upto, final in zip(reports["_first"], reports["_upto"], reports["_final"])
+    ]
+
+
 def _ordered(block: pa.Table, time: str, ident: str) -> tuple[pa.Table, np.ndarray]:
     block = block.sort_by([(time, "ascending"), (ident, "ascending")])
     return block, block[time].cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_numpy()
@@ -81,13 +121,14 @@ def thin(
 
     Detections are few but costly to compute and are read more than once here, so they are
     materialised first. A row without a time has no place in the order and never passes; with 0
-    seconds all others do.
+    seconds all others do. Of several events at one instant only the first by id can pass.
     """
     df = thinnable(df, seconds, time)
     if seconds == 0:
         return df
     gap = seconds * 1_000_000
-    df = materialise(df)
+    instant = W.partitionBy(*keys, time).orderBy(F.asc_nulls_last(ident))
+    df = materialise(df.withColumn("_rank", F.row_number().over(instant)).where("_rank = 1").drop("_rank"))
     schema = df.schema
     split = split_keys(df, keys, time, ident, block_rows)
     names = df.columns
@@ -100,42 +141,28 @@ def thin(
         return df.groupBy(*keys).applyInArrow(fold, schema)
 
     groups = split.group_columns
-    group_fields = [T.StructField(k, schema[k].dataType) for k in keys]
-    group_fields += [T.StructField(c, T.LongType()) for c in split.cell_columns]
+    key_fields = [T.StructField(k, schema[k].dataType) for k in keys]
+    cell_fields = [T.StructField(c, T.LongType()) for c in split.cell_columns]
+    steps = T._parse_datatype_string(_STEPS).fields
 
     def report(block: pa.Table) -> pa.Table:
         block, times = _ordered(block, time, ident)
         upto, final = exit_steps(times, gap)
         head = block.slice(0, 1).select(groups)
         return (
-            head.append_column("_first", pa.array(times[:1]))
-            .append_column("_first_id", block[ident].slice(0, 1).cast(pa.int64()))
-            .append_column("_upto", pa.array([upto.tolist()]))
+            head.append_column("_first", pa.array(times[:1])).append_column("_upto", pa.array([upto.tolist()]))
             .append_column("_final", pa.array([final.tolist()]))
         )
 
     reports = split.rows.where(F.col(split.cell_columns[0]) >= 0).groupBy(*groups).applyInArrow(
-        report,
-        T.StructType([
-            *group_fields,
-            T.StructField("_first", T.LongType()), T.StructField("_first_id", T.LongType()),
-            T.StructField("_upto", T.ArrayType(T.LongType())), T.StructField("_final", T.ArrayType(T.LongType())),
-        ]),
-    )
-
-    def chain(cells: pa.Table) -> pa.Table:
-        cells = cells.sort_by([("_first", "ascending"), ("_first_id", "ascending")])
-        state, entry = _NEVER, []
-        for upto, final in zip(cells["_upto"].to_pylist(), cells["_final"].to_pylist()):
-            entry.append(state)
-            j = int(np.searchsorted(upto, state, side="left"))
-            if j < len(upto):
-                state = final[j] + gap
-        return cells.select(groups).append_column("_entry", pa.array(entry, pa.int64()))
-
-    entries = reports.groupBy(*keys).applyInArrow(
-        chain, T.StructType([*group_fields, T.StructField("_entry", T.LongType())])
+        report, T.StructType([*key_fields, *cell_fields, *steps])
     )
+    reports = materialise(reports)
+    # Places of the cells of a key in time order; these rows are one small number each, the step functions stay apart.
+    place = (F.row_number().over(W.partitionBy(*keys).orderBy("_first")) - 1).cast("long")
+    placed = materialise(reports.select(*groups, "_first").withColumn("_at", place).drop("_first"))
+    entries = _entry_states(join_null_safe(reports, placed, groups, "inner"), keys, key_fields, steps, gap)
+    entries = join_null_safe(placed, entries, [*keys, "_at"], "inner", small=False).drop("_at")
 
     def emit(block: pa.Table) -> pa.Table:
         block, times = _ordered(block, time, ident)
@@ -145,3 +172,44 @@ def thin(
 
     entered = join_null_safe(split.rows.drop("_tail"), entries, groups, "left", small=False)
     return entered.groupBy(*groups).applyInArrow(emit, schema)
+
+
+def _entry_states(
+    reports: DataFrame, keys: list[str], key_fields: list[T.StructField], steps: list[T.StructField], gap: int
+) -> DataFrame:
+    """(keys, _at, _entry): the state each cell is entered with, by composing up a tree and handing states down it."""
+    at = T.StructField("_at", T.LongType())
+
+    def composed(group: pa.Table) -> pa.Table:
+        runs = _runs(group)
+        whole = runs[0]
+        for run in runs[1:]:
+            whole = compose(whole, run, gap)
+        first, upto, final = whole
+        return (
+            group.slice(0, 1).select(keys).append_column("_at", group["_up"].slice(0, 1))
+            .append_column("_first", pa.array([first])).append_column("_upto", pa.array([upto.tolist()]))
+            .append_column("_final", pa.array([final.tolist()]))
+        )
+
+    def handed(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_at")
+        state, entry = group["_entry"][0].as_py(), []
+        for run in _runs(group):
+            entry.append(state)
+            state = after(run, state, gap)
+        return group.select([*keys, "_at"]).append_column("_entry", pa.array(entry, pa.int64()))
+
+    levels = [materialise(reports.select(*keys, "_at", *[f.name for f in steps]))]
+    while levels[-1].agg(F.max("_at")).first()[0] > 0:
+        up = levels[-1].withColumn("_up", F.call_function("div", F.col("_at"), F.lit(FAN_IN)))
+        levels.append(materialise(up.groupBy(*keys, "_up").applyInArrow(composed, T.StructType([*key_fields, at, *steps]))))
+    entries = levels[-1].select(*keys, "_at", F.lit(_NEVER).alias("_entry"))
+    for below in reversed(levels[:-1]):
+        up = below.withColumn("_up", F.call_function("div", F.col("_at"), F.lit(FAN_IN)))
+        known = entries.withColumnRenamed("_at", "_up")
+        joined = join_null_safe(up, known, [*keys, "_up"], "inner", small=False)
+        entries = joined.groupBy(*keys, "_up").applyInArrow(
+            handed, T.StructType([*key_fields, at, T.StructField("_entry", T.LongType())])
+        )
+    return entries

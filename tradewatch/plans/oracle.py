@@ -93,7 +93,7 @@ SPIKES = INJECT.format(cut=500, f0="1.05e0", f1="0.95e0", f2="1.08e0", f3="0.92e
 BIG_SPIKES = INJECT.format(cut=500, f0="6e0", f1="0.2e0", f2="9e0", f3="0.1e0")
 
 
-def rolling(source: str = "trades", unit: str = "1e2") -> str:
+def rolling(source: str = "trades", unit: str = "1e2", window: int = 1000) -> str:
     """Rolling features of a trade table, by plain row frames."""
     def last(k: int) -> str:
         return f"OVER (PARTITION BY symbol ORDER BY event_time, trade_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
@@ -101,11 +101,11 @@ def rolling(source: str = "trades", unit: str = "1e2") -> str:
     o = "OVER (PARTITION BY symbol ORDER BY event_time, trade_id)"
     cents = f"CAST(round(price * {unit}) AS BIGINT)"
     return f"""measured AS (
-  SELECT *, least(row_number() {o}, 1000) AS n, row_number() {o} AS rn,
+  SELECT *, least(row_number() {o}, {window}) AS n, row_number() {o} AS rn,
          lag(price) {o} AS prev, epoch_us(event_time) - epoch_us(lag(event_time) {o}) AS gap_us,
          lag(price, 19) {o} AS old, epoch_us(event_time) - epoch_us(lag(event_time, 19) {o}) AS old_us,
-         sum({cents}) {last(1000)} AS sum_p, stddev_samp(price) {last(1000)} AS std_p,
-         sum(quantity) {last(1000)} AS q1000, sum({cents} * quantity) {last(100)} AS pq100,
+         sum({cents}) {last(window)} AS sum_p, stddev_samp(price) {last(window)} AS std_p,
+         sum(quantity) {last(window)} AS q1000, sum({cents} * quantity) {last(100)} AS pq100,
          sum(quantity) {last(100)} AS q100, sum(quantity) {last(50)} AS q50, sum(quantity) {last(10)} AS q10,
          sum(CASE WHEN NOT is_buyer_maker THEN quantity ELSE 0e0 END) {last(10)} AS b10
   FROM {source}),
@@ -309,6 +309,10 @@ ORACLE: dict[str, str] = {
     "rolling_features": f"""WITH {ROLLED} SELECT trade_id, symbol, history_length, {r('rolling_mean')} AS rolling_mean,
         {r('rolling_std')} AS rolling_std, {r('z_score')} AS z_score, {r('volume_ratio')} AS volume_ratio,
         {r('volume_spike')} AS volume_spike FROM rolled""",
+    "rolling_features_blocks": f"""WITH {TRADES}, {rolling(window=120)} SELECT trade_id, symbol, history_length,
+        {r('rolling_mean')} AS rolling_mean, {r('rolling_std')} AS rolling_std, {r('z_score')} AS z_score, {r('vwap')} AS vwap,
+        {r('price_velocity')} AS price_velocity, {r('buy_pressure')} AS buy_pressure, {r('volume_spike')} AS volume_spike,
+        {r('price_change_pct')} AS price_change_pct, {r('time_gap_sec')} AS time_gap_sec FROM rolled""",
     "rolling_vwap": f"WITH {ROLLED} SELECT trade_id, {r('vwap')} AS vwap, {r('vwap_deviation')} AS vwap_deviation FROM rolled",
     "rolling_velocity": f"WITH {ROLLED} SELECT trade_id, {r('price_velocity')} AS price_velocity FROM rolled",
     "rolling_buy_pressure": f"WITH {ROLLED} SELECT trade_id, {r('buy_pressure')} AS buy_pressure FROM rolled",
@@ -338,6 +342,13 @@ ORACLE: dict[str, str] = {
         CASE WHEN trade_number = 149 THEN 'first' ELSE 'periodic' END AS reason
         FROM n WHERE trade_number = 149 OR (trade_number > 149 AND trade_number % 500 = 0)""",
     "cooldown_thinning": f"WITH RECURSIVE {COOLDOWN} SELECT trade_id, symbol, event_time, anomaly_type FROM fold WHERE passes",
+    "cooldown_blocks": f"""WITH RECURSIVE {TRADES}, found AS (
+        SELECT trade_id, symbol, event_time, row_number() OVER (PARTITION BY symbol ORDER BY event_time, trade_id) AS k FROM trades),
+        fold AS (SELECT *, TRUE AS passes, event_time AS last FROM found WHERE k = 1
+          UNION ALL SELECT f.*, f.event_time - p.last >= INTERVAL 21600 SECOND,
+            CASE WHEN f.event_time - p.last >= INTERVAL 21600 SECOND THEN f.event_time ELSE p.last END
+          FROM fold p JOIN found f ON f.symbol = p.symbol AND f.k = p.k + 1)
+        SELECT trade_id, symbol, event_time FROM fold WHERE passes""",
     "alert_payloads": f"""WITH {PAYLOADS} SELECT symbol, timestamp, {r('price')} AS price, {r('z_score')} AS z_score,
         {r('price_change_pct')} AS price_change_pct, {r('volume_spike')} AS volume_spike, anomaly_type,
         {r('anomaly_score')} AS anomaly_score, source FROM payloads""",

@@ -43,6 +43,7 @@ LIMITS = {
 }
 DEFAULT_LIMITS = Thresholds(z=2.0, volume=1.95, price_change=1500.0)
 ROLLING = RollingConfig(tick_scale=2)
+SPLIT_ROLLING = RollingConfig(tick_scale=2, window=120, block_rows=240)
 INJECTED = RollingConfig(tick_scale=4)  # injection multiplies prices by two-decimal factors
 AS_OF = "2024-01-30 12:00:00"
 WEEK = 10080
@@ -315,6 +316,15 @@ def rolling_features(spark, folder):
     )
 
 
+@query
+def rolling_features_blocks(spark, folder):
+    """Every symbol cut into blocks of 240 trades, each with the 119 before it."""
+    return rolling.rolling_features(trades(spark, folder), SPLIT_ROLLING).select(
+        "trade_id", "symbol", "history_length", "rolling_mean", "rolling_std", "z_score", "vwap", "price_velocity",
+        "buy_pressure", "volume_spike", "price_change_pct", "time_gap_sec",
+    )
+
+
 @query
 def rolling_vwap(spark, folder):
     return rolling_of(spark, folder).select("trade_id", "vwap", "vwap_deviation")
@@ -374,6 +384,12 @@ def cooldown_thinning(spark, folder):
     )
 
 
+@query
+def cooldown_blocks(spark, folder):
+    """All trades thinned per symbol, in cells of 50 whose step functions are composed."""
+    return thin(trades(spark, folder), ["symbol"], COOLDOWN_SECONDS, block_rows=50).select("trade_id", "symbol", "event_time")
+
+
 # ---- alerts ----------------------------------------------------------------------------------
 
 def windowed_payloads(spark, folder):
