@@ -59,7 +59,7 @@ def trade_deltas(trades: DataFrame, block_rows: int = 1_000_000) -> DataFrame:
 
 
 def rolling_features(
-    trades: DataFrame, config: RollingConfig = RollingConfig(), method: str = "blocked"
+    trades: DataFrame, config: RollingConfig = RollingConfig(), method: str = "blocked", history: DataFrame | None = None
 ) -> DataFrame:
     """All rolling features of each trade.
 
@@ -69,10 +69,16 @@ def rolling_features(
 
     Symbols with more than ``config.block_rows`` trades are cut into blocks that carry the
     preceding ``window - 1`` trades, so the largest task is set by ``block_rows``, not by the
-    busiest symbol. One shuffle by (symbol, block) either way.
+    busiest symbol. One shuffle by (symbol, block) either way. Trades of ``history`` stand in the
+    frames of those after them but get no row of their own.
     """
     prepared = rolling_input(trades)
+    if history is not None:
+        seeds = rolling_input(history).withColumn("_seed", F.lit(True))
+        prepared = prepared.withColumn("_seed", F.lit(False)).unionByName(seeds)
     blocked, groups = _blocked(prepared, config.window - 1, config.block_rows)
+    if history is not None:
+        blocked = blocked.withColumn("_halo", F.col("_halo") | F.col("_seed")).drop("_seed")
     if method == "blocked":
         measured = _block_measures(blocked, groups, config)
     elif method == "frame":

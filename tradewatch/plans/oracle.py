@@ -504,4 +504,12 @@ ORACLE: dict[str, str] = {
           WHERE is_anomaly AND {CLOSED})
         SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,
         symbol, timestamp, anomaly_type, 'dispatcher' AS source FROM payloads""",
+    "stream_outbox_files": f"""WITH {WINDOWED}, payloads AS (
+          SELECT symbol, {iso('max_event_time')} AS timestamp, anomaly_type, anomaly_score FROM scored WHERE is_anomaly)
+        SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,
+        symbol, timestamp, anomaly_type, 'dispatcher' AS source FROM payloads""",
 }
+# Over several files as over one.
+ORACLE["stream_rolling_files"] = ORACLE["stream_rolling_features"]
+ORACLE["stream_rolling_lanes"] = ORACLE["rolling_features_blocks"]
+ORACLE["stream_cooldown_files"] = ORACLE["stream_cooldown"]

@@ -28,7 +28,7 @@ from tradewatch.sources import decode, kafka, scan
 from tradewatch.session import materialise, shared_folder
 from tradewatch.sinks.tables import append_stream, checkpoint_path
 from tradewatch.sources.events import load_event_trades, trades_from_events
-from tradewatch.streaming import fanout, stateful, windows
+from tradewatch.streaming import fanout, rolling_batches, stateful, windows
 from tradewatch.streaming.windows import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -750,6 +750,66 @@ def stream_outbox(spark, folder):
     return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
 
 
+def sliced_stream(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """A stream of one file per part, in this order, one file a trigger."""
+    folder = f"{shared_folder(spark)}/slices-{uuid.uuid4().hex}"
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, parts[0].schema, files_per_trigger=1)
+
+
+def time_slices(df: DataFrame, n: int = 4, time: str = "event_time") -> list[DataFrame]:
+    """``df`` in ``n`` parts of equal time."""
+    low, high = df.agg(F.unix_micros(F.min(time)), F.unix_micros(F.max(time))).first()
+    step = (high - low) // n + 1
+    place = F.floor((F.unix_micros(time) - low) / step)
+    return [df.where(place == i) for i in range(n)]
+
+
+@query
+def stream_rolling_files(spark, folder):
+    """Rolling features over four files, one a trigger: the history is read back from the state each time."""
+    stream = sliced_stream(spark, time_slices(trades(spark, folder)))
+    return stream_to_table(spark, stateful.stream_rolling_features(stream, ROLLING), "rolling").select(
+        "trade_id", "symbol", "history_length", "rolling_mean", "rolling_std", "z_score", "vwap", "price_velocity",
+        "volume_spike", "buy_pressure", "price_change_pct", "time_gap_sec",
+    )
+
+
+@query
+def stream_rolling_lanes(spark, folder):
+    """The same over micro-batches cut into blocks, with snapshots between them."""
+    stream = sliced_stream(spark, time_slices(trades(spark, folder)))
+    path = _run(spark, lambda path: rolling_batches.rolling_batch_stream(
+        stream, path, checkpoint_path(path, "lanes"), SPLIT_ROLLING, ONCE
+    ).start())
+    return spark.read.parquet(f"{path}/features").select(
+        "trade_id", "symbol", "history_length", "rolling_mean", "rolling_std", "z_score", "vwap", "price_velocity",
+        "buy_pressure", "volume_spike", "price_change_pct", "time_gap_sec",
+    )
+
+
+@query
+def stream_cooldown_files(spark, folder):
+    """The cooldown of ``stream_cooldown`` over four files, one a trigger."""
+    kind = F.when(F.col("price") > 60, "price").when(F.col("quantity") > 90, "volume")
+    found = trades(spark, folder).select("trade_id", "symbol", "event_time", kind.alias("anomaly_type")).where(
+        F.col("anomaly_type").isNotNull()
+    )
+    stream = sliced_stream(spark, time_slices(found))
+    return stream_to_table(spark, stateful.stream_cooldown(stream, COOLDOWN_SECONDS), "cooldown")
+
+
+@query
+def stream_outbox_files(spark, folder):
+    """Anomalies in four files that overlap, the last one older than those before it: one alert per key."""
+    found = materialise(windowed.anomalies_output(detections_of(spark, folder)))
+    first, second, third, fourth = time_slices(found, 4, "timestamp")
+    stream = sliced_stream(spark, [second, second.union(third), third.union(fourth), first.union(second)])
+    path = _run(spark, lambda path: fanout.outbox_stream(stream, path, checkpoint_path(path, "outbox"), ONCE).start())
+    return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
+
+
 # ---- models ----------------------------------------------------------------------------------
 
 FOREST = ForestConfig(contamination=0.02)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tradewatch.operators import alerts
 from tradewatch.operators.windowed import anomalies_output, trades_output
+from tradewatch.streaming.stateful import stream_first_alerts
 
 
 def batch_folder(path: str, table: str, batch_id: int) -> str:
@@ -42,42 +42,21 @@ def fanout_stream(detected: DataFrame, path: str, checkpoint: str, trigger: dict
     )
 
 
-def unsent_alerts(anomalies: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Alerts of a batch of anomalies, one per key, without those that earlier batches have put into the outbox.
-
-    A key contains its time, so equal keys lie on one ``sent_date``: only the dates between the batch's first and last
-    (and alerts without a time) are read back. No alert is refused for its age.
-    """
-    payload = alerts.with_alert_key(alerts.payload_columns(anomalies))
-    fresh = alerts.deduplicate(payload, payload.columns).withColumn("message", alerts.alert_message())
-    fresh = fresh.withColumn("sent_date", F.to_date("timestamp"))
-    schema = fresh.select("alert_key", "sent_date").schema.add("batch_id", "long")
-    try:
-        outbox = anomalies.sparkSession.read.schema(schema).parquet(f"{path}/outbox")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return fresh
-        raise
-    first, last = fresh.agg(F.min("sent_date"), F.max("sent_date")).first()
-    dated = F.col("sent_date").between(F.lit(first), F.lit(last)) | F.col("sent_date").isNull()
-    sent = outbox.where((F.col("batch_id") < batch_id) & dated).select("alert_key")
-    return fresh.join(sent, "alert_key", "left_anti")
-
-
-def outbox_stream(anomalies: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> DataStreamWriter:
+def outbox_stream(
+    anomalies: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, remember_hours: float = 24.0
+) -> DataStreamWriter:
     """Append new alerts of an anomaly stream to the outbox table.
 
-    The checkpoint is the high-water mark: each anomaly row is considered once, across restarts, however old it is.
+    The checkpoint is the high-water mark: each anomaly row is considered once, across restarts, however old it is. The
+    keys of sent alerts are state of the query and purged after ``remember_hours``.
     """
+    first = stream_first_alerts(alerts.with_alert_key(alerts.payload_columns(anomalies)), remember_hours)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            alerts_ = unsent_alerts(batch, path, batch_id)
-            alerts_.write.mode("overwrite").partitionBy("sent_date").parquet(batch_folder(path, "outbox", batch_id))
-        finally:
-            batch.unpersist()
+        ready = batch.withColumns({"message": alerts.alert_message(), "sent_date": F.to_date("timestamp")})
+        ready.write.mode("overwrite").partitionBy("sent_date").parquet(batch_folder(path, "outbox", batch_id))
 
     return (
-        anomalies.writeStream.queryName("alerts").outputMode("append").foreachBatch(write)
+        first.writeStream.queryName("alerts").outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "20 seconds"}))
     )

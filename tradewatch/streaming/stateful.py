@@ -1,12 +1,15 @@
-"""Per-key state on streams: rolling history of a symbol, and alert cooldown."""
+"""Per-key state on streams: rolling history of a symbol, alert cooldown, and the keys of alerts already sent."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tradewatch.config import RollingConfig
@@ -17,7 +20,10 @@ from tradewatch.operators.rolling import (
 
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _HISTORY = ["event_time", "trade_id", "price", "quantity", "is_buyer_maker"]
-_HISTORY_DDL = "us bigint, trade_id bigint, price double, quantity double, is_buyer_maker int"
+_PACKED = np.dtype([("us", "<i8"), ("trade_id", "<i8"), ("price", "<f8"), ("quantity", "<f8"), ("is_buyer_maker", "<i4")])
+#: Alert keys are spread over so many state groups.
+ALERT_BUCKETS = 64
+_SWEEP_MS = 3_600_000
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -33,47 +39,46 @@ def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.sort_values(["event_time", "trade_id"], kind="stable", ignore_index=True)
 
 
-def _as_history(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"us": _micros(rows["event_time"]), **{c: rows[c] for c in _HISTORY[1:]}})
+def _as_history(rows: pd.DataFrame) -> np.ndarray:
+    """Trades as one array of fixed-width records."""
+    out = np.empty(len(rows), _PACKED)
+    out["us"] = _micros(rows["event_time"])
+    for name in _HISTORY[1:]:
+        out[name] = rows[name].fillna(0).to_numpy()
+    return out
 
 
 class RollingHistory(StatefulProcessor):
     """Keeps the last ``window - 1`` trades of a symbol and measures each new trade against them.
 
-    Trades of one batch are taken in event order; a trade older than those already seen in earlier
-    batches is taken as it arrives.
+    The history is one binary value of fixed-width records, read and written whole. Trades of one batch are taken in
+    event order; a trade older than those already seen in earlier batches is taken as it arrives. A symbol is one group
+    of one task here; ``rolling_batches`` is the form for symbols that outgrow it.
     """
 
     def __init__(self, config: RollingConfig):
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getListState("history", _HISTORY_DDL)
+        self.history = handle.getValueState("history", "records binary")
+
+    def _kept(self) -> np.ndarray:
+        return np.frombuffer(bytes(self.history.get()[0]), _PACKED) if self.history.exists() else np.empty(0, _PACKED)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Seed the history of a symbol; the seed may arrive in several pieces."""
-        seed = _as_history(_in_order(initialState))
-        kept = list(self.history.get())
-        if kept:
-            seed = pd.concat([pd.DataFrame(kept, columns=seed.columns), seed]).sort_values(["us", "trade_id"], kind="stable")
-        self._keep(seed)
-
-    def _keep(self, rows: pd.DataFrame) -> None:
-        self.history.put([
-            (int(us), int(i), float(p), float(q), int(b))
-            for us, i, p, q, b in rows.tail(self.config.window - 1).itertuples(index=False)
-        ])
+        seed = np.concatenate([self._kept(), _as_history(_in_order(initialState))])
+        self._keep(seed[np.lexsort((seed["trade_id"], seed["us"]))])
+
+    def _keep(self, records: np.ndarray) -> None:
+        self.history.update((records[max(0, len(records) - self.config.window + 1) :].tobytes(),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         fresh = _in_order(pd.concat(list(rows), ignore_index=True))
-        kept = list(self.history.get())
-        new = _as_history(fresh)
-        joined = new
-        if kept:
-            joined = pd.concat([pd.DataFrame(kept, columns=list(new.columns)), new], ignore_index=True)
+        kept = self._kept()
+        joined = np.concatenate([kept, _as_history(fresh)])
         measures = measure_rows(
-            joined["us"].to_numpy(np.int64), joined["price"].to_numpy(float), joined["quantity"].to_numpy(float),
-            joined["is_buyer_maker"].to_numpy(np.int64), self.config,
+            joined["us"].copy(), joined["price"].copy(), joined["quantity"].copy(), joined["is_buyer_maker"].astype(np.int64), self.config
         )
         out = {c: fresh[c] for c in ("symbol", *_HISTORY, "injected")}
         for name, (values, missing) in measures.items():
@@ -90,6 +95,42 @@ class RollingHistory(StatefulProcessor):
         pass
 
 
+class SentAlerts(StatefulProcessor):
+    """Lets the first alert of each key pass; a key is forgotten ``hours`` after it was sent, by the processing clock.
+
+    Keys carry the time of sending. An expired key counts as unknown at once and is removed by a sweep of its bucket,
+    which runs when the bucket gets rows and its last sweep is an hour old. (State with a built-in time to live makes
+    a query run empty batches for ever, so one that ends when its input is read would never end.)
+    """
+
+    def __init__(self, hours: float, order: list[str], clock: Callable[[], float] = time.time):
+        self.ttl, self.order, self.clock = int(hours * 3_600_000), order, clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.sent = handle.getMapState("sent", "alert_key string", "ms bigint")
+        self.swept = handle.getValueState("swept", "ms bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = int(self.clock() * 1000)
+        if not self.swept.exists() or now - self.swept.get()[0] >= _SWEEP_MS:
+            old = [k for k, (ms,) in self.sent.iterator() if now - ms >= self.ttl]
+            for k in old:
+                self.sent.removeKey(k)
+            self.swept.update((now,))
+        fresh = pd.concat(list(rows), ignore_index=True).sort_values(self.order, na_position="first", kind="stable")
+        fresh = fresh.drop_duplicates("alert_key")
+        fresh = fresh[[not self._known((k,), now) for k in fresh["alert_key"]]]
+        for k in fresh["alert_key"]:
+            self.sent.updateValue((k,), (now,))
+        yield fresh
+
+    def _known(self, key: tuple, now: int) -> bool:
+        return self.sent.containsKey(key) and now - self.sent.getValue(key)[0] < self.ttl
+
+    def close(self) -> None:
+        pass
+
+
 class Cooldown(StatefulProcessor):
     """Lets an event of a key pass when none has passed for ``seconds``, by event time."""
 
@@ -136,3 +177,36 @@ def stream_cooldown(detections: DataFrame, seconds: int = 60) -> DataFrame:
     return detections.groupBy("symbol", "anomaly_type").transformWithStateInPandas(
         statefulProcessor=Cooldown(seconds), outputStructType=detections.schema, outputMode="Append", timeMode="None",
     )
+
+
+def _first_of_task(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Per key the least row of a task's batch, so that copies of one alert don't travel. Holds a row per key."""
+    least: dict = {}
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        for row in batch.to_pylist():
+            order = tuple((v is not None, v) for v in row.values())
+            if row[key] not in least or order < least[row[key]][0]:
+                least[row[key]] = (order, row)
+    if schema is not None:
+        yield pa.RecordBatch.from_pylist([row for _, row in least.values()], schema=schema)
+
+
+def stream_first_alerts(keyed: DataFrame, hours: float = 24.0, clock: Callable[[], float] = time.time) -> DataFrame:
+    """Alerts of a stream whose key has not been sent in the last ``hours``; of several in one batch the least row.
+
+    Keys live in the state store and are purged, spread over buckets; neither the outbox nor any other table is
+    read. No alert is refused for the age of its event.
+    """
+    if hours <= 0:
+        raise ValueError("keys must be remembered for some time")
+    use_rocksdb(keyed.sparkSession)
+    names, schema = keyed.columns, keyed.schema
+    slim = keyed.mapInArrow(lambda batches: _first_of_task(batches, "alert_key"), schema)
+    bucket = F.pmod(F.xxhash64("alert_key"), F.lit(ALERT_BUCKETS)).alias("bucket")
+    first = slim.select("*", bucket).groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=SentAlerts(hours, names, clock), outputStructType=slim.select("*", bucket).schema, outputMode="Append",
+        timeMode="None",
+    )
+    return first.select(names)
