@@ -3,9 +3,11 @@
 One pass over the texts gives counts per document. Ratios of these counts are sketched per language and source in
 log-spaced buckets (relative error ``ACCURACY``); sketches merge by adding counts, so partial sketches combine before
 the shuffle and a language's sketch is the sum of its sources'. A document is rejected by the base rules, or if a ratio
-lies beyond the fence of its language and source: quartile + ``REACH`` times the spread between the quartiles, the spread
-being at least the ratio's ``least_spread`` (otherwise a source of equal texts would reject its slightest deviation).
-A source with fewer than ``FEW`` documents takes its language's fence, a small language that of all documents.
+lies beyond the fence of its language and source: a quantile of their sketch plus a multiple of the spread between two
+quantiles. Ratios that are 0 in most documents take a far quantile, so that the few documents that have lines or passages
+twice set the spread. A source without spread takes that of its language, a language without that of all documents; only
+if even this is 0 do ``UNITS`` of the sketch's resolution stand in. A source with fewer than ``FEW`` documents takes its
+language's quantiles too, a small language those of all documents.
 
 Defined cases: a null text has no words and fails the base rules; null languages and sources are groups of their own;
 equal rows are judged alike; an empty table gives an empty result; other columns pass through untouched.
@@ -30,14 +32,14 @@ REPEAT_WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 
 ACCURACY = 0.01
-REACH = 3
-FEW = 50
-#: Ratio: numerator, denominator, factor, least spread between the quartiles, whether low values are rejected too.
+FEW = 20
+UNITS = 20
+#: Ratio: numerator, denominator, factor, percents of the two quantiles, reach in spreads, whether low values go too.
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", 1000, 25, False),
-    "word_length": ("word_chars", "n_words", 100, 150, True),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 120, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 100, False),
+    "symbols": ("n_symbols", "word_chars", 1000, 25, 75, 5, False),
+    "word_length": ("word_chars", "n_words", 100, 25, 75, 5, True),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 50, 99, 2, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 50, 99, 2, False),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
 STATS = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
@@ -113,7 +115,7 @@ def base_failed(stats: str = "stats"):
 
 
 def _ratio(name: str):
-    top, bottom, factor, _, _ = RATIOS[name]
+    top, bottom, factor, *_ = RATIOS[name]
     return F.expr(f"stats.{top} * {factor} div nullif(stats.{bottom}, 0)")
 
 
@@ -125,30 +127,45 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "ratio", bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+def _of_ratio(place: int):
+    """The ratio's entry of RATIOS, as a column."""
+    return F.expr("CASE ratio " + " ".join(f"WHEN '{name}' THEN {facts[place]}" for name, facts in RATIOS.items()) + " END")
+
+
+def _quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Per group and ratio: total, and the two quantiles of the ratio, each the first bucket that reaches its share."""
     merged = sketch.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "ratio")
     upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     merged = merged.withColumn("upto", upto).withColumn("total", F.sum("n").over(group))
     value = F.floor(F.exp((F.col("bucket") + 0.5) * F.lit(math.log1p(2 * ACCURACY)))) - 1
-    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, value))
-    return merged.groupBy(*by, "ratio").agg(F.max("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+    quantile = lambda place: F.min(F.when(F.col("upto") * 100 >= F.col("total") * _of_ratio(place), value))
+    return merged.groupBy(*by, "ratio").agg(F.max("total").alias("total"), quantile(3).alias("low"), quantile(4).alias("high"))
 
 
 def fences(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source): the lowest and highest accepted value of every ratio."""
-    own = _quartiles(sketch, ["lang", "source"])
-    by_lang = _quartiles(sketch, ["lang"]).withColumnsRenamed({"lang": "of_lang", "ratio": "of_ratio", "total": "lang_total", "q1": "lang_q1", "q3": "lang_q3"})
-    of_all = _quartiles(sketch, []).withColumnsRenamed({"ratio": "all_ratio", "total": "all_total", "q1": "all_q1", "q3": "all_q3"})
+    own = _quantiles(sketch, ["lang", "source"])
+    by_lang = _quantiles(sketch, ["lang"]).select(
+        F.col("lang").alias("of_lang"), F.col("ratio").alias("of_ratio"), *[F.col(c).alias(f"lang_{c}") for c in ("total", "low", "high")]
+    )
+    of_all = _quantiles(sketch, []).select(F.col("ratio").alias("all_ratio"), *[F.col(c).alias(f"all_{c}") for c in ("low", "high")])
     rows = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("ratio") == F.col("of_ratio")))
     rows = rows.join(of_all, F.col("ratio") == F.col("all_ratio"))
-    pick = lambda q: F.when(F.col("total") >= FEW, F.col(q)).when(F.col("lang_total") >= FEW, F.col(f"lang_{q}")).otherwise(F.col(f"all_{q}"))
-    rows = rows.select("lang", "source", "ratio", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    many, lang_many = F.col("total") >= FEW, F.col("lang_total") >= FEW
+    pick = lambda q: F.when(many, F.col(q)).when(lang_many, F.col(f"lang_{q}")).otherwise(F.col(f"all_{q}"))
+    spread = lambda of: F.col(f"{of}high") - F.col(f"{of}low")
+    reach = _of_ratio(5) * F.when(many & (spread("") > 0), spread("")).when(
+        lang_many & (spread("lang_") > 0), spread("lang_")
+    ).when(spread("all_") > 0, spread("all_"))
+    rows = rows.select("lang", "source", "ratio", pick("low").alias("low"), pick("high").alias("high"), F.coalesce(reach, F.lit(UNITS)).alias("reach"))
     out = []
-    for name, (_, _, _, least, _) in RATIOS.items():
-        reach = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+    for name in RATIOS:
         here = F.col("ratio") == name
-        out += [F.max(F.when(here, F.col("q1") - reach)).alias(f"{name}_low"), F.max(F.when(here, F.col("q3") + reach)).alias(f"{name}_high")]
+        out += [
+            F.max(F.when(here, F.col("low") - F.col("reach"))).alias(f"{name}_low"),
+            F.max(F.when(here, F.col("high") + F.col("reach"))).alias(f"{name}_high"),
+        ]
     return rows.groupBy(F.col("lang").alias("fence_lang"), F.col("source").alias("fence_source")).agg(*out)
 
 

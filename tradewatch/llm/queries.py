@@ -149,22 +149,24 @@ WITH w AS (
   SELECT lang, source, ratio, grouping(lang) AS g1, grouping(source) AS g2, count(*) AS total,
     list_sort(list(bucket)) AS bs
   FROM sk GROUP BY GROUPING SETS ((lang, source, ratio), (lang, ratio), (ratio))
+), x(ratio, low_, high_, times_) AS (
+  VALUES ('symbols', 25, 75, 5), ('word_length', 25, 75, 5), ('dup_lines', 50, 99, 2), ('repeats', 50, 99, 2)
 ), qq AS (
-  SELECT lang, source, ratio, g1, g2, total,
-    floor(exp((bs[((total + 3) // 4)::BIGINT] + 0.5) * ln(1.02))) - 1 AS q1,
-    floor(exp((bs[((3 * total + 3) // 4)::BIGINT] + 0.5) * ln(1.02))) - 1 AS q3
-  FROM q
-), p AS (
+  SELECT lang, source, ratio, g1, g2, total, times_,
+    floor(exp((bs[((total * low_ + 99) // 100)::BIGINT] + 0.5) * ln(1.02))) - 1 AS low,
+    floor(exp((bs[((total * high_ + 99) // 100)::BIGINT] + 0.5) * ln(1.02))) - 1 AS high
+  FROM q JOIN x USING (ratio)
+), fence AS (
   SELECT o.lang, o.source, o.ratio,
-    CASE WHEN o.total >= 50 THEN o.q1 WHEN l.total >= 50 THEN l.q1 ELSE a.q1 END AS q1,
-    CASE WHEN o.total >= 50 THEN o.q3 WHEN l.total >= 50 THEN l.q3 ELSE a.q3 END AS q3
+    CASE WHEN o.total >= 20 THEN o.low WHEN l.total >= 20 THEN l.low ELSE a.low END - reach AS low,
+    CASE WHEN o.total >= 20 THEN o.high WHEN l.total >= 20 THEN l.high ELSE a.high END + reach AS high
   FROM qq o
   JOIN qq l ON l.g1 = 0 AND l.g2 = 1 AND l.ratio = o.ratio AND l.lang IS NOT DISTINCT FROM o.lang
-  JOIN qq a ON a.g1 = 1 AND a.g2 = 1 AND a.ratio = o.ratio
+  JOIN qq a ON a.g1 = 1 AND a.g2 = 1 AND a.ratio = o.ratio,
+  LATERAL (SELECT CASE WHEN o.total >= 20 AND o.high > o.low THEN o.times_ * (o.high - o.low)
+    WHEN l.total >= 20 AND l.high > l.low THEN o.times_ * (l.high - l.low)
+    WHEN a.high > a.low THEN o.times_ * (a.high - a.low) ELSE 20 END AS reach)
   WHERE o.g1 = 0 AND o.g2 = 0
-), fence AS (
-  SELECT lang, source, ratio, q1 - 3 * greatest(q3 - q1, least_) AS low, q3 + 3 * greatest(q3 - q1, least_) AS high
-  FROM p JOIN (VALUES ('symbols', 25), ('word_length', 150), ('dup_lines', 120), ('repeats', 100)) x(ratio, least_) USING (ratio)
 ), bad AS (
   SELECT DISTINCT v.r FROM v JOIN fence f ON f.ratio = v.ratio AND f.lang IS NOT DISTINCT FROM v.lang
     AND f.source IS NOT DISTINCT FROM v.source

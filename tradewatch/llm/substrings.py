@@ -1,4 +1,4 @@
-"""Exact substring dedup by equality classes of windows (in place of a suffix array of the data).
+"""Exact substring dedup by longest previous factors of suffix arrays over buckets of a corpus.
 
 A byte is removed if a string of ``LENGTH`` bytes that covers it starts at another place too: at any other place, or, with
 ``keep_first``, at an earlier one (longest previous factor of at least LENGTH), so that the first copy stays.
@@ -6,12 +6,16 @@ A byte is removed if a string of ``LENGTH`` bytes that covers it starts at anoth
 Every window of LENGTH bytes has an anchor, the place of its smallest hashed gram of ``GRAM`` bytes (the last of equals).
 Equal windows have equal anchors at the same offset, so only windows whose anchor's gram occurs again can be equal, and
 they meet in the bucket of that gram. Per text and anchor the windows form one stretch, whose bytes (the context) are sent
-to the bucket. There the suffixes at the windows' starts are sorted by prefix doubling up to LENGTH bytes; suffixes that
-agree so far are one class, and the smallest position of a class decides. This replaces the method of a suffix array with
-longest previous factors: no array of these and no previous or next smaller positions are computed, here or elsewhere. Buckets of more than ``BUCKET_ROWS`` contexts are not gathered: their windows are hashed (MD5) and
-grouped one by one, which is as exact and has no large group.
+to the bucket. There the suffixes at the windows' starts are sorted by prefix doubling, compared up to LENGTH bytes, which
+gives their order and where neighbours' common prefixes reach LENGTH. Longest previous factors come from the previous and
+next smaller places in this order: one of at least LENGTH exists exactly if a smaller place lies in the same run of
+neighbours that agree so far. Where every place but one is to go, larger places count in the same way. Buckets of more
+than ``BUCKET_ROWS`` contexts are not gathered: their windows are hashed (MD5) and grouped one by one, which is as exact
+and has no large group.
 
-Equal texts are one text with a count, and equal contexts one context: each of their windows has a copy elsewhere.
+Equal texts are one text with a count, and equal contexts one context: each of their windows has a copy elsewhere. Inside
+a periodic passage (such as a ruler of dashes) one anchor follows the other and all their windows are equal: the passage is
+one row and one context, its later windows are copies of the first.
 
 Defined cases: a null text has no bytes; texts shorter than LENGTH lose nothing; equal rows are copies of each other; with
 ``keep_first`` the row with the smallest doc_id (null last) keeps its bytes, of several such rows all; an empty table
@@ -36,6 +40,8 @@ BUCKET_ROWS = 5_000
 STRETCH = 1 << 19
 #: Contexts sorted together: small enough for the arrays to stay in a core's cache.
 TASK_BYTES = 250_000
+#: Contexts sent on at a time.
+CONTEXT_BYTES = 4_000_000
 _REL = np.uint64((1 << 20) - 1)
 
 
@@ -55,12 +61,15 @@ class Anchors:
         self.powers = _powers(step, n)
         self.inverse = _powers(pow(step, -1, 2**64), n)
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Gram hash, first window start and last + 1 of every stretch of windows with one anchor."""
+    def __call__(self, text: bytes) -> tuple[np.ndarray, ...]:
+        """Gram hash, first window start, last + 1, and end of its repeats of every stretch of windows with one anchor.
+
+        The end is that of the stretch itself but for stretches that repeat at once, which are one row.
+        """
         parts = [self._part(text[at : at + STRETCH + self.length - 1], at) for at in range(0, max(len(text) - self.length + 1, 0), STRETCH)]
-        return tuple(np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
+        return tuple(np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4))
 
-    def _part(self, text: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _part(self, text: bytes, offset: int) -> tuple[np.ndarray, ...]:
         raw = np.frombuffer(text, np.uint8)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)])])
         h = (sums[self.gram :] - sums[: -self.gram]) * self.inverse[: len(raw) - self.gram + 1]
@@ -79,7 +88,30 @@ class Anchors:
         at = (_REL - (np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows]) & _REL)).astype(np.int64)
         edges = np.flatnonzero(np.diff(at)) + 1
         low, high = np.append(0, edges), np.append(edges, windows)
-        return h[at[low]].view(np.int64), low + offset, high + offset
+        gram, low, high, until = _without_repeats(h[at[low]].view(np.int64), at[low], low, high, self.gram)
+        return gram, low + offset, high + offset, until + offset
+
+
+def _without_repeats(gram: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, reach: int) -> tuple[np.ndarray, ...]:
+    """Stretches of a periodic passage as one row (gram, low, high, until).
+
+    Neighbouring stretches of one gram whose anchors lie ``period`` = their width apart, no more than a gram's length, make
+    the text periodic from the first of these anchors to the last one's end. Windows that start behind the first anchor
+    and whose stretch is followed by another lie inside: such stretches are equal.
+    """
+    period = high - low
+    tied = (gram[1:] == gram[:-1]) & (period[1:] == period[:-1]) & (np.diff(anchor) == period[1:]) & (period[1:] <= reach)
+    if not tied.any():
+        return gram, low, high, high
+    begins = np.concatenate([[True], ~tied])
+    run = np.cumsum(begins) - 1
+    inside = low >= anchor[np.flatnonzero(begins)][run]
+    inside[:-1] &= tied
+    inside[-1] = False
+    follows = np.concatenate([[False], inside[1:] & inside[:-1] & tied])  # equal to the stretch before it
+    first = np.flatnonzero(~follows)
+    last = np.append(first[1:], len(low)) - 1
+    return gram[first], low[first], high[first], high[last]
 
 
 def _anchored(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -89,22 +121,30 @@ def _anchored(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iter
             rows = batch.slice(at, 500)
             found = [anchors(t.as_py() or b"") for t in rows.column("text").cast(pa.binary())]
             sizes = [len(f[0]) for f in found]
-            columns = [np.concatenate([f[i] for f in found]) for i in range(3)]
+            columns = [np.concatenate([f[i] for f in found]) for i in range(4)]
             keys = rows.column("key").take(pa.array(np.repeat(np.arange(rows.num_rows), sizes)))
-            yield pa.RecordBatch.from_arrays([keys, *[pa.array(c) for c in columns]], ["key", "gram", "low", "high"])
+            yield pa.RecordBatch.from_arrays([keys, *[pa.array(c) for c in columns]], ["key", "gram", "low", "high", "until"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     names = ["gram", "place", "key", "low", "context"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    rows, size = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 100):
-            rows = []
-            for r in batch.slice(at, 100).to_pylist():
-                text = r["text"].encode()
-                rows += [(s["gram"], r["place"], r["key"], s["low"], text[s["low"] : s["high"] - 1 + length]) for s in r["stretches"]]
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        for at in range(batch.num_rows):
+            stretches = batch.column("stretches")[at].values
+            key, place, text = (batch.column(c)[at].as_py() for c in ("key", "place", "text"))
+            text = text.encode()
+            facts = [stretches.field(c).to_numpy() for c in ("gram", "low", "high")]
+            for start in range(0, len(stretches), 4096):
+                for gram, low, high in zip(*(f[start : start + 4096].tolist() for f in facts)):
+                    rows.append((gram, place, key, low, text[low : high - 1 + length]))
+                    size += high - low + length
+                    if size > CONTEXT_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                        rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def suffix_classes(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
@@ -129,6 +169,16 @@ def suffix_classes(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
     return rank[starts]
 
 
+def smaller_place(places: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Whether a previous or next smaller place lies in the same run of suffixes, ``places`` being in suffix order and
+    ``agree`` telling whether a suffix and the one before it agree: then a factor of that length stands earlier."""
+    run = np.cumsum(~agree)
+    span = int(places.max(initial=0)) - int(places.min(initial=0)) + 1
+    before = np.minimum.accumulate(places - run * span)  # a later run lies wholly below an earlier one
+    after = np.minimum.accumulate((places + run * span)[::-1])[::-1]
+    return (before < places - run * span) | (after < places + run * span)
+
+
 def repeated(contexts: list[dict], length: int, keep_first: bool) -> list[tuple[str, int, int]]:
     """(key, first, last + 1) of runs of window starts that are to be removed."""
     counts = np.array([len(c["context"]) - length + 1 for c in contexts])
@@ -136,17 +186,16 @@ def repeated(contexts: list[dict], length: int, keep_first: bool) -> list[tuple[
     owner = np.repeat(np.arange(len(contexts)), counts)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     classes = suffix_classes(b"".join(c["context"] for c in contexts), offsets[owner] + inner, length)
-    if keep_first:
-        order = sorted(range(len(contexts)), key=lambda k: (contexts[k]["place"], contexts[k]["key"], contexts[k]["low"]))
-        turn = np.empty(len(contexts), np.int64)
-        turn[order] = np.arange(len(contexts))
-        place = np.lexsort((inner, turn[owner], classes))
-        first = np.ones(len(place), bool)
-        first[1:] = classes[place[1:]] != classes[place[:-1]]
-        marked = np.zeros(len(owner), bool)
-        marked[place[~first]] = True
-    else:
-        marked = np.bincount(classes)[classes] > 1
+    order = sorted(range(len(contexts)), key=lambda k: (contexts[k]["place"], contexts[k]["key"], contexts[k]["low"]))
+    turn = np.empty(len(contexts), np.int64)
+    turn[order] = np.arange(len(contexts))
+    places = turn[owner] * (int(counts.max()) + 1) + inner
+    suffixes = np.argsort(classes, kind="stable")
+    agree = np.concatenate([[False], classes[suffixes[1:]] == classes[suffixes[:-1]]])
+    marked = np.zeros(len(owner), bool)
+    marked[suffixes] = smaller_place(places[suffixes], agree)
+    if not keep_first:
+        marked[suffixes] |= smaller_place(-places[suffixes], agree)
     edge = np.flatnonzero(np.diff(np.concatenate([[False], marked, [False]]).astype(np.int8)) | np.concatenate(
         [[False], (owner[1:] != owner[:-1]) & marked[1:] & marked[:-1], [False]]).astype(np.int8))
     out = []
@@ -211,7 +260,9 @@ def removed_repeats(
     long = docs.where(F.octet_length("text") >= length)
     copies = long.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
     copies = staged(copies, "copies")
-    anchors = staged(long.mapInArrow(lambda b: _anchored(b, length, gram), "key string, gram long, low long, high long"), "anchors")
+    anchors = staged(long.mapInArrow(lambda b: _anchored(b, length, gram), "key string, gram long, low long, high long, until long"), "anchors")
+    # Windows of a periodic passage but its first: copies of those a period before. The first ones have a copy too.
+    within = anchors.where("until > high").select("key", F.col("high" if keep_first else "low").alias("a"), F.col("until").alias("b"))
     place = F.struct("key", "low")
     again = anchors.groupBy("gram").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select(F.col("gram").alias("again"))
     again = staged(again, "again")  # a table of its own, so that Spark can split a frequent gram in the join
@@ -251,7 +302,7 @@ def removed_repeats(
     single = each.join(twice.withColumnRenamed("window", "same"), F.col("window") == F.col("same"))
     if keep_first:
         single = single.where(where != F.col("first"))
-    runs = runs.union(single.select("key", "a", (F.col("a") + 1).alias("b"))).union(copied)
+    runs = runs.union(single.select("key", "a", (F.col("a") + 1).alias("b"))).union(copied).union(within)
     runs = runs.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     found = copies.where("n > 1").join(runs.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "full")
     found = staged(found.select(F.coalesce("key", "of").alias("of"), "n", "first_id", "runs"), "found")
@@ -265,5 +316,8 @@ def removed_repeats(
 
 
 def document_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; every place of a repeated string is removed."""
-    return removed_repeats(docs).withColumnRenamed("kept", "kept_sha256")
+    """Per document: doc_id, repeated (whether a string of it stands elsewhere too), n_removed, n_spans, n_bytes,
+    kept_sha256; every place of a repeated string is removed."""
+    return removed_repeats(docs).select(
+        "doc_id", (F.col("n_removed") > 0).alias("repeated"), "n_removed", "n_spans", "n_bytes", F.col("kept").alias("kept_sha256")
+    )
