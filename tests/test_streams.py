@@ -204,16 +204,17 @@ def test_outbox_refuses_no_alert_for_its_age(spark, small_trades, folder):
 
 
 def test_progress_log(spark, small_trades, folder):
-    listener = monitor.ProgressLog(f"{folder}/progress")
+    listener = monitor.ProgressLog(spark, f"{folder}/metrics")
     spark.streams.addListener(listener)
     try:
         add_file(small_trades, f"{folder}/in")
         run(windows.file_stream(spark, f"{folder}/in", small_trades.schema), folder, "copy")
         deadline = time.time() + 20
         while time.time() < deadline:
-            table = monitor.progress_table(spark, f"{folder}/progress")
-            if table.agg(F.sum("input_rows")).first()[0] == 1000:
-                break
+            if os.path.isdir(f"{folder}/metrics/progress"):
+                table = monitor.progress_table(spark, f"{folder}/metrics")
+                if table.agg(F.sum("input_rows")).first()[0] == 1000:
+                    break
             time.sleep(0.5)
         row = table.where("input_rows = 1000").first()
         assert row["query"].startswith("copy_") and row["processed_rows_per_sec"] > 0

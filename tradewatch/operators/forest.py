@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tradewatch.config import ForestConfig
 from tradewatch.functions.symbols import normalize_symbol
 from tradewatch.functions.timestamps import with_event_time
+from tradewatch.operators.asof import as_of_join
 from tradewatch.operators.rolling import newest_per_key
 from tradewatch.schemas import FOREST_DDL
 from tradewatch.session import materialise
@@ -406,7 +407,26 @@ def score_cogrouped(
 ) -> DataFrame:
     """The same as ``score`` for batches, with each symbol's rows and model brought together, so that a task holds one
     model; symbols with many rows are spread over several groups."""
-    resolved = resolve_models(df, meta)
+    return _with_own_model(df, resolve_models(df, meta), forest, meta, config)
+
+
+def score_as_of(
+    df: DataFrame, forest: DataFrame, meta: DataFrame, valid_from: DataFrame, config: ForestConfig = ForestConfig()
+) -> DataFrame:
+    """Scores by the model version that was valid at each row's time, as a replay needs them.
+
+    ``forest`` and ``meta`` have a ``version``; ``valid_from`` (symbol, version, valid_from) tells since when each version
+    of a symbol's model holds. Rows before the first version get false and zero.
+    """
+    name = lambda: F.concat_ws("@", "symbol", F.col("version").cast("string"))
+    known = valid_from.select(normalize_symbol(F.col("symbol")).alias("_name"), name().alias("model_key"), "valid_from")
+    named = df.withColumn("_name", normalize_symbol(F.col("symbol")))
+    resolved = as_of_join(named, known, "_name").drop("_name", "valid_from")
+    keyed = [part.withColumn("symbol", name()).drop("version") for part in (forest, meta)]
+    return _with_own_model(df, resolved, *keyed, config)
+
+
+def _with_own_model(df: DataFrame, resolved: DataFrame, forest: DataFrame, meta: DataFrame, config: ForestConfig) -> DataFrame:
     shares = resolved.groupBy("model_key").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(GROUP_ROWS)).cast("int").alias("_shares")
     )
@@ -442,6 +462,12 @@ def forest_model(forest: DataFrame, meta: DataFrame, config: ForestConfig = Fore
     return lambda df: score(df, forest, meta, config)
 
 
+def latest_per_symbol(meta: DataFrame) -> DataFrame:
+    """The newest version of each symbol's row in a versioned metadata table."""
+    newest = W.partitionBy("symbol").orderBy(F.desc("version"))
+    return meta.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+
+
 def latest_version(path_df: DataFrame) -> DataFrame:
     """Rows of the newest complete model version of a versioned model table."""
     return path_df.where(F.col("version") == path_df.select(F.max("version")).scalar())

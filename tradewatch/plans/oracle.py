@@ -504,6 +504,19 @@ ORACLE: dict[str, str] = {
           WHERE is_anomaly AND {CLOSED})
         SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,
         symbol, timestamp, anomaly_type, 'dispatcher' AS source FROM payloads""",
+    "stream_observed": f"""WITH {TRADES}, cut AS (SELECT *, floor((epoch_us(event_time) - lo) / ((hi - lo) // 4 + 1))::BIGINT AS batch_id
+        FROM trades, (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM trades)),
+        sums AS (SELECT batch_id, count(*)::DOUBLE AS rows, sum(quantity) AS quantity FROM cut GROUP BY batch_id)
+        SELECT batch_id, 'rows' AS name, rows AS value FROM sums UNION ALL SELECT batch_id, 'quantity', quantity FROM sums""",
+    "stream_refits": f"""WITH {TRADES}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY event_time, trade_id) AS k
+        FROM trades), range_ AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM trades)
+        SELECT DISTINCT symbol, floor((epoch_us(event_time) - lo) / ((hi - lo) // 4 + 1))::BIGINT AS batch FROM n, range_
+        WHERE k = 149 OR (k > 149 AND k % 700 = 0)""",
+    "model_versions_asof": f"""WITH {TRADES}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol
+        ORDER BY event_time, trade_id) AS k FROM trades), points AS (SELECT symbol, event_time AS valid_from, k AS version FROM n
+        WHERE k = 149 OR (k > 149 AND k % 700 = 0))
+        SELECT t.trade_id, t.symbol, p.version FROM trades t ASOF LEFT JOIN points p
+        ON t.symbol = p.symbol AND t.event_time >= p.valid_from""",
     "stream_outbox_files": f"""WITH {WINDOWED}, payloads AS (
           SELECT symbol, {iso('max_event_time')} AS timestamp, anomaly_type, anomaly_score FROM scored WHERE is_anomaly)
         SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,

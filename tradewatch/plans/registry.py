@@ -6,6 +6,7 @@ into a comparable form: doubles to six decimals, times without zone, integers as
 
 from __future__ import annotations
 
+import time
 import uuid
 import zlib
 from collections.abc import Callable
@@ -22,13 +23,14 @@ from tradewatch.functions.numbers import coerce_double, half_up
 from tradewatch.functions.symbols import normalize_symbol, stream_symbol
 from tradewatch.functions.timestamps import calendar_columns, decode_epoch
 from tradewatch.operators import alerts, detection, evaluation, forest, marts, metrics, rolling, search, windowed
+from tradewatch.operators.asof import as_of_join
 from tradewatch.operators.cooldown import thin
 from tradewatch.plans.flows import windowed_detections
 from tradewatch.sources import decode, kafka, scan
 from tradewatch.session import materialise, shared_folder
 from tradewatch.sinks.tables import append_stream, checkpoint_path
 from tradewatch.sources.events import load_event_trades, trades_from_events
-from tradewatch.streaming import fanout, rolling_batches, stateful, windows
+from tradewatch.streaming import fanout, monitor, retrain, rolling_batches, stateful, windows
 from tradewatch.streaming.windows import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +46,7 @@ LIMITS = {
 DEFAULT_LIMITS = Thresholds(z=2.0, volume=1.95, price_change=1500.0)
 ROLLING = RollingConfig(tick_scale=2)
 SPLIT_ROLLING = RollingConfig(tick_scale=2, window=120, block_rows=240)
+REFITS = RetrainPolicy(first=100, every=700)
 INJECTED = RollingConfig(tick_scale=4)  # injection multiplies prices by two-decimal factors
 AS_OF = "2024-01-30 12:00:00"
 WEEK = 10080
@@ -810,6 +813,49 @@ def stream_outbox_files(spark, folder):
     return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
 
 
+@query
+def stream_observed(spark, folder):
+    """Metrics that a stream of four files observes on the way, collected by the listener."""
+    stream = monitor.observed(sliced_stream(spark, time_slices(trades(spark, folder))), rows=F.count(F.lit(1)), quantity=F.sum("quantity"))
+    path = f"{shared_folder(spark)}/metrics-{uuid.uuid4().hex}"
+    listener = monitor.ProgressLog(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        stream_to_table(spark, stream, "observed")
+        deadline = time.monotonic() + 60
+        while time.monotonic() < deadline:  # events reach the listener a little later
+            try:
+                if monitor.observed_table(spark, path).agg(F.max("batch_id")).first()[0] == 3:
+                    break
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    return monitor.observed_table(spark, path).select("batch_id", "name", "value")
+
+
+@query
+def stream_refits(spark, folder):
+    """Which symbols a stream of four files fits again in which batch."""
+    slices = time_slices(materialise(rolling_of(spark, folder)))
+    config = ForestConfig(n_trees=10, max_samples=64)
+    path = _run(spark, lambda path: retrain.retraining_stream(
+        sliced_stream(spark, slices), path, checkpoint_path(path, "refits"), config, REFITS, ROLLING, ONCE
+    ).start())
+    return spark.read.parquet(f"{path}/models/meta").select("symbol", F.col("version").cast("bigint").alias("batch"))
+
+
+@query
+def model_versions_asof(spark, folder):
+    """The training point whose model each trade would have met."""
+    points = rolling.retrain_points(trades(spark, folder), REFITS).select(
+        "symbol", F.col("event_time").alias("valid_from"), F.col("trade_number").alias("version")
+    )
+    return as_of_join(trades(spark, folder), points).select("trade_id", "symbol", "version")
+
+
 # ---- models ----------------------------------------------------------------------------------
 
 FOREST = ForestConfig(contamination=0.02)

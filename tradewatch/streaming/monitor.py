@@ -1,12 +1,11 @@
-"""Progress of running queries as metric rows."""
+"""Progress of running queries, and metrics observed inside them, as metric rows."""
 
 from __future__ import annotations
 
 import json
-import os
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 PROGRESS_DDL = (
@@ -30,21 +29,55 @@ def progress_row(progress) -> dict:
     }
 
 
+OBSERVED_DDL = "query string, batch_id bigint, metrics string, name string, value double"
+
+
+def observed(df: DataFrame, metrics: str = "flow", **aggregates: Column) -> DataFrame:
+    """``df`` with aggregates that its query computes on the way, without a second pass.
+
+    Without ``aggregates``: rows, detections (where there is ``is_anomaly``), and the sums behind mean price and quantity.
+    """
+    if not aggregates:
+        aggregates = {"rows": F.count(F.lit(1))}
+        if "is_anomaly" in df.columns:
+            aggregates["anomalies"] = F.count_if(F.col("is_anomaly"))
+        aggregates |= {f"sum_{c}": F.sum(F.col(c).cast("double")) for c in ("price", "quantity") if c in df.columns}
+    return df.observe(metrics, *[value.alias(name) for name, value in aggregates.items()])
+
+
 class ProgressLog(StreamingQueryListener):
-    """Writes one small JSON file per micro-batch. Progress events reach the driver only, so does the file."""
+    """Writes one small JSON file per micro-batch, and one for its observed metrics, below ``folder``.
 
-    def __init__(self, folder: str):
-        self.folder = folder
-        os.makedirs(folder, exist_ok=True)
+    Files go through the session's file systems, so the folder may lie wherever Spark can write. A file is named by query
+    run and batch: a replayed batch replaces its own.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _write(self, table: str, name: str, rows: list[dict]) -> None:
+        jvm, context = self.spark._jvm, self.spark.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}/{name}.json")
+        out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray("\n".join(map(json.dumps, rows)), "utf-8"))
+        finally:
+            out.close()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        row = progress_row(event.progress)
-        name = f"{row['query'] or 'query'}-{row['batch_id']}-{uuid.uuid4().hex[:8]}.json"
-        with open(os.path.join(self.folder, name), "w") as out:
-            json.dump(row, out)
+        progress = event.progress
+        row = progress_row(progress)
+        name = f"{row['query'] or 'query'}-{progress.runId}-{row['batch_id']}"
+        self._write("progress", name, [row])
+        found = [
+            {"query": row["query"], "batch_id": row["batch_id"], "metrics": metrics, "name": key, "value": value}
+            for metrics, values in progress.observedMetrics.items() for key, value in values.asDict().items()
+        ]
+        if found:
+            self._write("observed", name, found)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -54,7 +87,12 @@ class ProgressLog(StreamingQueryListener):
 
 
 def progress_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(PROGRESS_DDL).json(folder)
+    return spark.read.schema(PROGRESS_DDL).json(f"{folder}/progress")
+
+
+def observed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """(query, batch_id, metrics, name, value) of every batch that has observed something."""
+    return spark.read.schema(OBSERVED_DDL).json(f"{folder}/observed")
 
 
 def consumer_lag(progress) -> list[tuple[str, int]]:
