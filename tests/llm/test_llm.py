@@ -107,16 +107,25 @@ def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(150)]
     rows += [(20, [1.0, None]), (None, [1.0]), (300, None), (301, [float("nan")]), (140, [0.5] * 6), (141, [0.5] * 6), (302, [])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = topk.top_k(df, k=5, block_rows=16, query_rows=3, grid=2).orderBy("query_id", "rank").collect()
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, row int, numbers string")
+    got = topk.top_k(df, k=5, block_rows=16, query_rows=3).collect()
     good = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in rows
             if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in sorted({i for i, _ in good if i % 20 == 0}):
-        own = min(v for i, v in good if i == q)
-        scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in good if i != q)[:5]
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
-    assert [tuple(r) for r in got] == want
+    for row, (q, own) in enumerate(good):
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for j, (i, v) in enumerate(good) if j != row)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_top_k_of_repeated_ids(spark):
+    """Each row of a repeated id is a query, and a candidate of the others."""
+    rows = [(20, [1.0]), (20, [2.0]), (1, [3.0]), (2, [-1.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(
+        [(1, 1, 12288), (2, 20, 8192), (3, 2, -4096), (1, 1, 24576), (2, 20, 8192), (3, 2, -8192)]
+    )
 
 
 def test_warc_round_trip_and_revisits(spark):
@@ -371,7 +380,7 @@ def test_empty_tables(empty, spark):
                      bpe.document_tokens, substrings.document_repeats, near_dups.near_duplicates):
         assert operator(empty).count() == 0, operator
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
-    assert topk.top_k(vectors).count() == 0
+    assert topk.top_k(vectors).count() == 0 and topk.lanes(10**9, 8192) > topk.lanes(10**6, 8192) > topk.LANES[0]
 
 
 def test_pipeline_stages(odd, spark, folder):

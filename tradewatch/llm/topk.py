@@ -4,13 +4,16 @@ Candidates are packed into blocks of rows, each block an inverted index: for eve
 query row, the postings of its non-zero dimensions are weighted and scattered into one dense array of scores for the
 block; a partition selects the block's best k, and the best of all blocks are merged. Every pair is scored.
 
-Defined cases: vectors that are null, empty, or hold a null or non-finite component take no part; a query is not its own
-candidate, nor are other rows of its id; equal rows are separate candidates, and query rows of one id and vector are one
-query; dimensions missing in the shorter of two vectors count as 0; an empty table gives an empty result.
+Rows are numbered once, in a stored table: a query is a row, and every row but itself is its candidate.
+
+Defined cases: vectors that are null, empty, or hold a null or non-finite component take no part; equal rows, and rows that
+share an id, are separate queries and candidates of each other; a row without an id is neither; dimensions missing in the
+shorter of two vectors count as 0; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewatch.llm.common import staged
+
 BLOCK_ROWS = 8192
 QUERY_ROWS = 512
-#: Blocks meet in a grid of so many rows and columns of tasks.
-GRID = 8
+#: Blocks meet in a grid of tasks, whose sides grow with the square root of the number of blocks, within these limits.
+LANES = (8, 256)
 
 
 def integer_vectors(rows: DataFrame, vector: str, scale: int) -> DataFrame:
@@ -39,31 +44,35 @@ def _small(m: np.ndarray) -> np.ndarray:
 
 
 def _packed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (id, v) as blocks: ids, a dense little-endian matrix by dimension, its width."""
-    def block(ids, vectors):
+    """Rows of (row, id, v) as blocks: row numbers, ids, a dense little-endian matrix by dimension, its width."""
+    def block(numbers, ids, vectors):
         width = max(map(len, vectors))
         m = np.zeros((width, len(vectors)), np.int64)
         for i, v in enumerate(vectors):
             m[: len(v), i] = v
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids], pa.list_(pa.int64())), pa.array([_small(m).tobytes()], pa.binary()), pa.array([width], pa.int32())],
-            ["ids", "m", "width"],
+            [
+                pa.array([numbers], pa.list_(pa.int64())), pa.array([ids], pa.list_(pa.int64())),
+                pa.array([_small(m).tobytes()], pa.binary()), pa.array([width], pa.int32()),
+            ],
+            ["numbers", "ids", "m", "width"],
         )
 
-    ids, vectors = [], []
+    numbers, ids, vectors = [], [], []
     for batch in batches:
-        ids += batch.column(0).to_pylist()
-        vectors += batch.column(1).to_pylist()
+        numbers += batch.column(0).to_pylist()
+        ids += batch.column(1).to_pylist()
+        vectors += batch.column(2).to_pylist()
         while len(ids) >= rows:
-            yield block(ids[:rows], vectors[:rows])
-            ids, vectors = ids[rows:], vectors[rows:]
+            yield block(numbers[:rows], ids[:rows], vectors[:rows])
+            numbers, ids, vectors = numbers[rows:], ids[rows:], vectors[rows:]
     if ids:
-        yield block(ids, vectors)
+        yield block(numbers, ids, vectors)
 
 
 def blocks(rows: DataFrame, block_rows: int) -> DataFrame:
-    return rows.select("id", "v").mapInArrow(
-        lambda batches: _packed(batches, block_rows), "ids array<bigint>, m binary, width int"
+    return rows.select("row", "id", "v").mapInArrow(
+        lambda batches: _packed(batches, block_rows), "numbers array<bigint>, ids array<bigint>, m binary, width int"
     )
 
 
@@ -91,10 +100,10 @@ def block_scores(query: np.ndarray, candidates: np.ndarray) -> Iterator[np.ndarr
         yield scores
 
 
-def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best candidates that are not ``own``, ties to the smaller id."""
+def best(scores: np.ndarray, ids: np.ndarray, numbers: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k best candidates other than row ``own``, ties to the smaller id."""
     n = len(scores)
-    room = k + int((ids == own).sum())
+    room = k + 1
     if n > room:
         least = np.partition(scores, n - room)[n - room]
         over = np.flatnonzero(scores > least)
@@ -102,7 +111,7 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndar
         at = np.concatenate([over, level[np.argsort(ids[level], kind="stable")[: room - len(over)]]])
     else:
         at = np.arange(n)
-    at = at[ids[at] != own]
+    at = at[numbers[at] != own]
     at = at[np.lexsort((ids[at], -scores[at].astype(np.int64)))][:k]
     return ids[at], scores[at]
 
@@ -110,42 +119,47 @@ def best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndar
 def _scored(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
-            ids, numbers = np.array(r["ids"], np.int64), np.array(r["query_ids"], np.int64)
-            queries = _matrix(r["query_m"], r["query_width"], len(numbers))
+            numbers, ids = np.array(r["numbers"], np.int64), np.array(r["ids"], np.int64)
+            rows, query_ids = np.array(r["query_numbers"], np.int64), np.array(r["query_ids"], np.int64)
+            queries = _matrix(r["query_m"], r["query_width"], len(rows))
             candidates = _matrix(r["m"], r["width"], len(ids))
-            found = [
-                best(scores, ids, own, k)
-                for own, scores in zip(numbers, block_scores(queries, candidates))
-            ]
+            found = [best(scores, ids, numbers, own, k) for own, scores in zip(rows, block_scores(queries, candidates))]
             sizes = [len(f[0]) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(numbers, sizes)), pa.array(np.concatenate([f[0] for f in found])),
-                    pa.array(np.concatenate([f[1] for f in found]).astype(np.int64)),
+                    pa.array(np.repeat(rows, sizes)), pa.array(np.repeat(query_ids, sizes)),
+                    pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]).astype(np.int64)),
                 ],
-                ["query_id", "vec_id", "score"],
+                ["row", "query_id", "vec_id", "score"],
             )
 
 
+def lanes(rows: int, block_rows: int) -> int:
+    """Lanes that the blocks of so many rows are dealt over."""
+    return min(max(LANES[0], math.isqrt(-(-rows // block_rows)) + 1), LANES[1])
+
+
 def top_k(
     rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vector: str = "embedding",
-    block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, grid: int = GRID,
+    block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The k best candidates of every row whose id is divisible by ``every``: query_id, rank, vec_id, score.
 
-    A row without an id is neither query nor candidate; of several vectors under one id, the smallest is the query. Each
-    block of candidates meets each block of queries once, in the cell of the grid that their lanes name.
+    Each block of candidates meets each block of queries once, in the cell of the grid that their lanes name.
     """
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("x")).where("id is not null")
-    rows = integer_vectors(rows, "x", scale).select("id", "v")
-    queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))
-    lane = F.pmod(F.xxhash64("ids"), F.lit(grid)).cast("int")
-    queries = blocks(queries, query_rows).withColumn("query_lane", lane).withColumn("lane", lanes)
-    queries = queries.withColumnsRenamed({"ids": "query_ids", "m": "query_m", "width": "query_width"})
-    candidates = blocks(rows, block_rows).withColumn("lane", lane).withColumn("query_lane", lanes)
+    rows = integer_vectors(rows, "x", scale).select(F.monotonically_increasing_id().alias("row"), "id", "v")
+    rows = staged(rows, "vectors")  # numbers must not change when a task runs again
+    asked = F.col("id") % every == 0
+    count, queries_count = rows.agg(F.count("*"), F.count_if(asked)).first()
+    sides = lanes(count, block_rows), lanes(queries_count, query_rows)
+    lane = lambda n: F.pmod(F.xxhash64("numbers"), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = blocks(rows.where(asked), query_rows).withColumn("query_lane", lane(sides[1])).withColumn("lane", each(sides[0]))
+    queries = queries.withColumnsRenamed({c: f"query_{c}" for c in ("numbers", "ids", "m", "width")})
+    candidates = blocks(rows, block_rows).withColumn("lane", lane(sides[0])).withColumn("query_lane", each(sides[1]))
     pairs = candidates.join(queries, ["lane", "query_lane"])
-    found = pairs.mapInArrow(lambda batches: _scored(batches, k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = pairs.mapInArrow(lambda batches: _scored(batches, k), "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
