@@ -227,10 +227,10 @@ def test_field_adds_to_pattern_matches(monkeypatch):
 
 def test_training_texts_differ(spark, monkeypatch):
     monkeypatch.setattr(secrets, "SAMPLE", 3)
-    monkeypatch.setattr(secrets, "train", sorted)
     texts = [f"{word} {i}" for i in range(4) for word in ("password=abcdef", "plain")]
-    rows = secrets.fit(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts * 5)]))
-    assert len(set(rows)) == 6 == len(rows)
+    hits, others = secrets.sample(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts * 5)]).repartition(3))
+    assert len(set(hits)) == 3 == len(hits) and len(set(others)) == 3 == len(others)
+    assert all(t.startswith(b"password") for t in hits) and all(t.startswith(b"plain") for t in others)
 
 
 def test_viterbi_pieces_equal_the_whole_chain():

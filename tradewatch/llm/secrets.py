@@ -1,22 +1,25 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field that adds spans.
 
-The field tags words as B(egin), I(nside) or O(utside) a secret. A word's features are its shape (length, shares of digits,
-upper and lower case, mixture of classes, assignment signs, a secret's prefix), the same of its neighbours, and features of
-the file (share of words with digits, lines per word); tags are decoded by Viterbi. Training maximises the likelihood on
-at most ``SAMPLE`` different excerpts with pattern matches and as many without (chosen by hash), whose tags come from the patterns; the
-features do not contain the patterns themselves, so the field generalises to secrets of other forms.
+The field tags words as B(egin), I(nside) or O(utside) a secret. A word's features are its shape (shares of digits, upper,
+lower and other characters, length, changes of class, whether it assigns or is an address), the shapes of its neighbours,
+and whether the file has assignments or braces. Tags are decoded by Viterbi.
+
+Training maximises the likelihood on at most ``SAMPLE`` different excerpts with pattern matches and as many without, chosen
+by hash in one pass. Pattern matches alone would teach the field what the patterns know; so secrets of other forms, made by
+rule, stand in the excerpts without matches, beside made words that only look odd (rulers, identifiers, addresses, paths,
+numbers), which are no secrets. The made forms differ from those that the tests hold out.
 
 Words whose best tag is O by more than all transitions around them could change are O in the best path, whatever the
 others are; the chain falls into short pieces between them, which are decoded exactly.
 
 Defined cases: a null text is empty; empty texts have no spans (the digest of an empty list); equal rows get equal
-results; without any pattern match in the sample there is nothing to learn from and the field adds nothing; an empty table
-gives an empty result; other columns pass through or are ignored as stated.
+results; without any text there is nothing to learn from; an empty table gives an empty result; other columns pass through or are ignored as stated.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -26,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewatch.llm.common import staged
+
 #: Kinds in order, their patterns, and the least characters of group 2 or of the match.
 KINDS = ("assign", "access", "hex", "field")
 ASSIGN = re.compile(
@@ -44,6 +49,7 @@ RIDGE = 1e-3
 O, B, I = 0, 1, 2
 MASK = b"[SECRET]"
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_TELLING = re.compile(rb"[0-9A-Za-z\x80-\xFF]")
 _TRIM = b"\"'`,;()[]{}<>"
 
 
@@ -148,13 +154,96 @@ def tags_of(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int, in
     return tags
 
 
-def train(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
-    """Emission weights (WIDTH x 3) and transitions (3 x 3) by Adam steps on the log-likelihood."""
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+
+def _drawn(rng: random.Random, letters: str, low: int, high: int) -> str:
+    return "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+
+
+def made_secret(rng: random.Random) -> str:
+    """A secret of a form that no pattern matches: random letters and digits in one of several frames."""
+    mixed = _UPPER + _LOWER + _DIGITS
+    body = _drawn(rng, mixed, 24, 64)
+    form = rng.randrange(7)
+    if form == 0:
+        return body
+    if form == 1:
+        return f"{_drawn(rng, _LOWER, 2, 4)}{rng.choice('_-')}{body}"
+    if form == 2:
+        return f"{_drawn(rng, _LOWER, 2, 3)}_{_drawn(rng, _LOWER, 4, 4)}_{body}"
+    if form == 3:
+        return ".".join(_drawn(rng, mixed + "-_", 18, 40) for _ in range(3))
+    if form == 4:
+        return _drawn(rng, mixed + "+/", 30, 60) + "=" * rng.randint(0, 2)
+    if form == 5:
+        return "-".join(_drawn(rng, _UPPER + _DIGITS, 5, 8) for _ in range(5))
+    return f"{_drawn(rng, _UPPER, 3, 6)}={body}"
+
+
+def made_decoy(rng: random.Random) -> str:
+    """A word that looks odd and is no secret."""
+    word = lambda: _drawn(rng, _LOWER, 3, 9)
+    form = rng.randrange(13)
+    if form == 12:  # an assignment of a plain or odd word
+        sign, value = rng.choice([" = ", ": ", "=", ":", " := "]), rng.choice([word(), '"' + rng.choice("#*-x") * rng.randint(2, 9), str(rng.randint(0, 99))])
+        return f"{word()}{sign}{value}"
+    if form == 0:
+        return rng.choice(["", "", '"', "("]) + rng.choice("#*-=_~.|$%&") * rng.randint(2, 40)
+    if form == 1:
+        return "_".join(word() for _ in range(rng.randint(2, 5)))
+    if form == 2:
+        return word() + "".join(word().capitalize() for _ in range(rng.randint(1, 3)))
+    if form == 3:
+        return f"https://{word()}.{word()}.org/{word()}/{word()}-{rng.randint(1, 9999)}.html"
+    if form == 4:
+        return f"{word()}.{word()}@{word()}.com"
+    if form == 5:
+        return f"/{word()}/{word()}/{word()}.{_drawn(rng, _LOWER, 2, 3)}"
+    if form == 6:
+        return f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.{rng.randint(1900, 2030)}"
+    if form == 7:
+        return f"+{rng.randint(1, 99)}-{rng.randint(100, 999)}-{rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+    if form == 8:
+        return _drawn(rng, _DIGITS, 4, 16)
+    if form == 9:
+        return word() + rng.choice("###|$$$|%%%|***|&&&|<<<|>>>".split("|")) + rng.choice(["", '"', word()])
+    if form == 10:
+        return "".join(word() for _ in range(rng.randint(3, 6))) + rng.choice(["", ".", ","])
+    return rng.choice(['"', "(", "["]) + word().upper() + rng.choice(['"', ")", "]", ":"])
+
+
+def salted(text: bytes, number: int) -> tuple[bytes, list[tuple[int, int, int]]]:
+    """An excerpt with made secrets and decoys between its words, and where the secrets stand."""
+    rng = random.Random(f"salted-{number}")
+    words, out, spans, at = text.split(b" "), [], [], 0
+    for word in words:
+        add = [(word, False)]
+        if rng.random() < 0.02:
+            add.append((made_secret(rng).encode(), True))
+        if rng.random() < 0.06:
+            add.append((made_decoy(rng).encode(), False))
+        for piece, secret in add:
+            if secret:
+                spans.append((at, at + len(piece), 3))
+            out.append(piece)
+            at += len(piece) + 1
+    return b" ".join(out), spans
+
+
+def examples(hits: list[bytes], others: list[bytes]) -> list[tuple[bytes, list]]:
+    """Training texts with their spans: excerpts with pattern matches, excerpts without, and the latter once more, salted."""
+    plain = [(text, base_spans(text)) for text in hits + others]
+    return plain + [salted(text, number) for number, text in enumerate(others)]
+
+
+def train(labelled: list[tuple[bytes, list]]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Emission weights (WIDTH x 3) and transitions (3 x 3) by Adam steps on the log-likelihood of texts with spans."""
     chains = []
-    for text in texts:
+    for text, spans in labelled:
         words = Words([text])
         if len(words.starts):
-            chains.append((words.matrix(), tags_of(words.starts, words.ends, base_spans(text)).astype(int)))
+            chains.append((words.matrix(), tags_of(words.starts, words.ends, spans).astype(int)))
     if not any((y > 0).any() for _, y in chains):
         return None
     chains.sort(key=lambda c: -len(c[1]))
@@ -167,12 +256,15 @@ def train(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
     weights, moves = np.zeros((WIDTH, 3)), np.zeros((3, 3))
     slow = [np.zeros((2, *weights.shape)), np.zeros((2, *moves.shape))]
     flat = (here > 0)
-    wanted = x[flat].T @ np.eye(3)[y[flat]]
+    rows = x[flat]
+    del x
+    wanted = rows.T @ np.eye(3)[y[flat]]
     pairs = here[:, 1:].astype(bool)
     wanted_moves = np.zeros((3, 3))
     np.add.at(wanted_moves, (y[:, :-1][pairs], y[:, 1:][pairs]), 1)
     for step_no in range(1, STEPS + 1):
-        score = x @ weights
+        score = np.zeros((count, longest, 3))
+        score[flat] = rows @ weights
         forward = np.zeros((count, longest, 3))
         forward[:, 0] = score[:, 0]
         for t in range(1, longest):
@@ -188,7 +280,7 @@ def train(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
             both = np.exp(forward[:, t, :, None] + to - norm[:, None, None])
             got_moves += (both * here[:, t + 1, None, None]).sum(0)
         chance = np.exp(forward + backward - norm[:, None, None]) * here[:, :, None]
-        grad_w = (wanted - x[flat].T @ chance[flat]) / count - RIDGE * weights
+        grad_w = (wanted - rows.T @ chance[flat]) / count - RIDGE * weights
         grad_m = (wanted_moves - got_moves) / count - RIDGE * moves
         for value, grad, past in ((weights, grad_w, slow[0]), (moves, grad_m, slow[1])):
             past[0] = 0.9 * past[0] + 0.1 * grad
@@ -255,12 +347,13 @@ def field_spans(texts: list[bytes], model: tuple[np.ndarray, np.ndarray]) -> lis
 
 
 def find(texts: list[bytes], model) -> list[tuple[list, list]]:
-    """For each text all pattern spans, and what the field's spans add outside of them."""
+    """For each text all pattern spans, and what the field's spans add outside of them: parts with a letter or digit."""
     found = field_spans(texts, model) if model is not None else [[] for _ in texts]
     out = []
     for text, extra in zip(texts, found):
         base = base_spans(text)
-        out.append((base, [rest for e in extra for rest in outside(e, base)]))
+        rests = [rest for e in extra for rest in outside(e, base)]
+        out.append((base, [r for r in rests if _TELLING.search(text, r[0], r[1])]))
     return out
 
 
@@ -290,19 +383,45 @@ def _listing(text: bytes, spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans))
 
 
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """The field trained on the sample: SAMPLE different excerpts that a pattern may match and SAMPLE others, by hash; of a
-    text, the SAMPLE_CHARS characters around its first match (training only; scans read whole texts)."""
-    rough = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-    texts = docs.select(F.col("text")).where("length(text) > 0").withColumn("hit", F.col("text").rlike(rough))
-    window = F.greatest(F.regexp_instr("text", F.lit(rough)) - F.lit(SAMPLE_CHARS // 2), F.lit(1))
-    texts = texts.select("hit", F.substring(F.col("text"), window, F.lit(SAMPLE_CHARS)).alias("text")).distinct()
-    order = F.xxhash64("text")
-    rows = []
+def _least_excerpts(batches: Iterator[pa.RecordBatch], size: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Of a task's texts, the ``size`` different excerpts with a match and as many without that hash lowest."""
+    least: tuple[dict, dict] = ({}, {})
+    for batch in batches:
+        for value in batch.column(0).cast(pa.binary()):
+            text = value.as_py()
+            if not text:
+                continue
+            spans = base_spans(text)
+            start = max(0, spans[0][0] - chars // 2) if spans else 0
+            excerpt = text[start : start + chars].decode("utf-8", "ignore").encode()
+            kept = least[bool(spans)]
+            kept[int.from_bytes(hashlib.blake2b(excerpt, digest_size=8).digest(), "big", signed=True)] = excerpt
+            if len(kept) >= 4 * size:
+                for key in sorted(kept)[size:]:
+                    del kept[key]
+    rows = [(bool(hit), key, kept[key]) for hit, kept in enumerate(least) for key in sorted(kept)[:size]]
+    kinds = [pa.bool_(), pa.int64(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else ([], [], []), kinds)], ["hit", "order", "excerpt"])
+
+
+def sample(docs: DataFrame) -> tuple[list[bytes], list[bytes]]:
+    """At most SAMPLE different excerpts with pattern matches and SAMPLE others, by hash: of a text, the SAMPLE_CHARS bytes
+    around its first match (training only; scans read whole texts). One pass; a task sends no more than the sample."""
+    size, chars = SAMPLE, SAMPLE_CHARS
+    least = docs.select(F.col("text").cast("string")).mapInArrow(
+        lambda b: _least_excerpts(b, size, chars), "hit boolean, order long, excerpt binary"
+    )
+    least = staged(least, "excerpts")
+    found = []
     for hit in (True, False):
-        some = texts.where(F.col("hit") == hit).withColumn("order", order).orderBy("order", "text").limit(SAMPLE)
-        rows += [r.text.encode() for r in some.select("text").collect()]
-    return train(rows)
+        rows = least.where(F.col("hit") == hit).groupBy("order").agg(F.min("excerpt").alias("excerpt")).orderBy("order").limit(size)
+        found.append([bytes(r["excerpt"]) for r in rows.collect()])
+    return found[0], found[1]
+
+
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """The field, trained on the sample of ``docs``."""
+    return train(examples(*sample(docs)))
 
 
 SPANS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
