@@ -60,11 +60,67 @@ def test_recursive_scan_stops_at_corrupt_files_or_names_them(spark, log, folder)
     assert [(r["file"].rsplit("/", 1)[1], r["bytes"]) for r in missed] == [("broken.parquet", 28)]
 
 
-def test_scan_latest_files(spark, folder):
-    for i in range(4):
-        spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(f"{folder}/t/part={i}")
-    df = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/t")
-    assert sorted(r[0] for r in scan.scan_latest_files(df, 2).collect()) == list(range(20, 40))
+def scanned_files(df):
+    """Files that the executed scan has read."""
+    node = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves = node.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def test_scan_latest_files_opens_no_others(spark, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for i in (3, 1, 0, 2):
+            spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(f"{folder}/t/part={i}")
+        by_path = scan.scan_latest_files(spark, f"{folder}/t", files=2)
+        assert sorted(r[0] for r in by_path.collect()) == list(range(20, 40))
+        assert scanned_files(by_path) == 2
+        by_change = scan.scan_latest_files(spark, f"{folder}/t", files=1, by="modified", schema=by_path.schema)
+        assert sorted(r[0] for r in by_change.collect()) == list(range(20, 30)) and scanned_files(by_change) == 1
+        assert scan.scan_latest_files(spark, f"{folder}/t", files=9).count() == 40
+        assert scan.scan_latest_files(spark, f"{folder}/t", files=0).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with pytest.raises(ValueError):
+        scan.scan_latest_files(spark, f"{folder}/t", files=1, by="size")
+
+
+def test_files_follow_the_size_of_the_data(spark, log, folder):
+    """One symbol with nearly all rows of one day is cut; filters on symbol and time skip most row groups."""
+    import pyarrow.dataset as ds
+    import pyarrow.parquet as pq
+
+    hot = spark.range(20_000).select(
+        F.when(F.col("id") % 50 == 0, "B").otherwise("A").alias("symbol"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 4).alias("timestamp"), F.col("id").alias("trade_id"),
+    ).repartition(13, F.rand(1))
+    assert tables.write_table(hot, f"{folder}/t", rows_per_file=1000) == 20_000
+    files = spark.read.parquet(f"{folder}/t").inputFiles()
+    assert 15 <= len(files) <= 20 + 2
+    groups = [
+        pq.ParquetFile(f).metadata.row_group(g) for f in ds.dataset(f"{folder}/t", format="parquet").files
+        for g in range(pq.ParquetFile(f).metadata.num_row_groups)
+    ]
+    sizes = [g.num_rows for g in groups]
+    assert max(sizes) <= 2500 and sum(sizes) == 20_000
+    stats = [{g.column(i).path_in_schema: g.column(i).statistics for i in range(g.num_columns)} for g in groups]
+    hold_b = [s for s in stats if s["symbol"].min <= "B" <= s["symbol"].max]
+    assert len(hold_b) <= 3, "a filter on the rare symbol reads few row groups"
+    assert tables.write_table(hot.limit(0), f"{folder}/none") == 0
+
+
+def test_csv_log_filters(spark, log, folder):
+    tables.write_csv_log(log, f"{folder}/log")
+    some = scan.read_csv_log(
+        spark, f"{folder}/log", log.schema, since="2024-01-10 00:00:00", until="2024-01-20 00:00:00", symbols=["btcusdt", " ETH/USDT "]
+    )
+    want = log.where(
+        "timestamp >= timestamp'2024-01-10' AND timestamp < timestamp'2024-01-20' AND symbol IN ('BTC/USDT', 'ETH/USDT')"
+    )
+    assert some.count() == want.count() > 0
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan(some)
+    assert scan.read_csv_log(spark, f"{folder}/log", log.schema, symbols=[]).count() == 0
 
 
 def test_training_tail_is_exact(small_trades):

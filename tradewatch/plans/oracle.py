@@ -517,6 +517,11 @@ ORACLE: dict[str, str] = {
         WHERE k = 149 OR (k > 149 AND k % 700 = 0))
         SELECT t.trade_id, t.symbol, p.version FROM trades t ASOF LEFT JOIN points p
         ON t.symbol = p.symbol AND t.event_time >= p.valid_from""",
+    "clustered_table": f"""WITH {TRADES} SELECT trade_id, symbol, strftime(event_time, '%Y-%m-%d') AS date, event_time,
+        {r('price')} AS price, {r('quantity')} AS quantity, is_buyer_maker FROM trades WHERE symbol <> 'XRP/USDT'""",
+    "latest_files": f"""WITH {TRADES}, range_ AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM trades)
+        SELECT trade_id, symbol, {r('price')} AS price FROM trades, range_
+        WHERE floor((epoch_us(event_time) - lo) / ((hi - lo) // 5 + 1)) >= 3""",
     "stream_outbox_files": f"""WITH {WINDOWED}, payloads AS (
           SELECT symbol, {iso('max_event_time')} AS timestamp, anomaly_type, anomaly_score FROM scored WHERE is_anomaly)
         SELECT DISTINCT sha1(concat_ws('|', symbol, timestamp, anomaly_type, {number_text('anomaly_score', 3)})) AS alert_key,

@@ -28,7 +28,7 @@ from tradewatch.operators.cooldown import thin
 from tradewatch.plans.flows import windowed_detections
 from tradewatch.sources import decode, kafka, scan
 from tradewatch.session import materialise, shared_folder
-from tradewatch.sinks.tables import append_stream, checkpoint_path
+from tradewatch.sinks.tables import append_stream, checkpoint_path, write_table
 from tradewatch.sources.events import load_event_trades, trades_from_events
 from tradewatch.streaming import fanout, monitor, retrain, rolling_batches, stateful, windows
 from tradewatch.streaming.windows import file_stream
@@ -666,6 +666,27 @@ def injection_eval(spark, folder):
     return evaluation.confusion_matrix(scored)
 
 
+@query
+def clustered_table(spark, folder):
+    """Trades written by date and symbol and read back."""
+    path = f"{shared_folder(spark)}/clustered-{uuid.uuid4().hex}"
+    write_table(trades(spark, folder), path, "event_time", rows_per_file=1000)
+    back = spark.read.parquet(path)
+    return back.where("symbol <> 'XRP/USDT'").select(
+        "trade_id", "symbol", F.col("date").cast("string").alias("date"), "event_time", "price", "quantity", "is_buyer_maker"
+    )
+
+
+@query
+def latest_files(spark, folder):
+    """The trades of the last two of five files, found without opening the others."""
+    path = f"{shared_folder(spark)}/latest-{uuid.uuid4().hex}"
+    for i, part in enumerate(time_slices(trades(spark, folder), 5)):
+        part.write.parquet(f"{path}/part-{i}")
+    spread = scan.list_files(spark, path, pattern="part-*").select("file").where(F.col("file").rlike("/part-[34]/")).count()
+    return scan.scan_latest_files(spark, path, files=spread, pattern="part-*").select("trade_id", "symbol", "price")
+
+
 # ---- streams ---------------------------------------------------------------------------------
 
 def _run(spark: SparkSession, start) -> str:

@@ -27,16 +27,23 @@ def dated(df: DataFrame, time: str = "timestamp") -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, time: str = "timestamp", cluster_by: tuple[str, ...] = ("symbol",), mode: str = "append",
-) -> None:
-    """Append to a Parquet table laid out by date and sorted by ``cluster_by`` and time.
-
-    Sorting gives every row group narrow minimum/maximum statistics, which is what time and symbol filters
-    use to skip data. Rows stay in the partitions they are in: no shuffle, no single writer.
+    rows_per_file: int = 2_000_000,
+) -> int:
+    """Append to a Parquet table laid out by date and clustered by ``cluster_by`` and time; returns the rows written.
+
+    The rows are counted and dealt by range of (date, cluster, time) into as many partitions as make files of about
+    ``rows_per_file``, then sorted. A file covers a narrow stretch of one date, so row-group statistics skip data for time
+    and symbol filters; a date or symbol of any size is cut by time; and there are at most as many files as partitions
+    plus dates. Counting and sampling read ``df`` twice more: materialise it first if it is dear.
     """
+    placed = dated(df, time)
+    rows = placed.count()
+    order = ["date", *cluster_by, time]
     (
-        dated(df, time).sortWithinPartitions("date", *cluster_by, time)
+        placed.repartitionByRange(max(1, -(-rows // rows_per_file)), *order).sortWithinPartitions(*order)
         .write.mode(mode).partitionBy("date").parquet(path)
     )
+    return rows
 
 
 def write_csv_log(df: DataFrame, path: str) -> None:

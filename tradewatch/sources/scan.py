@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tradewatch.functions.symbols import normalize_symbol
+
 
 def scan_parquet(
     spark: SparkSession, *paths: str, pattern: str = "*.parquet", skip_unreadable: bool = False, merge_schema: bool = False
@@ -29,22 +31,34 @@ def scan_parquet(
 
 def rowless_files(spark: SparkSession, scanned: DataFrame, *paths: str, pattern: str = "*.parquet") -> DataFrame:
     """(file, bytes) of the files below ``paths`` from which the tolerant scan ``scanned`` got no row."""
+    files = list_files(spark, *paths, pattern=pattern).select("file", "bytes")
+    read = scanned.select(F.col("_metadata.file_path").alias("file")).distinct()
+    return files.join(read, "file", "left_anti")
+
+
+def list_files(spark: SparkSession, *paths: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file, modified, bytes) of the files below ``paths``, from listings alone: no file is opened."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    files = listing.load(list(paths)).select(
-        F.regexp_replace("path", "^file:/*", "file:///").alias("file"), F.col("length").alias("bytes")
+    return listing.load(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"),
     )
-    read = scanned.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "file:///").alias("file")).distinct()
-    return files.join(read, "file", "left_anti")
 
 
-def scan_latest_files(df: DataFrame, files: int) -> DataFrame:
-    """Rows of the last ``files`` files in path order.
+def scan_latest_files(
+    spark: SparkSession, *paths: str, files: int, by: str = "file", pattern: str = "*.parquet", schema: StructType | None = None
+) -> DataFrame:
+    """Rows of the last ``files`` files in path order, or in order of change with ``by="modified"``.
 
-    The list of names is at most ``files`` long, so the filter is a bounded semi-join.
+    The newest names are found in the listing and become a literal filter on the file path, by which the scan leaves out
+    all other files before it opens any. ``schema`` spares reading a footer.
     """
-    tagged = df.withColumn("_file", F.col("_metadata.file_path"))
-    newest = tagged.select("_file").distinct().orderBy(F.desc("_file")).limit(files)
-    return tagged.join(newest, "_file", "left_semi").drop("_file")
+    if by not in ("file", "modified"):
+        raise ValueError("files are ordered by 'file' or 'modified'")
+    order = [F.desc(by), F.desc("file")]
+    newest = [row["file"] for row in list_files(spark, *paths, pattern=pattern).orderBy(*order).limit(files).collect()]
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    df = (reader if schema is None else reader.schema(schema)).parquet(*paths)
+    return df.where(F.col("_metadata.file_path").isin(newest))
 
 
 def scan_since(
@@ -112,9 +126,25 @@ def training_tail(trades: DataFrame, rows: int = 10_000, times: DataFrame | None
     )
 
 
-def read_csv_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV trade or anomaly log with a declared schema; bad numbers become null."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_csv_log(
+    spark: SparkSession, path: str, schema: StructType, since=None, until=None, symbols: list[str] | None = None,
+    time: str = "timestamp",
+) -> DataFrame:
+    """CSV trade or anomaly log with a declared schema; bad numbers become null.
+
+    Rows from ``since`` on, before ``until``, and of ``symbols`` in any spelling; rows without a time or a symbol are left
+    out where that is asked for. The time limits reach the CSV reader.
+    """
+    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    kind = dict(df.dtypes)[time] if time in df.columns else None
+    if since is not None:
+        df = df.where(F.col(time) >= F.lit(since).cast(kind))
+    if until is not None:
+        df = df.where(F.col(time) < F.lit(until).cast(kind))
+    if symbols is not None:
+        wanted = [normalize_symbol(F.lit(s)) for s in symbols]
+        df = df.where(normalize_symbol(F.col("symbol")).isin(*wanted) if wanted else F.lit(False))
+    return df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, as_of, minutes: int, **options: str) -> DataFrame:
