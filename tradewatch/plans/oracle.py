@@ -528,6 +528,8 @@ ORACLE: dict[str, str] = {
         symbol, timestamp, anomaly_type, 'dispatcher' AS source FROM payloads""",
 }
 # Over several files as over one.
+ORACLE["training_tail_short"] = ORACLE["training_tail"].replace("LIMIT 10000", "LIMIT 300")
+ORACLE["anomalies_since_first"] = ORACLE["anomalies_since_top"].replace("LIMIT 200", "LIMIT 40")
 ORACLE["stream_rolling_files"] = ORACLE["stream_rolling_features"]
 ORACLE["stream_rolling_lanes"] = ORACLE["rolling_features_blocks"]
 ORACLE["stream_cooldown_files"] = ORACLE["stream_cooldown"]

@@ -370,6 +370,19 @@ def training_tail(spark, folder):
     return training_tail_of(spark, folder)
 
 
+@query
+def training_tail_short(spark, folder):
+    """A tail shorter than the table."""
+    table = rolling.rolling_trades_table(rolling_of(spark, folder))
+    return scan.training_tail(table, 300, trades(spark, folder).select(F.col("event_time").alias("timestamp")))
+
+
+@query
+def anomalies_since_first(spark, folder):
+    """The oldest 40 anomalies of those that qualify."""
+    return scan.anomalies_since(windowed.anomalies_output(detections_of(spark, folder)), "2024-01-10 00:00:00", 40)
+
+
 @query
 def warm_start_history(spark, folder):
     return rolling.warm_start_history(trades(spark, folder), AS_OF, minutes=WEEK, rows=100)

@@ -38,6 +38,19 @@ FOREST_META_DDL = (
     "symbol string, n_trees int, psi int, contamination double, score_cut double, trained_rows bigint"
 )
 
+# Windowed-model tables: what every row of a window tells, then what is told of all windows or of flagged ones only.
+_WINDOW_DDL = (
+    "symbol string, window_start timestamp, window_end timestamp, hour string, timestamp timestamp, price double, "
+    "z_score double, price_change_pct double, volume_spike double"
+)
+WINDOW_TRADE_DDL = f"{_WINDOW_DDL}, window_volume double, trade_count bigint"
+WINDOW_ANOMALY_DDL = (
+    f"{_WINDOW_DDL}, time_gap_sec double, anomaly_type string, anomaly_score double, if_anomaly_score double"
+)
+# Columns of these tables that go by another name in the feature rows, and what stands for a missing value.
+WINDOW_SOURCES = {"timestamp": "latest_event_time", "price": "last_price"}
+ANOMALY_DEFAULTS = {"anomaly_type": "unknown", "anomaly_score": 0.0}
+
 # Rolling-model trade table, in column order.
 ROLLING_TRADE_COLUMNS = [
     "id", "symbol", "timestamp", "price", "quantity", "is_buyer_maker",
