@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.config import DEFAULT_THRESHOLDS, SYMBOL_THRESHOLDS, RollingConfig, Thresholds
 from tradewatch.schemas import THRESHOLD_DDL
-from tradewatch.session import BROADCAST_LIMIT_ROWS
+from tradewatch.session import BROADCAST_LIMIT_BYTES
 
 _LIMITS = {"z_threshold": "z", "volume_threshold": "volume", "price_change_threshold": "price_change"}
 
@@ -49,7 +49,7 @@ def with_thresholds(
         limits = overrides
     else:
         limits = threshold_table(df.sparkSession, overrides)
-        if len(overrides) <= BROADCAST_LIMIT_ROWS:
+        if sum(len(str(symbol)) + 64 for symbol in overrides) <= BROADCAST_LIMIT_BYTES:
             limits = F.broadcast(limits)
     joined = df.join(limits, "symbol", "left")
     return joined.withColumns({
