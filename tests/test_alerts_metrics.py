@@ -167,3 +167,15 @@ def test_candles_skip_empty_buckets(spark):
     assert [(r["open"], r["high"], r["low"], r["close"], r["volume"], r["is_up"]) for r in rows] == [
         (5.0, 5.0, 3.0, 3.0, 2.0, False), (4.0, 4.0, 4.0, 4.0, 1.0, True),
     ]
+
+
+def test_symbol_universe_spells_symbols_one_way_and_has_a_default(spark):
+    from tradewatch.config import DEFAULT_SYMBOLS
+    from tradewatch.operators.marts import symbol_universe
+
+    trades = spark.createDataFrame([("btcusdt",), ("BTC-USDT",), (None,), (" ",)], "symbol string")
+    found = spark.createDataFrame([("ETH/USDT",)], "symbol string")
+    assert [r[0] for r in symbol_universe(trades, found).collect()] == ["BTC/USDT", "ETH/USDT"]
+    none = trades.where("symbol is null")
+    assert [r[0] for r in symbol_universe(none, found.limit(0)).collect()] == sorted(DEFAULT_SYMBOLS)
+    assert symbol_universe(none, none, ()).count() == 0

@@ -26,6 +26,9 @@ SYMBOL_THRESHOLDS = {
     "SOL/USDT": Thresholds(z=4.0, volume=4.0, price_change=6.0),
 }
 
+# Symbols shown before any trade has been seen.
+DEFAULT_SYMBOLS = ("BTC/USDT", "ETH/USDT", "BNB/USDT", "SOL/USDT")
+
 # Look-back choices of the read side, in minutes.
 LOOKBACK_MINUTES = (10, 15, 60, 240, 1440, 10080)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewatch.config import DEFAULT_SYMBOLS
 from tradewatch.functions.numbers import fixed_text
 from tradewatch.functions.symbols import base_currency, normalize_symbol
 from tradewatch.functions.timestamps import micros_in, order_key, order_key_in_bucket
@@ -163,11 +164,16 @@ def latest_trade(trades: DataFrame) -> DataFrame:
     )
 
 
-def symbol_universe(trades: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """All symbols seen in either table, sorted."""
-    return (
-        trades.select("symbol").distinct().union(anomalies.select("symbol").distinct()).distinct().orderBy("symbol")
-    )
+def symbol_universe(
+    trades: DataFrame, anomalies: DataFrame, defaults: tuple[str, ...] = DEFAULT_SYMBOLS
+) -> DataFrame:
+    """All symbols seen in either table in their normal spelling, sorted; ``defaults`` when neither holds any."""
+    seen = trades.select("symbol").distinct().union(anomalies.select("symbol").distinct())
+    found = seen.select(normalize_symbol(F.col("symbol")).alias("symbol")).where("symbol <> ''").distinct()
+    # A row of defaults stands by; it shows only where nothing was found.
+    known = found.agg(F.count(F.lit(1)).alias("n"))
+    spare = known.where("n = 0").select(F.explode(F.array(*[F.lit(s) for s in defaults])).alias("symbol")) if defaults else None
+    return (found if spare is None else found.union(spare)).orderBy("symbol")
 
 
 def anomaly_trade_join(anomalies: DataFrame, trades: DataFrame) -> DataFrame:
