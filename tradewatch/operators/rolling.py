@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +15,7 @@ from tradewatch.config import RetrainPolicy, RollingConfig
 from tradewatch.functions.numbers import ratio, ticks
 from tradewatch.functions.timestamps import calendar_columns, with_event_time
 from tradewatch.operators.blocks import join_null_safe, split_keys, with_halo
+from tradewatch.operators.runs import in_order, rebatched, slices
 from tradewatch.operators.sliding import shifted, sliding_m2, sliding_sum
 
 ORDER = ("event_time", "trade_id")
@@ -140,22 +143,49 @@ def measure_rows(micros, price, quantity, is_buyer_maker, config: RollingConfig)
     }
 
 
+class RunningMeasures:
+    """``measure_rows`` over an ordered run that comes in pieces; the last ``window - 1`` trades are carried."""
+
+    def __init__(self, config: RollingConfig, *carried: np.ndarray):
+        self.config, self.carried, self.seen = config, carried, len(carried[0]) if carried else 0
+
+    def extend(self, *piece: np.ndarray) -> dict[str, tuple]:
+        """Measures of the next trades: micros, price, quantity, is_buyer_maker."""
+        joined = [np.concatenate(pair) for pair in zip(self.carried, piece)] if self.carried else piece
+        own, known = len(piece[0]), len(joined[0]) - len(piece[0])
+        measures = measure_rows(*joined, self.config)
+        out = {name: (values[known:], None if missing is None else missing[known:]) for name, (values, missing) in measures.items()}
+        out["n_before"] = (np.arange(self.seen, self.seen + own), None)
+        self.seen += own
+        self.carried = tuple(values[max(0, len(values) - self.config.window + 1):].copy() for values in joined)
+        return out
+
+
 def _block_measures(df: DataFrame, groups: list[str], config: RollingConfig) -> DataFrame:
-    """Frame sums by grouped map: one group is one block of at most ``block_rows`` plus its halo."""
-    carried = _names(_CARRIED)
-
-    def measure(block: pa.Table) -> pa.Table:
-        block = block.sort_by([("event_time", "ascending"), ("trade_id", "ascending")])
-        measures = measure_rows(
-            block["event_time"].cast(pa.int64()).to_numpy(),
-            block["price"].to_numpy(), block["quantity"].to_numpy(), block["is_buyer_maker"].to_numpy(), config,
-        )
-        out = block.select(carried)
-        for name, (values, missing) in measures.items():
-            out = out.append_column(name, pa.array(values, mask=missing))
-        return out.filter(pc.invert(block["_halo"]))
-
-    return df.groupBy(*groups).applyInArrow(measure, MEASURED_DDL)
+    """Frame sums of each block and its halo in one ordered pass; a task holds a batch and ``window - 1`` trades."""
+    carried, least = _names(_CARRIED), 4 * config.window
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running = RunningMeasures(config)
+        for table, runs in slices(rebatched(batches, least), groups):
+            columns = [
+                table["event_time"].cast(pa.int64()).to_numpy(),
+                *[table[c].to_numpy() for c in ("price", "quantity", "is_buyer_maker")],
+            ]
+            parts = []
+            for start, end, begins in runs:
+                if begins:
+                    running = RunningMeasures(config)
+                parts.append(running.extend(*[c[start:end] for c in columns]))
+            out = table.select(carried)
+            for name, (_, missing) in parts[0].items():
+                values = np.concatenate([p[name][0] for p in parts])
+                gone = None if missing is None else np.concatenate([p[name][1] for p in parts])
+                out = out.append_column(name, pa.array(values, mask=gone))
+            yield from out.filter(pc.invert(table["_halo"])).combine_chunks().to_batches()
+
+    rows = df.select(*dict.fromkeys([*groups, *carried, "_halo"]))
+    return in_order(rows, groups, list(ORDER)).mapInArrow(measure, MEASURED_DDL)
 
 
 def _frame_measures(df: DataFrame, groups: list[str], config: RollingConfig) -> DataFrame:
