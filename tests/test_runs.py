@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewatch.config import RollingConfig
-from tradewatch.operators import rolling
+from tradewatch.operators import cooldown, rolling
+from tradewatch.operators.cooldown import passing
 from tradewatch.operators.rolling import RunningMeasures, measure_rows
 
 
@@ -50,3 +51,19 @@ def test_pieces_measure_as_the_whole(piece):
             assert (np.concatenate([p[name][1] for p in parts]) == missing).all(), name
             got, values = got[~missing], values[~missing]
         np.testing.assert_allclose(got, values, rtol=1e-9, atol=1e-9, err_msg=name)
+
+
+@pytest.mark.parametrize("block_rows", [1_000_000, 700])
+def test_a_cooldown_task_holds_batches(spark, medium_trades, short_batches, monkeypatch, block_rows):
+    """One key of 10,000 events: whole or in cells, no fold sees more than a batch, and the same events pass."""
+    one = medium_trades.withColumn("symbol", F.lit("A")).select("symbol", "trade_id", "event_time").where("event_time is not null")
+
+    def limited(times, *rest):
+        assert len(times) <= 300, len(times)
+        return passing(times, *rest)
+
+    times = np.sort(one.select(F.unix_micros("event_time").alias("us")).distinct().toPandas()["us"].to_numpy())
+    expected = times[passing(times, 3600 * 1_000_000)]
+    monkeypatch.setattr(cooldown, "passing", limited)
+    found = cooldown.thin(one, ["symbol"], 3600, block_rows=block_rows).select(F.unix_micros("event_time").alias("us")).toPandas()
+    assert np.sort(found["us"].to_numpy()).tolist() == expected.tolist()

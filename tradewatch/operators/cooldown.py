@@ -5,12 +5,14 @@ Small keys are folded whole. A key too large for one task is cut into cells of c
 What a cell does to the state is a step function, and two neighbouring ones compose into one, an
 associative operation: groups of ``FAN_IN`` neighbours are composed level by level up to the whole
 key, and the true entry states are then handed down the same tree (a parallel prefix). At last all
-cells emit in parallel. No task holds more than a cell or ``FAN_IN`` step functions, none of which
-is longer than a cell, and the result is the same as one sequential pass.
+cells emit in parallel. Rows pass in order, batch by batch; no task holds more than a batch, the times of a cell or a
+batch of step functions, none of which is longer than a cell, and the result is the same as one sequential pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.operators.blocks import join_null_safe, split_keys
+from tradewatch.operators.runs import in_order, rebatched, slices
 from tradewatch.session import materialise
 
 _NEVER = -(2**62)
@@ -88,18 +91,29 @@ def after(steps: tuple, state: int, gap: int) -> int:
     return int(final[j]) + gap if j < len(upto) else state
 
 
-def _runs(reports: pa.Table) -> list[tuple]:
-    """Step functions of neighbouring runs, in order."""
-    reports = reports.sort_by("_at")
+def _micros(table: pa.Table, time: str) -> np.ndarray:
+    return table[time].cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_numpy()
+
+
+def _steps_of(table: pa.Table) -> list[tuple]:
+    """The step functions of a table's rows."""
+    upto, final = table["_upto"].combine_chunks(), table["_final"].combine_chunks()
+    ends = upto.offsets.to_numpy()
+    values = upto.values.to_numpy(), final.values.to_numpy()
+    shift = final.offsets[0].as_py() - ends[0]
     return [
-        (first.as_py(), upto.values.to_numpy(), final.values.to_numpy())
-        for first, upto, final in zip(reports["_first"], reports["_upto"], reports["_final"])
+        (first, values[0][low:high], values[1][low + shift:high + shift])
+        for first, low, high in zip(table["_first"].to_numpy(), ends[:-1], ends[1:])
     ]
 
 
-def _ordered(block: pa.Table, time: str, ident: str) -> tuple[pa.Table, np.ndarray]:
-    block = block.sort_by([(time, "ascending"), (ident, "ascending")])
-    return block, block[time].cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_numpy()
+def _steps_table(heads: list[pa.Table], steps: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of their group's columns and step functions."""
+    offsets = np.concatenate([[0], np.cumsum([len(upto) for _, upto, _ in steps])]).astype(np.int32)
+    table = pa.concat_tables(heads).append_column("_first", pa.array([int(first) for first, _, _ in steps], pa.int64()))
+    for name, at in (("_upto", 1), ("_final", 2)):
+        table = table.append_column(name, pa.ListArray.from_arrays(offsets, np.concatenate([step[at] for step in steps])))
+    yield from table.combine_chunks().to_batches()
 
 
 def thinnable(df: DataFrame, seconds: int, time: str = "event_time") -> DataFrame:
@@ -133,28 +147,47 @@ def thin(
     split = split_keys(df, keys, time, ident, block_rows)
     names = df.columns
 
-    if not split.cell_columns:
-        def fold(block: pa.Table) -> pa.Table:
-            block, times = _ordered(block, time, ident)
-            return block.take(pa.array(passing(times, gap))).select(names)
-
-        return df.groupBy(*keys).applyInArrow(fold, schema)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = _NEVER
+        for table, runs in slices(rebatched(batches, 1), groups):
+            times, picked = _micros(table, time), []
+            for start, end, begins in runs:
+                if begins:
+                    entry = table["_entry"][start].as_py() if "_entry" in table.column_names else None
+                    state = _NEVER if entry is None else entry
+                hits = passing(times[start:end], gap, state) + start
+                if len(hits):
+                    picked.append(hits)
+                    state = int(times[hits[-1]]) + gap
+            if picked:
+                yield from table.select(names).take(np.concatenate(picked)).to_batches()
 
     groups = split.group_columns
+    if not split.cell_columns:
+        return in_order(df, groups, [time, ident]).mapInArrow(emit, schema)
+
     key_fields = [T.StructField(k, schema[k].dataType) for k in keys]
     cell_fields = [T.StructField(c, T.LongType()) for c in split.cell_columns]
     steps = T._parse_datatype_string(_STEPS).fields
 
-    def report(block: pa.Table) -> pa.Table:
-        block, times = _ordered(block, time, ident)
-        upto, final = exit_steps(times, gap)
-        head = block.slice(0, 1).select(groups)
-        return (
-            head.append_column("_first", pa.array(times[:1])).append_column("_upto", pa.array([upto.tolist()]))
-            .append_column("_final", pa.array([final.tolist()]))
-        )
-
-    reports = split.rows.where(F.col(split.cell_columns[0]) >= 0).groupBy(*groups).applyInArrow(
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, held = None, []
+        for table, runs in slices(rebatched(batches, 1), groups):
+            times, heads, done = _micros(table, time), [], []
+            for start, end, begins in runs:
+                if begins:
+                    if held:
+                        heads.append(head)
+                        done.append((held[0][0], *exit_steps(np.concatenate(held), gap)))
+                    head, held = table.slice(start, 1).select(groups), []
+                held.append(times[start:end])
+            if done:
+                yield from _steps_table(heads, done)
+        if held:
+            yield from _steps_table([head], [(held[0][0], *exit_steps(np.concatenate(held), gap))])
+
+    cut = split.rows.where(F.col(split.cell_columns[0]) >= 0).select(*dict.fromkeys([*groups, time, ident]))
+    reports = in_order(cut, groups, [time, ident]).mapInArrow(
         report, T.StructType([*key_fields, *cell_fields, *steps])
     )
     reports = materialise(reports)
@@ -164,14 +197,8 @@ def thin(
     entries = _entry_states(join_null_safe(reports, placed, groups, "inner"), keys, key_fields, steps, gap)
     entries = join_null_safe(placed, entries, [*keys, "_at"], "inner", small=False).drop("_at")
 
-    def emit(block: pa.Table) -> pa.Table:
-        block, times = _ordered(block, time, ident)
-        entry = block["_entry"][0].as_py()
-        picked = passing(times, gap, _NEVER if entry is None else entry)
-        return block.take(pa.array(picked)).select(names)
-
     entered = join_null_safe(split.rows.drop("_tail"), entries, groups, "left", small=False)
-    return entered.groupBy(*groups).applyInArrow(emit, schema)
+    return in_order(entered, groups, [time, ident]).mapInArrow(emit, schema)
 
 
 def _entry_states(
@@ -180,36 +207,44 @@ def _entry_states(
     """(keys, _at, _entry): the state each cell is entered with, by composing up a tree and handing states down it."""
     at = T.StructField("_at", T.LongType())
 
-    def composed(group: pa.Table) -> pa.Table:
-        runs = _runs(group)
-        whole = runs[0]
-        for run in runs[1:]:
-            whole = compose(whole, run, gap)
-        first, upto, final = whole
-        return (
-            group.slice(0, 1).select(keys).append_column("_at", group["_up"].slice(0, 1))
-            .append_column("_first", pa.array([first])).append_column("_upto", pa.array([upto.tolist()]))
-            .append_column("_final", pa.array([final.tolist()]))
-        )
-
-    def handed(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_at")
-        state, entry = group["_entry"][0].as_py(), []
-        for run in _runs(group):
-            entry.append(state)
-            state = after(run, state, gap)
-        return group.select([*keys, "_at"]).append_column("_entry", pa.array(entry, pa.int64()))
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, whole = None, None
+        for table, runs in slices(rebatched(batches, 1), [*keys, "_up"]):
+            parts, heads, done = _steps_of(table), [], []
+            for start, end, begins in runs:
+                if begins:
+                    if head is not None:
+                        heads.append(head)
+                        done.append(whole)
+                    head, whole = table.slice(start, 1).select([*keys, "_up"]).rename_columns([*keys, "_at"]), parts[start]
+                for part in parts[start + begins:end]:
+                    whole = compose(whole, part, gap)
+            if done:
+                yield from _steps_table(heads, done)
+        if head is not None:
+            yield from _steps_table([head], [whole])
+
+    def handed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = _NEVER
+        for table, runs in slices(rebatched(batches, 1), [*keys, "_up"]):
+            parts, entry = _steps_of(table), []
+            for start, end, begins in runs:
+                state = table["_entry"][start].as_py() if begins else state
+                for part in parts[start:end]:
+                    entry.append(state)
+                    state = after(part, state, gap)
+            yield from table.select([*keys, "_at"]).append_column("_entry", pa.array(entry, pa.int64())).to_batches()
 
     levels = [materialise(reports.select(*keys, "_at", *[f.name for f in steps]))]
     while levels[-1].agg(F.max("_at")).first()[0] > 0:
         up = levels[-1].withColumn("_up", F.call_function("div", F.col("_at"), F.lit(FAN_IN)))
-        levels.append(materialise(up.groupBy(*keys, "_up").applyInArrow(composed, T.StructType([*key_fields, at, *steps]))))
+        levels.append(materialise(in_order(up, [*keys, "_up"], ["_at"]).mapInArrow(composed, T.StructType([*key_fields, at, *steps]))))
     entries = levels[-1].select(*keys, "_at", F.lit(_NEVER).alias("_entry"))
     for below in reversed(levels[:-1]):
         up = below.withColumn("_up", F.call_function("div", F.col("_at"), F.lit(FAN_IN)))
         known = entries.withColumnRenamed("_at", "_up")
         joined = join_null_safe(up, known, [*keys, "_up"], "inner", small=False)
-        entries = joined.groupBy(*keys, "_up").applyInArrow(
+        entries = in_order(joined, [*keys, "_up"], ["_at"]).mapInArrow(
             handed, T.StructType([*key_fields, at, T.StructField("_entry", T.LongType())])
         )
     return entries
