@@ -1,6 +1,7 @@
 """Ordered passes hold a batch, not a group, and give the same results."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from tradewatch.config import RollingConfig
 from tradewatch.operators import cooldown, rolling
 from tradewatch.operators.cooldown import passing
 from tradewatch.operators.rolling import RunningMeasures, measure_rows
+from tradewatch.streaming import stateful
 
 
 @pytest.fixture()
@@ -67,3 +69,45 @@ def test_a_cooldown_task_holds_batches(spark, medium_trades, short_batches, monk
     monkeypatch.setattr(cooldown, "passing", limited)
     found = cooldown.thin(one, ["symbol"], 3600, block_rows=block_rows).select(F.unix_micros("event_time").alias("us")).toPandas()
     assert np.sort(found["us"].to_numpy()).tolist() == expected.tolist()
+
+
+class _Value:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_a_rolling_stream_hands_its_batch_on_in_pieces(monkeypatch):
+    """A symbol's batch that comes in parts, out of order and with a missing id, is measured in pieces, as in order."""
+    config, n = RollingConfig(window=50, vwap_window=40, min_history=5, spike_window=20), 500
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({
+        "symbol": "A", "trade_id": np.arange(n).astype(float), "event_time": pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(n) // 2, "s"),
+        "price": rng.normal(100, 3, n), "quantity": rng.uniform(1, 9, n), "is_buyer_maker": rng.integers(0, 2, n), "injected": 0,
+    })
+    rows.loc[7, "trade_id"] = np.nan  # the later of its instant either way
+    mixed = rows.iloc[rng.permutation(n)].reset_index(drop=True)
+    monkeypatch.setattr(stateful, "PIECE_ROWS", 64)
+    processor = stateful.RollingHistory(config)
+    processor.history = _Value()
+    got = []
+    for low, high in ((0, 300), (300, 500)):  # two batches, the second later than the first
+        batch = mixed[mixed["event_time"].isin(rows["event_time"][low:high])]
+        parts = list(processor.handleInputRows(("A",), iter([batch[:70], batch[70:]]), None))
+        assert max(map(len, parts)) <= 64
+        got += parts
+    got = pd.concat(got, ignore_index=True)
+    micros = rows["event_time"].to_numpy().astype("datetime64[us]").astype(np.int64)
+    whole = measure_rows(micros, rows["price"].to_numpy(), rows["quantity"].to_numpy(), rows["is_buyer_maker"].to_numpy(), config)
+    assert got["price"].tolist() == rows["price"].tolist() and got["trade_id"].isna().tolist() == rows["trade_id"].isna().tolist()
+    np.testing.assert_allclose(got["sum_price"], whole["sum_price"][0], rtol=1e-12)
+    np.testing.assert_allclose(got["m2_price"], whole["m2_price"][0], rtol=1e-9, atol=1e-9)
+    assert len(processor.history.get()[0]) == 49 * stateful._PACKED.itemsize

@@ -15,12 +15,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tradewatch.config import RollingConfig
 from tradewatch.operators.cooldown import passing, thinnable
 from tradewatch.operators.rolling import (
-    MEASURED_DDL, features_from_measures, measure_rows, rolling_input,
+    MEASURED_DDL, RunningMeasures, features_from_measures, rolling_input,
 )
 
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _HISTORY = ["event_time", "trade_id", "price", "quantity", "is_buyer_maker"]
 _PACKED = np.dtype([("us", "<i8"), ("trade_id", "<i8"), ("price", "<f8"), ("quantity", "<f8"), ("is_buyer_maker", "<i4")])
+#: A trade of the batch at hand, as it is held until its batch is in order: 41 bytes.
+_FRESH = np.dtype([*_PACKED.descr, ("injected", "<i4"), ("no_id", "?")])
+#: Trades that are measured and handed on at once.
+PIECE_ROWS = 20_000
 #: Alert keys are spread over so many state groups.
 ALERT_BUCKETS = 64
 _SWEEP_MS = 3_600_000
@@ -48,12 +52,28 @@ def _as_history(rows: pd.DataFrame) -> np.ndarray:
     return out
 
 
+def _as_fresh(rows: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(rows), _FRESH)
+    out["us"], out["no_id"] = _micros(rows["event_time"]), rows["trade_id"].isna()
+    out["trade_id"] = rows["trade_id"].fillna(0).to_numpy()
+    for name in ("price", "quantity", "is_buyer_maker", "injected"):
+        out[name] = rows[name].to_numpy()
+    return out
+
+
+def _measurable(records: np.ndarray) -> list[np.ndarray]:
+    """The columns that ``measure_rows`` takes."""
+    price, quantity = (np.where(np.isnan(records[c]), 0.0, records[c]) for c in ("price", "quantity"))
+    return [records["us"].copy(), price, quantity, records["is_buyer_maker"].astype(np.int64)]
+
+
 class RollingHistory(StatefulProcessor):
     """Keeps the last ``window - 1`` trades of a symbol and measures each new trade against them.
 
     The history is one binary value of fixed-width records, read and written whole. Trades of one batch are taken in
     event order; a trade older than those already seen in earlier batches is taken as it arrives. A symbol is one group
-    of one task here; ``rolling_batches`` is the form for symbols that outgrow it.
+    of one task here, which holds the batch's trades of the symbol as records of 41 bytes and their order, and measures
+    them piece by piece; ``rolling_batches`` is the form for symbols that outgrow it.
     """
 
     def __init__(self, config: RollingConfig):
@@ -74,22 +94,31 @@ class RollingHistory(StatefulProcessor):
         self.history.update((records[max(0, len(records) - self.config.window + 1) :].tobytes(),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = _in_order(pd.concat(list(rows), ignore_index=True))
-        kept = self._kept()
-        joined = np.concatenate([kept, _as_history(fresh)])
-        measures = measure_rows(
-            joined["us"].copy(), joined["price"].copy(), joined["quantity"].copy(), joined["is_buyer_maker"].astype(np.int64), self.config
-        )
-        out = {c: fresh[c] for c in ("symbol", *_HISTORY, "injected")}
-        for name, (values, missing) in measures.items():
-            column = pd.Series(values[len(kept):])
+        arrived = bytearray()
+        for part in rows:
+            arrived += _as_fresh(part).tobytes()
+        fresh, kept = np.frombuffer(arrived, _FRESH), self._kept()
+        order = np.lexsort((fresh["trade_id"], fresh["no_id"], fresh["us"]))
+        running = RunningMeasures(self.config, *_measurable(kept))
+        for start in range(0, len(order), PIECE_ROWS):
+            yield self._measured(key[0], fresh[order[start:start + PIECE_ROWS]], running)
+        newest = fresh[order[max(0, len(order) - self.config.window + 1):]]
+        self._keep(np.concatenate([kept, newest[list(_PACKED.names)].astype(_PACKED)]))
+
+    def _measured(self, symbol: str | None, trades: np.ndarray, running: RunningMeasures) -> pd.DataFrame:
+        out = {"symbol": pd.Series([symbol] * len(trades), dtype=object)}
+        out["event_time"] = pd.Series(trades["us"].astype("datetime64[us]").astype("datetime64[ns]"))
+        out["trade_id"] = pd.Series(trades["trade_id"]).astype("Int64").mask(pd.Series(trades["no_id"]))
+        for name in ("price", "quantity", "is_buyer_maker", "injected"):
+            out[name] = pd.Series(trades[name])
+        for name, (values, missing) in running.extend(*_measurable(trades)).items():
+            column = pd.Series(values)
             if missing is not None:
                 kind = "Int64" if column.dtype.kind == "i" else "Float64"
-                column = column.astype(kind).mask(pd.Series(missing[len(kept):]))
+                column = column.astype(kind).mask(pd.Series(missing))
             out[name] = column
-        self._keep(joined)
         names = [field.split()[0] for field in MEASURED_DDL.split(", ")]
-        yield pd.DataFrame(out)[names]
+        return pd.DataFrame(out)[names]
 
     def close(self) -> None:
         pass
