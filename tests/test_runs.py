@@ -111,3 +111,8 @@ def test_a_rolling_stream_hands_its_batch_on_in_pieces(monkeypatch):
     np.testing.assert_allclose(got["sum_price"], whole["sum_price"][0], rtol=1e-12)
     np.testing.assert_allclose(got["m2_price"], whole["m2_price"][0], rtol=1e-9, atol=1e-9)
     assert len(processor.history.get()[0]) == 49 * stateful._PACKED.itemsize
+
+
+def test_a_cooldown_has_no_table_per_cell(medium_trades):
+    plan = cooldown.thin(medium_trades, ["symbol"], 3600, block_rows=50)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" not in plan and "MapInArrow" in plan
