@@ -9,7 +9,9 @@ from tradewatch.config import RollingConfig
 from tradewatch.operators import cooldown, rolling
 from tradewatch.operators.cooldown import passing
 from tradewatch.operators.rolling import RunningMeasures, measure_rows
+from tradewatch.plans import registry
 from tradewatch.streaming import stateful
+from tradewatch.streaming.windows import file_stream
 
 
 @pytest.fixture()
@@ -116,3 +118,24 @@ def test_a_rolling_stream_hands_its_batch_on_in_pieces(monkeypatch):
 def test_a_cooldown_has_no_table_per_cell(medium_trades):
     plan = cooldown.thin(medium_trades, ["symbol"], 3600, block_rows=50)._jdf.queryExecution().toString()
     assert "FlatMapGroupsInArrow" not in plan and "MapInArrow" in plan
+
+
+def test_large_parts_of_a_stream_are_several_files_of_one_trigger(spark, medium_trades, monkeypatch, folder):
+    """Each trigger still takes exactly one part, in order, and a part is read by several tasks."""
+    monkeypatch.setattr(registry, "PART_FILE_ROWS", 700)
+    slices, seen, taken = registry.time_slices(medium_trades), {}, []
+
+    def note(batch, batch_id):
+        row = batch.agg(F.count("*").alias("n"), F.min("event_time").alias("low")).first()
+        seen[batch_id] = (row["n"], row["low"])
+
+    def opened(spark, path, schema, files_per_trigger):
+        taken.append((files_per_trigger, len(spark.read.parquet(path).inputFiles())))
+        return file_stream(spark, path, schema, files_per_trigger=files_per_trigger)
+
+    monkeypatch.setattr(registry, "file_stream", opened)
+    stream = registry.sliced_stream(spark, slices)
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
+    expected = [part.agg(F.count("*"), F.min("event_time")).first() for part in slices]
+    assert taken == [(3, 12)] and len(seen) == 4
+    assert [seen[i] for i in range(4)] == [tuple(row) for row in expected]

@@ -787,12 +787,23 @@ def stream_outbox(spark, folder):
     return spark.read.parquet(f"{path}/outbox").select("alert_key", "symbol", "timestamp", "anomaly_type", "source")
 
 
+#: A part of a stream lies in files of at least so many rows, all parts in the same number.
+PART_FILE_ROWS = 100_000
+
+
 def sliced_stream(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
-    """A stream of one file per part, in this order, one file a trigger."""
+    """A stream of one part a trigger, in this order.
+
+    Every part is the same number of files, as many as the smallest part fills, so that a large part is neither written
+    nor read by one task.
+    """
     folder = f"{shared_folder(spark)}/slices-{uuid.uuid4().hex}"
+    files = max(1, min(part.count() for part in parts) // PART_FILE_ROWS)
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return file_stream(spark, folder, parts[0].schema, files_per_trigger=1)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(folder)
+    if files > 1 and len(spark.read.parquet(folder).inputFiles()) != files * len(parts):
+        raise ValueError(f"a part of the stream does not fill its {files} files")
+    return file_stream(spark, folder, parts[0].schema, files_per_trigger=files)
 
 
 def time_slices(df: DataFrame, n: int = 4, time: str = "event_time") -> list[DataFrame]:
