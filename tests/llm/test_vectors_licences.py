@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -168,6 +169,22 @@ def test_coverage_equals_brute_force():
         assert scan.coverage() == [brute_coverage(t, text, least, gap) for t in templates]
 
 
+def test_words_equal_their_definition():
+    """Runs of letters, digits and non-ASCII characters, A-Z lower-cased; spaces and capitals beyond ASCII are as others."""
+    every = "".join(f"aZ9{chr(c)}b" for c in (*range(0x250), 0x2003, 0x2028, 0x212A, 0x3000, 0xFEFF, 0xFFFF, 0x1F600))
+    for text in ("", " ", "\x1c", every, every[::-1], "É\u0085é \u00a0 İK\x00MIT\x1fLicense"):
+        lower = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text)
+        assert licences.words(text) == [w.encode() for w in re.findall("(?:[a-z0-9]|[^\x00-\x7F])+", lower)]
+
+
+def test_phrases_that_end_alike_are_all_found():
+    phrases = tuple((licences.words(p), label) for p, label in (("x license", "a"), ("my x license", "b"), ("license", "c"), ("x end", "d")))
+    text = licences.words("license my x License end x license x end")
+    found = [(0, "c"), (1, "b"), (2, "a"), (3, "c"), (5, "a"), (6, "c"), (7, "d")]
+    assert sorted(licences.phrase_places(text, phrases)) == found
+    assert sorted(licences.phrase_places(text, phrases, 3)) == found[1:]
+
+
 def test_slices_change_nothing():
     automaton = licences._automaton(tuple(t for _, t in licences.TEMPLATES))
     phrases = tuple((licences.words(p), label) for p, label in licences.PHRASES)

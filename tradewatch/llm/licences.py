@@ -70,18 +70,19 @@ LEAST_RUN = 3
 GAP = 40
 COVERAGE = 0.85
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _NO_WORD = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
+#: For every byte of UTF-8 what stands for it in words: a-z for A-Z, a space for what parts words, else itself.
+_FOLDED = bytes(ord(" ") if _NO_WORD.match(chr(c)) else c for c in range(256)).lower()
 #: Characters of a text that are cut into words at a time.
 SLICE = 1 << 20
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(text.translate(_LOWER))
+def words(text: str) -> list[bytes]:
+    """Words as UTF-8, in which no byte of a non-ASCII character is an ASCII one: several times faster than a regex on characters."""
+    return text.encode().translate(_FOLDED).split()
 
 
-def word_slices(text: str | None, size: int = SLICE) -> Iterator[list[str]]:
+def word_slices(text: str | None, size: int = SLICE) -> Iterator[list[bytes]]:
     """The words of a text in slices that end between words."""
     start = 0
     while text and start < len(text):
@@ -194,6 +195,8 @@ class Scan:
         root, state, length, least = following[0], self.state, self.length, self.least
         for place, word in enumerate(text, self.place):
             if word not in root:
+                if not length:  # no run to end
+                    continue
                 state = length = 0
             else:
                 while word not in following[state]:
@@ -236,14 +239,18 @@ def _automaton(templates: tuple[str, ...]) -> Automaton:
 
 def phrase_places(text: list[str], phrases: tuple[tuple[list[str], str], ...], first: int = 0) -> list[tuple[int, str]]:
     """(place, label) of every phrase whose words stand one after the other; its last word is at ``first`` or later."""
-    found = []
+    endings: dict[bytes, list] = {}
     for wanted, label in phrases:
+        endings.setdefault(wanted[-1], []).append((wanted, label))
+    found = []
+    for last, ending in endings.items():
         place = first - 1
-        for _ in range(text[first:].count(wanted[-1])):
-            place = text.index(wanted[-1], place + 1)
-            start = place - len(wanted) + 1
-            if start >= 0 and text[start : place + 1] == wanted:
-                found.append((start, label))
+        for _ in range(text[first:].count(last)):
+            place = text.index(last, place + 1)
+            for wanted, label in ending:
+                start = place - len(wanted) + 1
+                if start >= 0 and text[start : place + 1] == wanted:
+                    found.append((start, label))
     return found
 
 
