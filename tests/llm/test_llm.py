@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -142,6 +143,57 @@ def test_warc_round_trip_and_revisits(spark):
     assert rows[5].payload_digest == digest
 
 
+def test_warc_html_is_not_shuffled(spark):
+    rows = [(i, "u", f"page {i % 40} " * 50) for i in range(60)] + [(None, "u", "page 1 " * 50), (None, "u", "none"), (None, None, "none"), (90, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame = warc.with_revisits(pages)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    last = {html: max((r[0] for r in rows if r[2] == html and r[0] is not None), default=None) for _, _, html in rows}
+    want = [(i, (html or "").encode(), None if last[html] == i else last[html]) for i, _, html in rows]
+    assert sorted(((r["page_id"], bytes(r["payload"]), r["refers_to"]) for r in frame.collect()), key=str) == sorted(want, key=str)
+    assert {r["record_type"] for r in warc.round_trip(pages.limit(0)).collect()} == set()
+
+
+def test_repeated_digests_too_many_to_broadcast(spark, monkeypatch):
+    rows = [(i, "u", f"page {i % 40}") for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    few = warc.with_revisits(pages)
+    monkeypatch.setattr(warc, "broadcast_if_small", lambda df: df.hint("merge"))
+    many = warc.with_revisits(pages)
+    assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(many.collect(), key=str) == sorted(few.collect(), key=str)
+
+
+def test_warc_payloads_stay_out_of_rows_without_them(spark, folder):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(30)], "page_id long, url string, html string")
+    warc.write_archives(pages, f"{folder}/warc", records_per_file=7)
+    whole, bare = warc.read_archives(spark, f"{folder}/warc"), warc.read_archives(spark, f"{folder}/warc", payload=False)
+    assert bare.columns == whole.columns[:-1] and whole.columns[-1] == "payload"
+    assert sorted(bare.collect()) == sorted(whole.drop("payload").collect()) and bare.count() == 30
+    plan = warc.round_trip(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "payload#" not in plan
+
+
+def test_unpacking_copies_no_file_for_a_member():
+    """A member costs its own bytes, whatever stands behind it; its end and content don't depend on where pieces are cut."""
+    contents = [b"a" * n for n in (0, 1, 500_000)] + [np.random.default_rng(2).bytes(n) for n in (warc.PIECE - 23, 3 * warc.PIECE + 5)]
+    members = [gzip.compress(c) for c in contents]
+    data, at = b"".join(members) + bytes(20_000_000), 0
+    for content, packed in zip(contents, members):
+        assert warc.unpack(data, at) == (content, at + len(packed))
+        at += len(packed)
+    tracemalloc.start()
+    warc.unpack(data, 0)
+    assert tracemalloc.get_traced_memory()[1] < 1_000_000
+    tracemalloc.stop()
+    assert warc.member(warc.SEPARATOR + data, 0) == ([], len(warc.SEPARATOR))
+    with pytest.raises(warc.Damaged, match="cut off"):
+        warc.unpack(members[-1][:-1], 0)
+    with pytest.raises(warc.Damaged, match="gzip"):
+        warc.unpack(members[-1][:-8] + b"12345678", 0)
+
+
 def test_salvage_recovers_later_records():
     members = [gzip.compress(warc.record(i, "u", b"payload %d" % i, None)) for i in range(5)]
     torn = bytearray(b"".join(members))

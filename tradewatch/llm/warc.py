@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.session import shared_folder
+from tradewatch.llm.common import staged
+from tradewatch.session import broadcast_if_small, shared_folder
 
 RECORDS_PER_FILE = 2_000
 MIN_REVISIT_BYTES = 0
@@ -40,10 +41,13 @@ END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
 #: An empty gzip member: unpacks to nothing, and parts the records of an archive.
 SEPARATOR = gzip.compress(b"", mtime=0)
-RECORDS = (
+#: Bytes of an archive that are unpacked at a time.
+PIECE = 8_192
+HEADERS = (
     "file string, start long, stop long, record_id string, record_type string, target_uri string, "
-    "refers_to string, payload_digest string, payload_bytes long, payload binary"
+    "refers_to string, payload_digest string, payload_bytes long"
 )
+RECORDS = f"{HEADERS}, payload binary"
 GAPS = "file string, start long, stop long, reason string"
 
 
@@ -85,20 +89,24 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, least: int = MIN_REVISIT_BYTES) -> None:
     """Archives of ``pages`` (page_id, url, html) under ``path``.
 
-    Only (page_id, SHA-1) is grouped to find repeated payloads; html moves only if the repeated digests are too many for
-    the planner to broadcast.
+    Only (page_id, SHA-1) is grouped to find repeated payloads, and the repeated digests are stored, so that they are
+    measured before the join: html moves only if they are too many to broadcast.
     """
+    members = with_revisits(pages, least).mapInArrow(_members, "member binary").select(F.col("member").cast("string"))
+    writer = members.write.option("lineSep", SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1")
+    writer.option("maxRecordsPerFile", records_per_file).text(path)
+
+
+def with_revisits(pages: DataFrame, least: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """page_id, url, payload, and of a revisit the page_id of the response it refers to."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     pages = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
     again = pages.where(F.octet_length("payload") >= least).groupBy("sha1")
     again = again.agg(F.max("page_id").alias("response_id"), F.count("*").alias("n")).where("n > 1")
-    again = again.select(F.col("sha1").alias("same"), "response_id")
-    pages = pages.join(again, F.col("sha1") == F.col("same"), "left")
+    again = staged(again.select(F.col("sha1").alias("same"), "response_id"), "repeated")
+    pages = pages.join(broadcast_if_small(again), F.col("sha1") == F.col("same"), "left")
     other = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
-    pages = pages.select("page_id", "url", "payload", F.when(other, F.col("response_id")).alias("refers_to"))
-    members = pages.mapInArrow(_members, "member binary").select(F.col("member").cast("string"))
-    writer = members.write.option("lineSep", SEPARATOR.decode("latin-1")).option("encoding", "ISO-8859-1")
-    writer.option("maxRecordsPerFile", records_per_file).text(path)
+    return pages.select("page_id", "url", "payload", F.when(other, F.col("response_id")).alias("refers_to"))
 
 
 class Damaged(ValueError):
@@ -169,15 +177,19 @@ def confirmed(fields: dict, block: bytes) -> bool:
 
 
 def unpack(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``."""
-    engine = zlib.decompressobj(31)
+    """Content and end of the gzip member at ``at``. The engine copies what it is given beyond the member's end, so it is
+    given the file in pieces."""
+    engine, out, stop = zlib.decompressobj(31), [], at
     try:
-        content = engine.decompress(memoryview(data)[at:])
+        while stop < len(data) and not engine.eof:
+            part = data[stop : stop + PIECE]
+            out.append(engine.decompress(part))
+            stop += len(part)
     except zlib.error as error:
         raise Damaged(f"gzip: {str(error)[:60]}") from None
     if not engine.eof:
         raise Damaged("gzip member is cut off")
-    return content, len(data) - len(engine.unused_data)
+    return b"".join(out), stop - len(engine.unused_data)
 
 
 def readable(data: bytes, at: int, stop: int) -> tuple[bytes, bool]:
@@ -226,6 +238,8 @@ def inside(content: bytes, torn: bool) -> tuple[list[tuple], int]:
 
 def member(data: bytes, at: int) -> tuple[list[tuple], int]:
     """What ``inside`` finds in the member at ``at``, with the failed gzip check as a last gap, and the member's end."""
+    if data.startswith(SEPARATOR, at):
+        return [], at + len(SEPARATOR)
     try:
         content, stop = unpack(data, at)
     except Damaged as error:
@@ -286,12 +300,12 @@ def salvage(data: bytes) -> Iterator[tuple]:
         yield "gap", gap, len(data), reason
 
 
-def _records(batches: Iterator[pa.RecordBatch], gaps: bool) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], gaps: bool, payload: bool = True) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int64(), pa.int64()] + ([pa.string()] if gaps else [pa.string()] * 5 + [pa.int64(), pa.binary()])
-    names = [c.split()[0] for c in (GAPS if gaps else RECORDS).split(", ")]
+    names = [c.split()[0] for c in (GAPS if gaps else RECORDS if payload else HEADERS).split(", ")]
 
     def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k, _ in zip(zip(*rows), kinds, names)], names)
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -321,9 +335,9 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content")
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The valid records of all archives under ``path``."""
-    return _files(spark, path).mapInArrow(lambda b: _records(b, False), RECORDS)
+def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """The valid records of all archives under ``path``. Payloads are checked always, and returned only with ``payload``."""
+    return _files(spark, path).mapInArrow(lambda b: _records(b, False, payload), RECORDS if payload else HEADERS)
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
@@ -337,7 +351,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/warc"
     write_archives(pages, path)
-    rows = read_archives(spark, path)
+    rows = read_archives(spark, path, payload=False)
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return rows.select(
         number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
