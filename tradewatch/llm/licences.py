@@ -95,8 +95,8 @@ def word_slices(text: str | None, size: int = SLICE) -> Iterator[list[bytes]]:
 class Automaton:
     """Generalised suffix automaton of word lists, built online (Blumer et al.); states know where their runs end."""
 
-    def __init__(self, templates: Iterable[list[str]]):
-        self.next: list[dict[str, int]] = [{}]
+    def __init__(self, templates: Iterable[list[bytes]]):
+        self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
         ends: list[set] = [set()]
         self.templates = [list(t) for t in templates]
@@ -117,7 +117,7 @@ class Automaton:
         ends.append(set())
         return len(self.next) - 1
 
-    def _split(self, source: int, word: str, ends: list) -> int:
+    def _split(self, source: int, word: bytes, ends: list) -> int:
         """The state of exactly the run that leads on from ``source``, parted from a longer one if need be."""
         target, length = self.next[source][word], self.length[source] + 1
         if self.length[target] == length:
@@ -129,7 +129,7 @@ class Automaton:
             source = self.link[source]
         return copy
 
-    def _extend(self, last: int, word: str, ends: list) -> int:
+    def _extend(self, last: int, word: bytes, ends: list) -> int:
         if word in self.next[last]:  # an earlier template holds this run
             return self._split(last, word, ends)
         new = self._state(self.length[last] + 1, {}, 0, ends)
@@ -190,7 +190,7 @@ class Scan:
         self.chains: dict[int, list[tuple[int, int, int]]] = {}
         self.best = [0] * len(automaton.templates)
 
-    def feed(self, text: list[str]) -> None:
+    def feed(self, text: list[bytes]) -> None:
         following, link, longest = self.automaton.next, self.automaton.link, self.automaton.length
         root, state, length, least = following[0], self.state, self.length, self.least
         for place, word in enumerate(text, self.place):
@@ -237,7 +237,7 @@ def _automaton(templates: tuple[str, ...]) -> Automaton:
     return Automaton(words(t) for t in templates)
 
 
-def phrase_places(text: list[str], phrases: tuple[tuple[list[str], str], ...], first: int = 0) -> list[tuple[int, str]]:
+def phrase_places(text: list[bytes], phrases: tuple[tuple[list[bytes], str], ...], first: int = 0) -> list[tuple[int, str]]:
     """(place, label) of every phrase whose words stand one after the other; its last word is at ``first`` or later."""
     endings: dict[bytes, list] = {}
     for wanted, label in phrases:
